@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.rules import json_field, typed_field, violations
 from revlens.params import ReviewRules
@@ -45,11 +45,13 @@ def check(df: DataFrame, rules: ReviewRules) -> DataFrame:
     return check_json(df, rules) if "record" in df.columns else check_typed(df, rules)
 
 
+def is_valid() -> Column:
+    return F.size("violations") == 0
+
+
 def valid(checked: DataFrame) -> DataFrame:
     """The records without a violation, as typed reviews."""
-    return checked.where(F.size("violations") == 0).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in REVIEW.fields]
-    )
+    return checked.where(is_valid()).select(*_typed())
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -58,7 +60,7 @@ def rejected(checked: DataFrame) -> DataFrame:
     Messages name the rule and never quote the record, which holds customer text.
     """
     first = F.get("violations", F.lit(0))
-    return checked.where(F.size("violations") > 0).select(
+    return checked.where(~is_valid()).select(
         "seq",
         "review_id",
         F.concat(first["path"], F.lit(": "), first["message"]).alias("first_error"),
@@ -66,10 +68,31 @@ def rejected(checked: DataFrame) -> DataFrame:
     )
 
 
+def split(checked: DataFrame) -> DataFrame:
+    """Every record once, marked ``valid`` or not: typed if valid, stripped to its id
+    and violations if not. Written by that mark it is both tables in one pass."""
+    keep_id = ("seq", "review_id")
+    return checked.select(
+        *[
+            c if name in keep_id else F.when(is_valid(), c).alias(name)
+            for name, c in zip(checked.columns, _typed())
+        ],
+        "violations",
+        is_valid().alias("valid"),
+    )
+
+
 def counts(checked: DataFrame) -> DataFrame:
-    ok = F.size("violations") == 0
     return checked.agg(
         F.count("*").alias("loaded"),
-        F.count_if(ok).alias("valid"),
-        F.count_if(~ok).alias("dropped"),
+        F.count_if(is_valid()).alias("valid"),
+        F.count_if(~is_valid()).alias("dropped"),
     )
+
+
+def _typed() -> list[Column]:
+    # A rating that is no integer must not reach a cast that raises.
+    return [
+        (F.col(f.name).try_cast(f.dataType) if f.name == "rating" else F.col(f.name)).alias(f.name)
+        for f in REVIEW.fields
+    ]

@@ -77,7 +77,13 @@ def score(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
     return called.withColumn(
         "verdicts",
         F.transform(
-            scored, lambda v: F.struct(v["language"], v["score"], is_kept(v["score"], params.quality).alias("kept"), v["error"])
+            scored,
+            lambda v: F.struct(
+                v["language"],
+                v["score"],
+                is_kept(v["score"], params.quality).alias("kept"),
+                v["error"],
+            ),
         ),
     ).drop("_results", "_source_text")
 

@@ -104,13 +104,17 @@ def _attempt_distinct(reviews: DataFrame, params: Params, translator: Provider)
 
 
 def with_translations(attempted: DataFrame, params: Params) -> DataFrame:
-    """Turns ``attempts`` into the ``translations`` map: a language enters it only
-    if both fields came back. Passthrough and all-failed reviews get an empty map."""
-    whole = F.filter(
-        "attempts", lambda a: a["title"].isNotNull() & a["body"].isNotNull()
-    )
+    """Turns ``attempts`` into the ``translations`` map and the ``failed`` list.
+
+    A language enters the map only if both fields came back. Passthrough and
+    all-failed reviews get an empty map. ``failed`` holds identifiers, no text.
+    """
+
+    def came_back(a: Column) -> Column:
+        return a["title"].isNotNull() & a["body"].isNotNull()
+
     entries = F.transform(
-        whole,
+        F.filter("attempts", came_back),
         lambda a: F.struct(
             a["target_language"],
             F.struct(
@@ -120,25 +124,30 @@ def with_translations(attempted: DataFrame, params: Params) -> DataFrame:
             ),
         ),
     )
-    return attempted.withColumn(
-        "translations", F.map_from_entries(entries).cast(TRANSLATIONS)
-    ).drop("attempts")
+    lost = F.transform(
+        F.filter("attempts", lambda a: ~came_back(a)),
+        lambda a: F.struct(a["lang_pos"], a["target_language"], a["error"]),
+    )
+    return (
+        attempted.withColumn("translations", F.map_from_entries(entries).cast(TRANSLATIONS))
+        .withColumn("failed", lost)
+        .drop("attempts")
+    )
 
 
 def translate(
     reviews: DataFrame, params: Params, translator: Provider, distinct_texts: bool = False
 ) -> DataFrame:
     """Reviews with a ``translations`` map, one row per review."""
-    return with_translations(attempt(reviews, params, translator, distinct_texts), params)
+    attempted = attempt(reviews, params, translator, distinct_texts)
+    return with_translations(attempted, params).drop("failed")
 
 
-def failed_calls(attempted: DataFrame) -> DataFrame:
-    """The languages a review lost, by identifiers only."""
-    return (
-        attempted.select("seq", "review_id", "source_language", F.explode("attempts").alias("a"))
-        .where(F.col("a.title").isNull() | F.col("a.body").isNull())
-        .select("seq", "review_id", "source_language", "a.lang_pos", "a.target_language", "a.error")
-    )
+def failed_translations(translated: DataFrame) -> DataFrame:
+    """The languages a review lost."""
+    return translated.select(
+        "seq", "review_id", "source_language", F.explode("failed").alias("f")
+    ).select("seq", "review_id", "source_language", "f.*")
 
 
 def explode_translations(translated: DataFrame) -> DataFrame:

@@ -20,3 +20,9 @@ VIOLATION = "struct<path:string,message:string>"
 TRANSLATION = "struct<title:string,body:string,engine:string>"
 TRANSLATIONS = f"map<string,{TRANSLATION}>"
 QUALITY = "map<string,struct<score:double,kept:boolean>>"
+
+#: All checked records in one table, partitioned by ``valid``.
+RECORDS = T.StructType(
+    [*REVIEW.fields, T.StructField("violations", T.DataType.fromDDL(f"array<{VIOLATION}>"))]
+    + [T.StructField("valid", T.BooleanType())]
+)
