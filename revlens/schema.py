@@ -23,6 +23,16 @@ QUALITY = "map<string,struct<score:double,kept:boolean>>"
 
 #: All checked records in one table, partitioned by ``valid``.
 RECORDS = T.StructType(
-    [*REVIEW.fields, T.StructField("violations", T.DataType.fromDDL(f"array<{VIOLATION}>"))]
-    + [T.StructField("valid", T.BooleanType())]
+    [
+        *REVIEW.fields,
+        T.StructField(
+            "violations",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("path", T.StringType()), T.StructField("message", T.StringType())]
+                )
+            ),
+        ),
+        T.StructField("valid", T.BooleanType()),
+    ]
 )
