@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, functions as F
 
@@ -18,6 +19,11 @@ class Field:
     text: Column     # the value if it is a string, else null
     number: Column   # the value if it is a number (never a boolean), else null
 
+    LABELS: ClassVar = ("present", "text", "number")
+
+    def parts(self) -> dict[str, Column]:
+        return {label: getattr(self, label) for label in self.LABELS}
+
 
 def typed_field(value: Column, numeric: bool) -> Field:
     """A field held in a typed column; null means the record lacks the field."""
@@ -28,14 +34,16 @@ def typed_field(value: Column, numeric: bool) -> Field:
     )
 
 
-def json_field(members: Column, name: str) -> Field:
-    """A field of a parsed JSON object given as ``map<string, variant>``."""
-    value = F.try_element_at(members, F.lit(name))
-    # The kind is read before any cast: casting would turn "5" and true into numbers.
-    kind = F.schema_of_variant(value)
+def json_field(name: str) -> Field:
+    """A field of a parsed JSON object, from its columns ``<name>_present``,
+    ``<name>_value`` (a variant) and ``<name>_kind`` (the variant's own type).
+
+    The kind is asked before any cast: a cast would turn "5" and true into numbers.
+    """
+    value, kind = F.col(f"{name}_value"), F.col(f"{name}_kind")
     numeric = kind.rlike(r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$")
     return Field(
-        present=F.coalesce(F.map_contains_key(members, name), F.lit(False)),
+        present=F.coalesce(F.col(f"{name}_present"), F.lit(False)),
         text=F.when(kind == "STRING", F.try_variant_get(value, "$", "string")),
         number=F.when(numeric, F.try_variant_get(value, "$", "double")),
     )

@@ -69,8 +69,8 @@ def parse_score(reply: Column, quality: QualityParams) -> Column:
         F.regexp_extract(ascii_reply, fixed.NUMBER_PATTERN, 0), F.lit("")
     ).try_cast("double")
     low, high = (F.lit(float(x)) for x in (quality.scale_min, quality.scale_max))
-    # least/greatest skip nulls, so a missing number is settled before clamping.
-    return F.when(number.isNull(), low).otherwise(F.greatest(low, F.least(high, number)))
+    # least and greatest skip nulls, so a missing number becomes the lowest first.
+    return F.greatest(low, F.least(high, F.coalesce(number, low)))
 
 
 def is_kept(score: Column, quality: QualityParams) -> Column:

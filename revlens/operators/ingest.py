@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.functions.rules import json_field, typed_field, violations
+from revlens.functions.rules import Field, json_field, typed_field, violations
 from revlens.params import ReviewRules
 from revlens.schema import REVIEW, REVIEW_FIELDS
 
@@ -18,8 +18,15 @@ def check_typed(df: DataFrame, rules: ReviewRules) -> DataFrame:
 
 
 def check_json(df: DataFrame, rules: ReviewRules) -> DataFrame:
-    """Adds ``violations`` to records held as JSON in a variant column ``record``."""
-    opened = df.select(
+    """Adds ``violations`` to records held as JSON in a variant column ``record``.
+
+    A later filter on the violations would be pushed below these steps, with each
+    use of a record or a field replaced by the parsing behind it. Filters stop at
+    a generator's output, so one-element arrays keep both to one evaluation.
+    """
+    names = REVIEW_FIELDS
+    whole = df.select("seq", F.explode(F.array("record")).alias("record"))
+    opened = whole.select(
         "seq",
         F.when(
             F.schema_of_variant("record").startswith("OBJECT"),
@@ -27,16 +34,32 @@ def check_json(df: DataFrame, rules: ReviewRules) -> DataFrame:
         ).alias("_members"),
     )
     members = F.col("_members")
-    fields = {name: json_field(members, name) for name in REVIEW_FIELDS}
-    extra = F.size(F.array_except(F.map_keys(members), F.array(*map(F.lit, REVIEW_FIELDS)))) > 0
-    values = [
-        (fields[n].number.cast("double") if n == "rating" else fields[n].text).alias(n)
-        for n in REVIEW_FIELDS
-    ]
-    return opened.select(
+    unknown = F.array_except(F.map_keys(members), F.array(*map(F.lit, names)))
+    taken = opened.select(
+        "seq",
+        members.isNotNull().alias("_is_object"),
+        (F.size(unknown) > 0).alias("_has_extra"),
+        *[F.map_contains_key(members, n).alias(f"{n}_present") for n in names],
+        *[F.try_element_at(members, F.lit(n)).alias(f"{n}_value") for n in names],
+    )
+    kinds = taken.select(
+        "*", *[F.schema_of_variant(f"{n}_value").alias(f"{n}_kind") for n in names]
+    )
+    plain = F.struct(
+        "_is_object",
+        "_has_extra",
+        *[
+            part.alias(f"{n}_{label}")
+            for n in names
+            for label, part in json_field(n).parts().items()
+        ],
+    )
+    fields = {n: Field(*[F.col(f"{n}_{label}") for label in Field.LABELS]) for n in names}
+    values = [(fields[n].number if n == "rating" else fields[n].text).alias(n) for n in names]
+    return kinds.select("seq", F.inline(F.array(plain))).select(
         "seq",
         *values,
-        violations(fields, rules, members.isNotNull(), extra).alias("violations"),
+        violations(fields, rules, F.col("_is_object"), F.col("_has_extra")).alias("violations"),
     )
 
 

@@ -59,13 +59,14 @@ def call_each(
     ddl = f"array<struct<value:{kind},error:string>>"
     if provider.is_native:
 
-        def native(call: Column) -> Column:
-            value = provider.column(*[call[a] for a in args]).cast(kind)
-            return F.struct(
-                value.alias("value"), F.when(value.isNull(), F.lit("NoReply")).alias("error")
-            )
-
-        return df.withColumn(out, F.transform(calls, native).cast(ddl))
+        values = F.transform(
+            calls, lambda call: provider.column(*[call[a] for a in args]).cast(kind)
+        )
+        results = F.transform(
+            values,
+            lambda v: F.struct(v.alias("value"), F.when(v.isNull(), F.lit("NoReply")).alias("error")),
+        )
+        return df.withColumn(out, results.cast(ddl))
 
     asked = df.withColumn("_calls", calls)
     kept = [f for f in asked.schema.fields if f.name != "_calls"]

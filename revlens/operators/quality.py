@@ -24,10 +24,7 @@ def with_judge_texts(long: DataFrame) -> DataFrame:
 
 
 def score(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
-    """Adds ``verdicts``: language, score, kept and error per translation.
-
-    The source text is built once per review, not once per language.
-    """
+    """Adds ``verdicts``: language, score, kept and error per translation."""
     model = params.judge_model
     settings = [
         F.lit(model.model_id).alias("model_id"),

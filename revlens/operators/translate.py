@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from revlens.functions.arrays import items
 from revlens.operators.providers import Provider, call_each
 from revlens.params import Params
 from revlens.schema import TRANSLATIONS
@@ -146,7 +147,7 @@ def translate(
 def failed_translations(translated: DataFrame) -> DataFrame:
     """The languages a review lost."""
     return translated.select(
-        "seq", "review_id", "source_language", F.explode("failed").alias("f")
+        "seq", "review_id", "source_language", F.explode(items("failed")).alias("f")
     ).select("seq", "review_id", "source_language", "f.*")
 
 
@@ -154,7 +155,12 @@ def explode_translations(translated: DataFrame) -> DataFrame:
     """One row per existing translation, in the review's own order of languages."""
     carried = [c for c in translated.columns if c not in ("translations", "quality")]
     return translated.select(
-        *carried, F.posexplode("translations").alias("entry", "language", "translation")
+        *carried, F.posexplode(F.map_entries("translations")).alias("entry", "_pair")
+    ).select(
+        *carried,
+        "entry",
+        F.col("_pair.key").alias("language"),
+        F.col("_pair.value").alias("translation"),
     )
 
 

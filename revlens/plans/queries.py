@@ -13,6 +13,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens import fixed_values as fixed
+from revlens.functions.arrays import items
 from revlens.functions.similarity import tokens, with_similarity, with_tokens
 from revlens.functions.text import is_kept, judge_prompt, parse_score, review_text
 from revlens.operators import evaluate, ingest, quality, serving, summarize, synth, translate
@@ -99,7 +100,7 @@ def phrase_bank_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validation_violations(spark: SparkSession, sf: str) -> DataFrame:
-    return _checked(spark, sf).select("seq", F.explode("violations").alias("v")).select(
+    return _checked(spark, sf).select("seq", F.explode(items("violations")).alias("v")).select(
         "seq", "v.path", "v.message"
     )
 
@@ -144,7 +145,7 @@ def translation_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _attempt_rows(attempted: DataFrame) -> DataFrame:
-    return attempted.select("seq", F.explode("attempts").alias("a")).select(
+    return attempted.select("seq", F.explode(items("attempts")).alias("a")).select(
         "seq",
         "a.lang_pos",
         "a.target_language",
@@ -268,7 +269,7 @@ def judge_prompt_digest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _verdict_rows(scored: DataFrame) -> DataFrame:
-    return scored.select("seq", F.explode("verdicts").alias("v")).select(
+    return scored.select("seq", F.explode(items("verdicts")).alias("v")).select(
         "seq", "v.language", "v.score", "v.kept", F.col("v.error").isNotNull().alias("failed")
     )
 

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens import fixed_values as fixed
+from revlens.functions.arrays import items
 from revlens.operators.ingest import check_typed
 from revlens.operators.positions import with_position
 from revlens.params import ReviewRules
@@ -89,7 +90,7 @@ def _problem() -> Column:
 def dataset_problems(reviews: DataFrame, rules: ReviewRules = ReviewRules()) -> DataFrame:
     """Every rule violation of a dataset about to be written."""
     return check_typed(reviews, rules).select(
-        "seq", F.explode("violations").alias("v")
+        "seq", F.explode(items("violations")).alias("v")
     ).select("seq", "v.path", "v.message")
 
 
