@@ -1,9 +1,8 @@
-"""Review record rules as column expressions over typed or JSON records."""
+"""Review record rules, as SQL conditions over typed or JSON records."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import ClassVar
 
 from pyspark.sql import Column, functions as F
 
@@ -13,25 +12,19 @@ from revlens.schema import REVIEW_FIELDS, VIOLATION
 
 @dataclass(frozen=True)
 class Field:
-    """One field of a record: is it there, and which kind of value does it hold."""
+    """One field of a record, as three SQL expressions: is it there, its value if
+    that is a string, its value if that is a number (never a boolean)."""
 
-    present: Column
-    text: Column     # the value if it is a string, else null
-    number: Column   # the value if it is a number (never a boolean), else null
+    present: str
+    text: str
+    number: str
 
-    LABELS: ClassVar = ("present", "text", "number")
 
-    def parts(self) -> dict[str, Column]:
-        return {label: getattr(self, label) for label in self.LABELS}
-
-
-def typed_field(value: Column, numeric: bool) -> Field:
+def typed_field(name: str) -> Field:
     """A field held in a typed column; null means the record lacks the field."""
-    return Field(
-        present=value.isNotNull(),
-        text=F.lit(None).cast("string") if numeric else value.cast("string"),
-        number=value.cast("double") if numeric else F.lit(None).cast("double"),
-    )
+    if name == "rating":
+        return Field(f"{name} IS NOT NULL", "CAST(NULL AS STRING)", f"CAST({name} AS DOUBLE)")
+    return Field(f"{name} IS NOT NULL", name, "CAST(NULL AS DOUBLE)")
 
 
 def json_field(name: str) -> Field:
@@ -40,87 +33,108 @@ def json_field(name: str) -> Field:
 
     The kind is asked before any cast: a cast would turn "5" and true into numbers.
     """
-    value, kind = F.col(f"{name}_value"), F.col(f"{name}_kind")
-    numeric = kind.rlike(r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$")
+    value, kind = f"{name}_value", f"{name}_kind"
     return Field(
-        present=F.coalesce(F.col(f"{name}_present"), F.lit(False)),
-        text=F.when(kind == "STRING", F.try_variant_get(value, "$", "string")),
-        number=F.when(numeric, F.try_variant_get(value, "$", "double")),
+        f"coalesce({name}_present, false)",
+        f"CASE WHEN {kind} = 'STRING' THEN try_variant_get({value}, '$', 'string') END",
+        f"CASE WHEN {kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%'"
+        f" THEN try_variant_get({value}, '$', 'double') END",
     )
 
 
-def _matches(pattern: str) -> str:
-    # In the rule's own dialect `$` also stands before one final line feed.
-    return pattern[:-1] + r"\n?\z" if pattern.endswith("$") else pattern
+@dataclass(frozen=True)
+class Check:
+    path: str
+    message: str
+    failed: str   # a condition, null where the rule does not apply
 
 
-def violations(
-    fields: dict[str, Field],
-    rules: ReviewRules,
-    is_object: Column | None = None,
-    has_extra: Column | None = None,
-) -> Column:
-    """All rule violations of a record, smallest path first.
+def checks(
+    fields: dict[str, Field], rules: ReviewRules, has_extra: str | None = None
+) -> list[Check]:
+    """All rules of a record, smallest path first.
 
-    Paths are known up front, so the candidates are listed in their final order
-    (root, then fields by name) and the failed ones are kept: no sort per row.
+    Paths are known up front, so the rules are listed in their final order (root,
+    then fields by name) and no row has to sort what it violates.
     """
-    checks: list[tuple[str, str, Column]] = []
-
-    for name in REVIEW_FIELDS:
-        checks.append(("<root>", f"{name} is required", ~fields[name].present))
+    listed = [
+        Check("<root>", f"{name} is required", f"NOT ({fields[name].present})")
+        for name in REVIEW_FIELDS
+    ]
     if has_extra is not None:
-        checks.append(("<root>", "unknown fields are not allowed", has_extra))
+        listed.append(Check("<root>", "unknown fields are not allowed", has_extra))
 
-    def string_rules(name: str, *rest: tuple[str, Column]) -> None:
+    def string_rules(name: str, *rest: tuple[str, str]) -> list[Check]:
         field = fields[name]
-        checks.append((name, "is not a string", field.present & field.text.isNull()))
-        checks.extend((name, message, failed) for message, failed in rest)
+        wrong = Check(name, "is not a string", f"({field.present}) AND ({field.text}) IS NULL")
+        return [wrong, *[Check(name, message, failed) for message, failed in rest]]
 
-    def length_rules(name: str, longest: int | None) -> list[tuple[str, Column]]:
-        size = F.length(fields[name].text)
-        rest = [("is shorter than 1 character", size < 1)]
+    def length_rules(name: str, longest: int | None) -> list[tuple[str, str]]:
+        size = f"length({fields[name].text})"
+        rest = [("is shorter than 1 character", f"{size} < 1")]
         if longest is not None:
-            rest.append((f"is longer than {longest} characters", size > longest))
+            rest.append((f"is longer than {longest} characters", f"{size} > {longest}"))
         return rest
 
-    def pattern_rule(name: str, pattern: str) -> tuple[str, Column]:
-        return f"does not match {pattern}", ~fields[name].text.rlike(_matches(pattern))
+    def pattern_rule(name: str, pattern: str) -> tuple[str, str]:
+        return (
+            f"does not match {pattern}",
+            f"NOT rlike({fields[name].text}, {_literal(_pattern(pattern))})",
+        )
 
-    string_rules("body", *length_rules("body", rules.body_max))
-    string_rules("product_id", pattern_rule("product_id", rules.product_id_pattern))
-    string_rules("product_name", *length_rules("product_name", None))
+    listed += string_rules("body", *length_rules("body", rules.body_max))
+    listed += string_rules("product_id", pattern_rule("product_id", rules.product_id_pattern))
+    listed += string_rules("product_name", *length_rules("product_name", None))
 
     rating = fields["rating"]
-    whole = F.coalesce(rating.number % 1 == 0, F.lit(False))
-    checks += [
-        ("rating", "is not an integer", rating.present & ~whole),
-        ("rating", f"is below {rules.rating_min}", rating.number < rules.rating_min),
-        ("rating", f"is above {rules.rating_max}", rating.number > rules.rating_max),
+    listed += [
+        # Whole numbers written with a fraction, such as 5.0, are integers.
+        Check(
+            "rating",
+            "is not an integer",
+            f"({rating.present}) AND NOT coalesce({rating.number} % 1 = 0, false)",
+        ),
+        Check("rating", f"is below {rules.rating_min}", f"{rating.number} < {rules.rating_min}"),
+        Check("rating", f"is above {rules.rating_max}", f"{rating.number} > {rules.rating_max}"),
     ]
 
-    string_rules("review_id", pattern_rule("review_id", rules.review_id_pattern))
+    listed += string_rules("review_id", pattern_rule("review_id", rules.review_id_pattern))
     language = fields["source_language"]
+    known = ", ".join(map(_literal, rules.languages))
     # A value that is no string is none of the listed ones either.
-    listed = F.coalesce(language.text.isin(*rules.languages), F.lit(False))
-    string_rules(
-        "source_language",
-        ("is not one of " + ", ".join(rules.languages), language.present & ~listed),
+    unlisted = f"({language.present}) AND NOT coalesce({language.text} IN ({known}), false)"
+    listed += string_rules(
+        "source_language", ("is not one of " + ", ".join(rules.languages), unlisted)
     )
-    string_rules("title", *length_rules("title", rules.title_max))
-
-    found = F.filter(
-        F.array(
-            *[
-                F.when(failed, F.struct(F.lit(path).alias("path"), F.lit(message).alias("message")))
-                for path, message, failed in checks
-            ]
-        ),
-        lambda v: v.isNotNull(),
-    ).cast(f"array<{VIOLATION}>")
-    if is_object is None:
-        return found
-    not_object = F.array(
-        F.struct(F.lit("<root>").alias("path"), F.lit("is not an object").alias("message"))
-    ).cast(f"array<{VIOLATION}>")
-    return F.when(is_object, found).otherwise(not_object)
+    listed += string_rules("title", *length_rules("title", rules.title_max))
+    return listed
+
+
+def violations(rules: list[Check], is_object: str = "true") -> Column:
+    """The violated rules of a record as an array of path and message."""
+    found = ", ".join(
+        f"CASE WHEN {r.failed} THEN struct({_literal(r.path)} AS path,"
+        f" {_literal(r.message)} AS message) END"
+        for r in rules
+    )
+    return F.expr(
+        f"CAST(CASE WHEN {is_object} THEN filter(array({found}), v -> v IS NOT NULL)"
+        " ELSE array(struct('<root>' AS path, 'is not an object' AS message)) END"
+        f" AS array<{VIOLATION}>)"
+    )
+
+
+def passes(rules: list[Check], is_object: str = "true") -> Column:
+    """Whether a record violates nothing: plain conditions, so that a filter on it
+    is split up, pushed down and never builds the array of violations."""
+    clean = " AND ".join(f"NOT coalesce({r.failed}, false)" for r in rules)
+    return F.expr(f"{is_object} AND {clean}")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pattern(pattern: str) -> str:
+    # In the rule's own dialect `$` also stands before one final line feed.
+    return pattern[:-1] + r"\n?\z" if pattern.endswith("$") else pattern

@@ -4,62 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from revlens.functions.rules import Field, json_field, typed_field, violations
+from revlens.functions.rules import Field, checks, json_field, passes, typed_field, violations
 from revlens.params import ReviewRules
 from revlens.schema import REVIEW, REVIEW_FIELDS
 
 
 def check_typed(df: DataFrame, rules: ReviewRules) -> DataFrame:
-    """Adds ``violations`` to records held in typed columns beside ``seq``."""
-    fields = {
-        name: typed_field(F.col(name), numeric=name == "rating") for name in REVIEW_FIELDS
-    }
-    return df.select("seq", *REVIEW_FIELDS, violations(fields, rules).alias("violations"))
+    """Adds ``violations`` and ``valid`` to records in typed columns beside ``seq``."""
+    fields = {name: typed_field(name) for name in REVIEW_FIELDS}
+    listed = checks(fields, rules)
+    return df.select(
+        "seq",
+        *REVIEW_FIELDS,
+        violations(listed).alias("violations"),
+        passes(listed).alias("valid"),
+    )
 
 
 def check_json(df: DataFrame, rules: ReviewRules) -> DataFrame:
-    """Adds ``violations`` to records held as JSON in a variant column ``record``.
+    """Adds ``violations`` and ``valid`` to JSON records in a variant column ``record``.
 
     A later filter on the violations would be pushed below these steps, with each
     use of a record or a field replaced by the parsing behind it. Filters stop at
     a generator's output, so one-element arrays keep both to one evaluation.
     """
     names = REVIEW_FIELDS
-    whole = df.select("seq", F.explode(F.array("record")).alias("record"))
-    opened = whole.select(
+    known = ", ".join(f"'{n}'" for n in names)
+    opened = df.select("seq", F.explode(F.array("record")).alias("record")).selectExpr(
         "seq",
-        F.when(
-            F.schema_of_variant("record").startswith("OBJECT"),
-            F.col("record").cast("map<string,variant>"),
-        ).alias("_members"),
+        "CASE WHEN startswith(schema_of_variant(record), 'OBJECT')"
+        " THEN CAST(record AS map<string, variant>) END AS _members",
     )
-    members = F.col("_members")
-    unknown = F.array_except(F.map_keys(members), F.array(*map(F.lit, names)))
-    taken = opened.select(
+    taken = opened.selectExpr(
         "seq",
-        members.isNotNull().alias("_is_object"),
-        (F.size(unknown) > 0).alias("_has_extra"),
-        *[F.map_contains_key(members, n).alias(f"{n}_present") for n in names],
-        *[F.try_element_at(members, F.lit(n)).alias(f"{n}_value") for n in names],
-    )
-    kinds = taken.select(
-        "*", *[F.schema_of_variant(f"{n}_value").alias(f"{n}_kind") for n in names]
-    )
-    plain = F.struct(
-        "_is_object",
-        "_has_extra",
-        *[
-            part.alias(f"{n}_{label}")
-            for n in names
-            for label, part in json_field(n).parts().items()
-        ],
+        "_members IS NOT NULL AS _is_object",
+        f"size(array_except(map_keys(_members), array({known}))) > 0 AS _has_extra",
+        *[f"map_contains_key(_members, '{n}') AS {n}_present" for n in names],
+        *[f"try_element_at(_members, '{n}') AS {n}_value" for n in names],
     )
-    fields = {n: Field(*[F.col(f"{n}_{label}") for label in Field.LABELS]) for n in names}
-    values = [(fields[n].number if n == "rating" else fields[n].text).alias(n) for n in names]
-    return kinds.select("seq", F.inline(F.array(plain))).select(
+    kinds = taken.selectExpr("*", *[f"schema_of_variant({n}_value) AS {n}_kind" for n in names])
+    parts = ["_is_object", "_has_extra"]
+    for n in names:
+        field = json_field(n)
+        parts += [f"{field.present} AS {n}_present", f"{field.text} AS {n}_text"]
+        parts.append(f"{field.number} AS {n}_number")
+    plain = kinds.selectExpr("seq", f"inline(array(struct({', '.join(parts)})))")
+
+    fields = {n: Field(f"{n}_present", f"{n}_text", f"{n}_number") for n in names}
+    listed = checks(fields, rules, "_has_extra")
+    return plain.select(
         "seq",
-        *values,
-        violations(fields, rules, F.col("_is_object"), F.col("_has_extra")).alias("violations"),
+        *[F.col(f"{n}_number" if n == "rating" else f"{n}_text").alias(n) for n in names],
+        violations(listed, "_is_object").alias("violations"),
+        passes(listed, "_is_object").alias("valid"),
     )
 
 
@@ -68,13 +65,9 @@ def check(df: DataFrame, rules: ReviewRules) -> DataFrame:
     return check_json(df, rules) if "record" in df.columns else check_typed(df, rules)
 
 
-def is_valid() -> Column:
-    return F.size("violations") == 0
-
-
 def valid(checked: DataFrame) -> DataFrame:
     """The records without a violation, as typed reviews."""
-    return checked.where(is_valid()).select(*_typed())
+    return checked.where("valid").select(*_typed())
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -83,7 +76,7 @@ def rejected(checked: DataFrame) -> DataFrame:
     Messages name the rule and never quote the record, which holds customer text.
     """
     first = F.get("violations", F.lit(0))
-    return checked.where(~is_valid()).select(
+    return checked.where(~F.col("valid")).select(
         "seq",
         "review_id",
         F.concat(first["path"], F.lit(": "), first["message"]).alias("first_error"),
@@ -97,19 +90,19 @@ def split(checked: DataFrame) -> DataFrame:
     keep_id = ("seq", "review_id")
     return checked.select(
         *[
-            c if name in keep_id else F.when(is_valid(), c).alias(name)
+            c if name in keep_id else F.when(F.col("valid"), c).alias(name)
             for name, c in zip(checked.columns, _typed())
         ],
         "violations",
-        is_valid().alias("valid"),
+        "valid",
     )
 
 
 def counts(checked: DataFrame) -> DataFrame:
     return checked.agg(
         F.count("*").alias("loaded"),
-        F.count_if(is_valid()).alias("valid"),
-        F.count_if(~is_valid()).alias("dropped"),
+        F.count_if("valid").alias("valid"),
+        F.count_if(~F.col("valid")).alias("dropped"),
     )
 
 

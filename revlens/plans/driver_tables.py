@@ -21,14 +21,22 @@ ENVELOPE_DOCS = 16
 LIBRARY_DOCS = 144
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cores if their files have fewer splits."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() < cores:
+        return table.repartition(cores, "doc_id")
+    return table
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").where(
         F.col("p_partkey").between(FIRST_PART, FIRST_PART + PRODUCTS - 1)
     )
     key = F.lit(FIRST_PART) + F.col("doc_id") % PRODUCTS
     digits = F.col("doc_id").cast("string")
-    return documents.join(parts, parts["p_partkey"] == key).select(
+    return documents(spark, sf_dir).join(parts, parts["p_partkey"] == key).select(
         F.col("doc_id").alias("seq"),
         F.concat(
             F.lit("rev-"), F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
@@ -37,7 +45,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("lang").alias("source_language"),
         (1 + (F.col("doc_id") * 7 + F.col("n_chars")) % 7).cast("int").alias("rating"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("body"),
     )
 
@@ -205,14 +213,14 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.element_at(F.array(*map(F.lit, names)), (place + 1).cast("int"))
 
     doc, size = F.col("doc_id"), F.col("n_chars")
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    return documents(spark, sf_dir).select(
         F.floor(doc / LIBRARY_DOCS).alias("library_id"),
         pick(fixed.LANGUAGES, size % 6).alias("lang"),
         pick(fixed.PHRASE_KINDS, doc % 2).alias("kind"),
         pick(fixed.SENTIMENTS, F.floor(doc / 2) % 3).alias("sentiment"),
         doc.alias("doc_id"),
         F.concat(
-            F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(" " + fixed.PRODUCT_PLACEHOLDER)
+            F.substring_index("text", "\n", 1), F.lit(" " + fixed.PRODUCT_PLACEHOLDER)
         ).alias("phrase"),
     )
 

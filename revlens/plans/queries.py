@@ -435,7 +435,7 @@ def back_translate_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def tokenize_counts(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf}/documents.parquet").select(
+    documents = driver.documents(spark, sf).select(
         "doc_id", tokens(F.col("text")).alias("t")
     )
     return documents.select(
@@ -446,7 +446,7 @@ def tokenize_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def roundtrip_similarity(spark: SparkSession, sf: str) -> DataFrame:
     """Each document against the next one."""
-    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    documents = driver.documents(spark, sf).select("doc_id", "text")
     following = documents.select(
         (F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("next_text")
     )
@@ -495,7 +495,7 @@ def report_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def quota_largest_remainder(spark: SparkSession, sf: str) -> DataFrame:
     """A plan per document source, as large as the source."""
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    documents = driver.documents(spark, sf)
     totals = documents.groupBy(F.col("source").alias("plan")).agg(F.sum("n_chars").alias("total"))
     return synth.quotas(totals)
 

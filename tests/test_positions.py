@@ -1,0 +1,45 @@
+import random
+
+import pytest
+
+from revlens.operators.positions import with_position
+
+
+def expected(rows):
+    groups = {}
+    for group, *rest in rows:
+        if group is not None:
+            groups.setdefault(group, []).append(tuple(rest))
+    return {
+        (g, *row): (i, len(members), min(members)[-1])
+        for g, members in groups.items()
+        for i, row in enumerate(sorted(members), 1)
+    }
+
+
+@pytest.mark.parametrize(
+    "step, low", [(1, 0), (1 << 15, -(1 << 17)), (1 << 30, -(1 << 35)), (1 << 47, -(1 << 53))]
+)
+def test_against_brute_force(spark, step, low):
+    """Order values within one block, over blocks, over blocks of blocks, and far
+    apart; one group has a third of the rows, one group is null."""
+    rng = random.Random(step)
+    groups = ["hot"] * 6 + list("abcdefghijk") + [None]
+    rows = [(rng.choice(groups), low + i * step + rng.randrange(step), 0, f"n{i}") for i in range(300)]
+    rows += [(g, o, 1, n + "x") for g, o, _, n in rows[:100]]
+    df = spark.createDataFrame(rows, "g string, o long, tie int, name string").repartition(7)
+    got = with_position(df, "g", ["o", "tie"], first=["name"]).collect()
+    wanted = expected(rows)
+    assert len(got) == len(wanted)
+    for r in got:
+        assert (r["position"], r["group_rows"], r["first_name"]) == wanted[
+            (r["g"], r["o"], r["tie"], r["name"])
+        ]
+
+
+def test_no_window_over_a_whole_group(spark):
+    """Every window is partitioned by a block or a span, or runs over spans."""
+    df = spark.range(10).selectExpr("'g' AS g", "id AS o")
+    plan = with_position(df, "g", ["o"])._jdf.queryExecution().optimizedPlan().toString()
+    ranks = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
+    assert ranks and all("_block" in line.split("], [")[1] for line in ranks)
