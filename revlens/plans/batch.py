@@ -118,17 +118,17 @@ def run_batch(
 def stage_status(spark: SparkSession, at: Layout) -> DataFrame:
     """What each stage read, wrote and counted, from the written tables, which a
     retried task cannot inflate."""
-    keys = [
-        ("ingestion", "source", "records", ingested(spark, at)),
-        ("translation", "records", "translated", None),
-        ("summarization", "translated", "summaries", None),
-        ("quality", "translated", "scored", None),
-        ("serving", "scored", "serving_pages", None),
-    ]
-    rows = [
-        (stage, source, target, (df or read_table(spark, at.path(target))).count())
-        for stage, source, target, df in keys
+    stages = [
+        ("ingestion", None, "records"),
+        ("translation", "records", "translated"),
+        ("summarization", "translated", "summaries"),
+        ("quality", "translated", "scored"),
+        ("serving", "scored", "serving_pages"),
     ]
+    rows = []
+    for stage, source, target in stages:
+        table = ingested(spark, at) if target == "records" else read_table(spark, at.path(target))
+        rows.append((stage, source and at.path(source), at.path(target), table.count()))
     return spark.createDataFrame(rows, STATUS)
 
 
