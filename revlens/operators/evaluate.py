@@ -212,7 +212,8 @@ def evaluate(
     scored = score_translations(translated, params, judge)
     if not (translator.is_native and judge.provider.is_native):
         scored = keep(scored)
-    judged = judged_round_trips(scored, translator)
+    # The figures need no texts, so none are kept.
+    judged = judged_round_trips(scored, translator).drop("back_title", "back_body")
     if not translator.is_native:
         judged = keep(judged)
     return Evaluation(details(judged), language_metrics(judged, params), overall(scored, params))

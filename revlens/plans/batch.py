@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens.operators import ingest, quality, serving, summarize, translate
 from revlens.operators.providers import Judge, Provider
@@ -133,22 +133,31 @@ def stage_status(spark: SparkSession, at: Layout) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
-    """The counters of a run in one row, from narrow columns of its tables."""
-    loaded = read_table(spark, at.path("records"), RECORDS).agg(
-        F.count("*").alias("loaded"),
-        F.count_if("valid").alias("valid"),
-        F.count_if(~F.col("valid")).alias("dropped"),
-    )
-    routed = translate.route_counts(read_table(spark, at.path("translated")), params)
-    judged = read_table(spark, at.path("scored")).agg(
-        F.coalesce(F.sum("judged"), F.lit(0)).alias("translations"),
-        F.coalesce(F.sum(F.size("quality")), F.lit(0)).alias("kept"),
-        F.coalesce(F.sum(F.col("judged") - F.size("quality")), F.lit(0)).alias("filtered"),
-        F.coalesce(F.sum("judge_errors"), F.lit(0)).alias("errors"),
-    )
-    one = F.lit(1).alias("_run")
-    tables = [t.select("*", one) for t in (loaded, routed, judged)]
-    return tables[0].join(tables[1], "_run").join(tables[2], "_run").drop("_run")
+    """The counters of a run, ``(stage, counter, value)``, from narrow columns of its
+    tables."""
+
+    def total(value: Column, name: str) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).alias(name)
+
+    records = read_table(spark, at.path("records"), RECORDS)
+    judged, kept = F.col("judged"), F.size("quality")
+    counters = {
+        "ingestion": ingest.counts(records),
+        "translation": translate.route_counts(read_table(spark, at.path("translated")), params),
+        "quality": read_table(spark, at.path("scored")).agg(
+            total(judged, "translations"),
+            total(kept, "kept"),
+            total(judged - kept, "filtered"),
+            total(F.col("judge_errors"), "errors"),
+        ),
+    }
+    long = [
+        row.unpivot([], row.columns, "counter", "value").select(
+            F.lit(stage).alias("stage"), "counter", "value"
+        )
+        for stage, row in counters.items()
+    ]
+    return long[0].unionByName(long[1]).unionByName(long[2])
 
 
 def publish(spark: SparkSession, at: Layout) -> None:

@@ -629,14 +629,19 @@ def oracle_sql() -> dict[str, str]:
         "staged_run_counts": _with_more(
             "prompted valid",
             _RUN_SCORED,
-            """SELECT (SELECT count(*) FROM reviews) AS loaded, (SELECT count(*) FROM valid) AS valid,
-                      (SELECT count(*) FROM reviews) - (SELECT count(*) FROM valid) AS dropped,
-                      (SELECT count(*) FROM valid) AS reviews_in,
-                      (SELECT count(*) FROM valid WHERE source_language <> 'en') AS translated_reviews,
-                      (SELECT count(*) FROM valid WHERE source_language = 'en') AS passthrough_reviews,
-                      count(*) AS translations, count(*) FILTER (kept) AS kept,
-                      count(*) FILTER (NOT kept) AS filtered, count(*) FILTER (failed) AS errors
-               FROM run_kept""",
+            """SELECT 'ingestion' AS stage, 'loaded' AS counter, count(*) AS value FROM reviews
+               UNION ALL SELECT 'ingestion', 'valid', count(*) FROM valid
+               UNION ALL SELECT 'ingestion', 'dropped', count(*) FROM reviews
+                   WHERE seq NOT IN (SELECT seq FROM valid)
+               UNION ALL SELECT 'translation', 'reviews_in', count(*) FROM valid
+               UNION ALL SELECT 'translation', 'translated_reviews', count(*) FROM valid
+                   WHERE source_language <> 'en'
+               UNION ALL SELECT 'translation', 'passthrough_reviews', count(*) FROM valid
+                   WHERE source_language = 'en'
+               UNION ALL SELECT 'quality', 'translations', count(*) FROM run_kept
+               UNION ALL SELECT 'quality', 'kept', count(*) FROM run_kept WHERE kept
+               UNION ALL SELECT 'quality', 'filtered', count(*) FROM run_kept WHERE NOT kept
+               UNION ALL SELECT 'quality', 'errors', count(*) FROM run_kept WHERE failed""",
         ),
         "staged_run_pages": _with_more(
             "prompted valid",

@@ -20,13 +20,15 @@ from revlens.sources.records import accept_repeated_keys
 #: Room for positions inside one file in ``seq``; file number goes above it.
 _FILE_SHIFT = 32
 _SHOWN = 100
+_NO_JSON = "is not valid JSON"
 
 
 def read_envelopes(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
     """Records ``(seq, record)`` of the dataset files at ``path``, in file order.
 
     With ``check`` a file that cannot be used raises ``ValueError`` here, at the
-    price of parsing the files twice; without it the job itself fails on it.
+    price of parsing the files twice; without it the job itself fails on it, and
+    an empty file counts as one without records.
     """
     if not isinstance(path, str):
         raise ValueError(f"source must be a path or a DataFrame, not {type(path).__name__}")
@@ -39,18 +41,20 @@ def read_envelopes(spark: SparkSession, path: str, check: bool = True) -> DataFr
         raise ValueError(f"dataset not found or not readable: {path}") from failure
     # The driver has listed the files already; their order numbers the documents.
     files = spark.createDataFrame(list(enumerate(names)), "file_no long, file string")
-    documents = files.join(texts, "file", "left")
     if check:
-        bad = envelope_problems(documents)
-        shown = bad.limit(_SHOWN).collect()
+        bad = files.join(envelope_problems(texts), "file", "left").select(
+            # An empty file has no row of its own.
+            "file", F.coalesce("problem", F.lit(_NO_JSON)).alias("problem")
+        )
+        shown = bad.where("problem <> ''").orderBy("file").limit(_SHOWN).collect()
         if shown:
             raise ValueError("; ".join(f"{row['file']} {row['problem']}" for row in shown))
-    return envelope_records(documents)
+    return envelope_records(texts.join(files, "file"))
 
 
-def envelope_problems(documents: DataFrame) -> DataFrame:
-    """``(file, problem)`` for each document that has no array of records."""
-    return _parsed(documents).select("file", _problem().alias("problem")).where("problem is not null")
+def envelope_problems(texts: DataFrame) -> DataFrame:
+    """``(file, problem)`` per document; the problem is empty if it has its array."""
+    return _parsed(texts).select("file", F.coalesce(_problem(), F.lit("")).alias("problem"))
 
 
 def envelope_records(documents: DataFrame) -> DataFrame:
@@ -82,7 +86,7 @@ def _records() -> Column:
 
 
 def _problem() -> Column:
-    return F.when(F.col("_doc").isNull(), F.lit("is not valid JSON")).when(
+    return F.when(F.col("_doc").isNull(), F.lit(_NO_JSON)).when(
         _records().isNull(), F.lit(f"holds no {fixed.REVIEWS_KEY} array")
     )
 

@@ -45,7 +45,7 @@ def test_run(spark, make_reviews, tmp_path):
     ]
     at = batch.Layout(root, "one")
     assert [r["review_id"] for r in batch.rejected(spark, at).collect()] == ["rev-0004"]
-    counts = batch.stage_counts(spark, at, PARAMS).first().asDict()
+    counts = {r["counter"]: r["value"] for r in batch.stage_counts(spark, at, PARAMS).collect()}
     assert counts == {
         "loaded": 4, "valid": 3, "dropped": 1, "reviews_in": 3, "translated_reviews": 2,
         "passthrough_reviews": 1, "translations": 4, "kept": 4, "filtered": 0, "errors": 0,
