@@ -10,7 +10,7 @@ from revlens import fixed_values as fixed
 def tokens(text: Column) -> Column:
     """Lower-case words. Java's own ``\\w`` is ASCII, so the classes are spelled out."""
     return F.regexp_extract_all(
-        F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1)
+        F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]++"), F.lit(0)
     )
 
 

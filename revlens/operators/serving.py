@@ -103,18 +103,29 @@ def numbered_entries(entries: DataFrame) -> DataFrame:
 
 def product_pages(entries: DataFrame, params: Params) -> DataFrame:
     """Entries in order, ``page_entries`` to a row, so a product of any size is
-    many bounded rows. The header table holds its summary."""
-    page = F.floor((F.col("position") - 1) / params.page_entries).cast("long").alias("page_no")
+    many bounded rows. The header table holds its summary.
+
+    Entries are shuffled straight into the ranges the pages are stored in; the
+    grouping needs no shuffle of its own on top.
+    """
+    keys = ("product_id", "page_no")
     listed = F.array_sort(
         F.collect_list(F.struct("position", "review_id", "language", "title", "body", "rating"))
     )
-    return numbered_entries(entries).groupBy("product_id", page).agg(listed.alias("reviews"))
+    return (
+        numbered_entries(entries)
+        .withColumn("page_no", F.expr(f"(position - 1) div {params.page_entries}"))
+        .repartitionByRange(*keys)
+        .groupBy(*keys)
+        .agg(listed.alias("reviews"))
+        .sortWithinPartitions(*keys)
+    )
 
 
-def laid_out(table: DataFrame, *keys: str) -> DataFrame:
-    """Sorted ranges of the lookup key, so a reader's file statistics skip all but
-    the files that can hold its product; a large product is split by its pages."""
-    return table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+def laid_out(headers: DataFrame) -> DataFrame:
+    """Headers in sorted ranges of the product id, as the pages are: a reader's file
+    statistics skip all files but those that can hold its product."""
+    return headers.repartitionByRange("product_id").sortWithinPartitions("product_id")
 
 
 def lookup(requests: DataFrame, headers: DataFrame) -> DataFrame:

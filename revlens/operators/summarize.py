@@ -114,7 +114,7 @@ def _name(first_name: Column) -> Column:
 def _prompts(lines: DataFrame, width: int) -> DataFrame:
     """Joins up to ``width`` lines under the head; ``parts`` becomes the number of
     prompts of the product in this round."""
-    part = F.floor((F.col("position") - 1) / width).cast("long").alias("part")
+    part = F.expr(f"(position - 1) div {width}").alias("part")
     ordered = F.array_sort(F.collect_list(F.struct("position", "line")))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
     return (
@@ -124,7 +124,7 @@ def _prompts(lines: DataFrame, width: int) -> DataFrame:
             "product_id",
             "product_name",
             "review_count",
-            F.ceil(F.col("parts") / width).cast("long").alias("parts"),
+            F.expr(f"(parts + {width - 1}) div {width}").alias("parts"),
             "part",
             "failed",
             F.concat(

@@ -83,11 +83,9 @@ def serving_stage(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
     scored = read_table(spark, at.path("scored"))
     summaries = read_table(spark, at.path("summaries"))
     headers = serving.product_headers(scored, summaries)
-    write_table(serving.laid_out(headers, "product_id"), at.path("serving_headers"))
+    write_table(serving.laid_out(headers), at.path("serving_headers"))
     pages = serving.product_pages(serving.served_entries(scored, params), params)
-    return write_table(
-        serving.laid_out(pages, "product_id", "page_no"), at.path("serving_pages")
-    )
+    return write_table(pages, at.path("serving_pages"))
 
 
 def run_batch(

@@ -120,7 +120,7 @@ def write_envelopes(
     in_order = F.array_sort(F.collect_list(F.struct("position", F.struct(*REVIEW_FIELDS).alias("r"))))
     (
         numbered.groupBy(
-            F.format_string("%08d", F.floor((F.col("position") - 1) / per_file)).alias("part")
+            F.format_string("%08d", F.expr(f"(position - 1) div {per_file}")).alias("part")
         )
         .agg(in_order.alias("rows"))
         .select(

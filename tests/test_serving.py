@@ -93,7 +93,10 @@ def test_lookup_reads_few_files(spark, scored, tmp_path):
     """Ranges of the lookup key: a product's rows lie in one file here."""
     rows = [(i, f"r{i}", f"prod-{i:03d}", "en", 1, "t", "b", {}, {}) for i in range(200)]
     entries = serving.served_entries(spark.createDataFrame(rows, COLUMNS), PARAMS)
-    table = serving.laid_out(serving.product_pages(entries, PARAMS), "product_id", "page_no")
+    table = serving.product_pages(entries, PARAMS)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert "Exchange hashpartitioning(product_id" not in plan.split("Exchange rangepartitioning")[0]
     table.write.parquet(str(tmp_path / "pages"))
     got = spark.read.parquet(str(tmp_path / "pages")).where("product_id = 'prod-042'")
     assert [r["reviews"][0]["review_id"] for r in got.collect()] == ["r42"]
