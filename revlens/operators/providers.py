@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _ARROW = {"string": pa.string(), "double": pa.float64()}
@@ -72,29 +73,41 @@ def call_each(
     kept = [f for f in asked.schema.fields if f.name != "_calls"]
     schema = T.StructType(kept).add(out, T.DataType.fromDDL(ddl))
     make, value_type = provider.make, _ARROW[kind]
-    result_type = pa.list_(pa.struct([("value", value_type), ("error", pa.string())]))
 
-    def answer(function: Callable[..., Any], call: dict) -> dict:
+    def answer(function: Callable[..., Any], call: tuple) -> tuple[Any, str | None]:
         try:
-            value = function(*[call[a] for a in args])
-            if value is not None and kind == "double":
-                value = float(value)
-            return {"value": value, "error": None if value is not None else "NoReply"}
+            value = function(*call)
+            if value is None:
+                return None, "NoReply"
+            if kind == "string" and not isinstance(value, str):
+                return None, "TypeError"
+            return (float(value) if kind == "double" else value), None
         except Exception as failure:  # a failed call is a row, not a failed task
-            return {"value": None, "error": type(failure).__name__}
+            return None, type(failure).__name__
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
         for batch in batches:
             at = batch.schema.get_field_index("_calls")
-            asked_calls = batch.column(at).to_pylist()
-            if function is None and any(asked_calls):
+            lists = batch.column(at)
+            # The calls of all rows side by side, one array per argument.
+            items = [argument.to_pylist() for argument in lists.flatten().flatten()]
+            if function is None and items[0]:
                 function = make()
-            results = [[answer(function, c) for c in row or []] for row in asked_calls]
+            answers = [answer(function, call) for call in zip(*items)]
+            results = pa.StructArray.from_arrays(
+                [
+                    pa.array([value for value, _ in answers], value_type),
+                    pa.array([error for _, error in answers], pa.string()),
+                ],
+                names=["value", "error"],
+            )
+            sizes = pc.fill_null(pc.list_value_length(lists).cast(pa.int32()), 0)
+            ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], sizes.type), sizes]))
             columns = [c for i, c in enumerate(batch.columns) if i != at]
             names = [n for i, n in enumerate(batch.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(results, result_type)], names=[*names, out]
+                [*columns, pa.ListArray.from_arrays(ends, results)], names=[*names, out]
             )
 
     return asked.mapInArrow(task, schema)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens import fixed_values as fixed
+from revlens.operators.positions import with_position
 from revlens.operators.providers import Judge, Provider
 from revlens.params import Params, ReviewRules
 
@@ -251,6 +252,20 @@ def libraries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def library_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All parts as products, and the phrases of all documents as one library."""
+    products = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_partkey").cast("int").alias("idx"),
+        F.concat(F.lit("prod-"), F.col("p_partkey").cast("string")).alias("product_id"),
+        F.col("p_name").alias("product_name"),
+    )
+    listed = phrases(spark, sf_dir).select(
+        "*", F.concat_ws("/", "lang", "kind", "sentiment").alias("list")
+    )
+    numbered = with_position(listed, "list", ["doc_id"])
+    return products, numbered.withColumn("idx", F.col("position") - 1)
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page requests: one per line item; six of the twenty ids are unknown."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")

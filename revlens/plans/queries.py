@@ -17,7 +17,6 @@ from revlens.functions.arrays import items
 from revlens.functions.similarity import tokens, with_similarity, with_tokens
 from revlens.functions.text import is_kept, judge_prompt, parse_score, review_text
 from revlens.operators import evaluate, ingest, quality, serving, summarize, synth, translate
-from revlens.operators.positions import with_position
 from revlens.operators.providers import echo_translator
 from revlens.params import Params
 from revlens.plans import batch, driver_tables as driver
@@ -519,16 +518,7 @@ def rating_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def synth_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """As many reviews as there are line items, of all parts, in the documents' words."""
-    parts = spark.read.parquet(f"{sf}/part.parquet")
-    products = parts.select(
-        F.col("p_partkey").cast("int").alias("idx"),
-        F.concat(F.lit("prod-"), F.col("p_partkey").cast("string")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-    )
-    lists = F.concat_ws("/", "lang", "kind", "sentiment").alias("list")
-    phrases = with_position(
-        driver.phrases(spark, sf).select("*", lists), "list", ["doc_id"]
-    ).withColumn("idx", F.col("position") - 1)
+    products, phrases = driver.library_tables(spark, sf)
     total = spark.read.parquet(f"{sf}/lineitem.parquet").count()
     made = synth.generate(products, phrases, total, seed=42)
     return made.select(

@@ -23,8 +23,11 @@ _SHOWN = 100
 _NO_JSON = "is not valid JSON"
 
 
-def read_envelopes(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
-    """Records ``(seq, record)`` of the dataset files at ``path``, in file order.
+def read_envelopes(
+    spark: SparkSession, path: str, check: bool = True, bare_arrays: bool = True
+) -> DataFrame:
+    """Records ``(seq, record)`` of the dataset files at ``path``, in file order;
+    ``bare_arrays`` accepts files that are an array of records and nothing else.
 
     With ``check`` a file that cannot be used raises ``ValueError`` here, at the
     price of parsing the files twice; without it the job itself fails on it, and
@@ -42,26 +45,27 @@ def read_envelopes(spark: SparkSession, path: str, check: bool = True) -> DataFr
     # The driver has listed the files already; their order numbers the documents.
     files = spark.createDataFrame(list(enumerate(names)), "file_no long, file string")
     if check:
-        bad = files.join(envelope_problems(texts), "file", "left").select(
+        bad = files.join(envelope_problems(texts, bare_arrays), "file", "left").select(
             # An empty file has no row of its own.
             "file", F.coalesce("problem", F.lit(_NO_JSON)).alias("problem")
         )
         shown = bad.where("problem <> ''").orderBy("file").limit(_SHOWN).collect()
         if shown:
             raise ValueError("; ".join(f"{row['file']} {row['problem']}" for row in shown))
-    return envelope_records(texts.join(files, "file"))
+    return envelope_records(texts.join(files, "file"), bare_arrays)
 
 
-def envelope_problems(texts: DataFrame) -> DataFrame:
+def envelope_problems(texts: DataFrame, bare_arrays: bool = True) -> DataFrame:
     """``(file, problem)`` per document; the problem is empty if it has its array."""
-    return _parsed(texts).select("file", F.coalesce(_problem(), F.lit("")).alias("problem"))
+    return _parsed(texts).select("file", F.coalesce(_problem(bare_arrays), F.lit("")).alias("problem"))
 
 
-def envelope_records(documents: DataFrame) -> DataFrame:
+def envelope_records(documents: DataFrame, bare_arrays: bool = True) -> DataFrame:
     """``(seq, record)`` from ``(file_no, file, text)``; a bad document fails the job."""
+    problem = _problem(bare_arrays)
     records = F.when(
-        _problem().isNotNull(), F.raise_error(F.concat_ws(" ", "file", _problem()))
-    ).otherwise(_records())
+        problem.isNotNull(), F.raise_error(F.concat_ws(" ", "file", problem))
+    ).otherwise(_records(bare_arrays))
     return (
         _parsed(documents)
         .select("file_no", F.posexplode(records).alias("pos", "record"))
@@ -78,16 +82,14 @@ def _parsed(documents: DataFrame) -> DataFrame:
     return documents.withColumn("_doc", F.try_parse_json(usable))
 
 
-def _records() -> Column:
-    return F.coalesce(
-        F.try_variant_get("_doc", "$", "array<variant>"),
-        F.try_variant_get("_doc", f"$.{fixed.REVIEWS_KEY}", "array<variant>"),
-    )
+def _records(bare_arrays: bool) -> Column:
+    inside = F.try_variant_get("_doc", f"$.{fixed.REVIEWS_KEY}", "array<variant>")
+    return F.coalesce(F.try_variant_get("_doc", "$", "array<variant>"), inside) if bare_arrays else inside
 
 
-def _problem() -> Column:
+def _problem(bare_arrays: bool) -> Column:
     return F.when(F.col("_doc").isNull(), F.lit(_NO_JSON)).when(
-        _records().isNull(), F.lit(f"holds no {fixed.REVIEWS_KEY} array")
+        _records(bare_arrays).isNull(), F.lit(f"holds no {fixed.REVIEWS_KEY} array")
     )
 
 

@@ -28,6 +28,12 @@ def test_envelope_and_bare_array(spark, tmp_path):
     assert [r["seq"] for r in good] == [0, 2, 1 << 32]
 
 
+def test_bare_arrays_can_be_refused(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([review()]))
+    with pytest.raises(ValueError, match="holds no reviews array"):
+        envelopes.read_envelopes(spark, str(tmp_path), bare_arrays=False)
+
+
 def test_empty_array_gives_no_rows(spark, tmp_path):
     (tmp_path / "a.json").write_text("[]")
     assert envelopes.read_envelopes(spark, str(tmp_path)).count() == 0

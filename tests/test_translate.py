@@ -84,6 +84,11 @@ def test_no_reply_is_a_failure(make_reviews):
     assert rows[1]["translations"] == {}
 
 
+def test_answer_of_another_kind_is_a_failure(make_reviews):
+    attempted = translate.attempt(make_reviews(MIXED[1]), PARAMS, batch(lambda *_: 5))
+    assert attempted.first()["attempts"][0]["error"] == "TypeError"
+
+
 def test_no_client_without_work(make_reviews):
     def make():
         raise AssertionError("built for passthrough reviews")
