@@ -32,20 +32,20 @@ def with_similarity(df: DataFrame, left: str, right: str, out: str) -> DataFrame
     text costs its own size and no shuffle.
     """
     n_left, n_right = F.col(f"{left}_n"), F.col(f"{right}_n")
-    common = F.col("_common")
-    union = F.size(f"{left}_vocab") + F.size(f"{right}_vocab") - common
+    only_left = F.col("_only_left")
+    # Both sides are distinct, so one set difference gives overlap and union.
+    common = F.size(f"{left}_vocab") - only_left
+    union = F.size(f"{right}_vocab") + only_left
     blend = F.lit(fixed.JACCARD_WEIGHT) * (common / union) + F.lit(fixed.LENGTH_WEIGHT) * (
         F.least(n_left, n_right) / F.greatest(n_left, n_right)
     )
     return (
-        df.withColumn(
-            "_common", F.size(F.array_intersect(f"{left}_vocab", f"{right}_vocab"))
-        )
+        df.withColumn("_only_left", F.size(F.array_except(f"{left}_vocab", f"{right}_vocab")))
         .withColumn(
             out,
             F.when((n_left == 0) & (n_right == 0), F.lit(1.0))
             .when((n_left == 0) | (n_right == 0), F.lit(0.0))
             .otherwise(F.bround(blend, fixed.SIMILARITY_DECIMALS)),
         )
-        .drop("_common")
+        .drop("_only_left")
     )

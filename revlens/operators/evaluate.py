@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens import fixed_values as fixed
 from revlens.functions.similarity import with_similarity, with_tokens
-from revlens.functions.text import printed, review_text
+from revlens.functions.text import printed
 from revlens.operators.ingest import check, valid
 from revlens.operators.providers import Judge, Provider, call_each
 from revlens.operators.quality import score_translations
@@ -38,8 +38,10 @@ def back_translate(translated: DataFrame, translator: Provider) -> DataFrame:
     called = call_each(
         translated, translator, calls, ["text", "source", "target"], "_results", "string"
     )
-    # The original is tokenized before its row is repeated per language.
-    original = with_tokens(called, review_text(F.col("title"), F.col("body")), "_original")
+    # The original is tokenized before its row is repeated per language, and only if
+    # it is: a filter here would be pushed below the steps that made the map.
+    text = F.when(F.size("translations") > 0, F.concat_ws("\n\n", "title", "body"))
+    original = with_tokens(called, text, "_original")
     long = original.select(
         "seq",
         "review_id",
@@ -61,7 +63,7 @@ def back_translate(translated: DataFrame, translator: Provider) -> DataFrame:
         F.coalesce(title["error"], body["error"]).alias("error"),
     ).drop("_results")
     compared = with_similarity(
-        with_tokens(answered, review_text(F.col("back_title"), F.col("back_body")), "_back"),
+        with_tokens(answered, F.concat_ws("\n\n", "back_title", "back_body"), "_back"),
         "_original",
         "_back",
         "_similarity",
