@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -21,15 +20,15 @@ def write_table(df: DataFrame, path: str, *partitions: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for data that must outlive an executor."""
+    """The folder the cluster names for data that must outlive an executor.
+
+    Without ``spark.checkpoint.dir`` it is a folder in the session's warehouse, which
+    driver and executors share as well. The session's settings are left alone.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    local = tempfile.mkdtemp(prefix="revlens-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_kept"
 
 
 def keep(df: DataFrame) -> DataFrame:
