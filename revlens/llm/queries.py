@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import contamination, licenses, mixing, secrets
+from revlens.llm import contamination, licenses, mixing, pii, quality, secrets
 from revlens.llm.text import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,25 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op3_pii_boosting(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(pii.BASE_KINDS)))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(secrets.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op6_quality_additive(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score(documents(spark, sf), table(spark, sf, "labels"))
