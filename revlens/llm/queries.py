@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import contamination, licenses, mixing, pii, quality, secrets
+from revlens.llm import contamination, licenses, mixing, pii, quality, quality_rules, secrets, toxicity
 from revlens.llm.text import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,21 @@ def op3_pii_boosting(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_quality_additive(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(documents(spark, sf), table(spark, sf, "labels"))
+
+
+@query
+def op8_toxicity_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    found = toxicity.score(documents(spark, sf), table(spark, sf, "labels"))
+    said = F.transform(
+        "evidence", lambda e: F.concat_ws(":", e["example"], F.round(e["similarity"], 4), e["label"])
+    )
+    return found.withColumn("evidence", F.concat_ws(",", said))
+
+
+@query
+def op9_decision_list(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality_rules.judge(documents(spark, sf), table(spark, sf, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
