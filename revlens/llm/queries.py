@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import contamination, licenses, mixing, pii, quality, quality_rules, secrets, toxicity
+from revlens.llm import contamination, jaccard, licenses, mixing, pii, quality, quality_rules, repeats, secrets, toxicity
 from revlens.llm.text import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,15 @@ def op9_decision_list(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@query
+def op7_jaccard_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf))
+
+
+@query
+def op10_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    found = repeats.find(documents(spark, sf))
+    said = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"]))
+    return found.select("doc_id", "n_words", "n_repeated", F.concat_ws(",", said).alias("spans"))
