@@ -1,14 +1,72 @@
-"""From raw documents to a mixed training corpus, stage by stage."""
+"""From raw documents to a mixed training corpus, stage by stage.
+
+Each stage takes the session, what its predecessor kept and the folder of tables. All
+but the last return the columns of ``documents``; the last adds ``copy``, the number of
+the copy, as a document may be taken more than once.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from revlens.llm import contamination, jaccard, mixing, pii, quality
+from revlens.llm.text import documents, table
+from revlens.sources.tables import keep
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_CARRIED = COLUMNS[1:]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what the quality classifier predicts to be bad."""
+    scored = quality.score(docs, table(spark, sf_dir, "labels"), carried=_CARRIED)
+    return scored.where("predicted = 1").select(*COLUMNS)
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves one document of each component of near duplicates, that with the smallest id."""
+    return jaccard.join(docs, carried=_CARRIED).where("keeper").select(*COLUMNS)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage."""
+    found = contamination.scan(docs, table(spark, sf_dir, "benchmark"), carried=_CARRIED)
+    return found.where("n_hit = 0").select(*COLUMNS)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data in the texts; ``n_chars`` follows."""
+    clean = pii.redact(docs.select(*COLUMNS), pii.fit(docs))
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the mix of its source wants it."""
+    mixed = mixing.mix(docs, extra=("text", "lang", "source", "n_chars")).where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return mixed.select(*COLUMNS, copies.alias("copy"))
+
 
-from revlens.llm.text import documents
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("mixing", mixing_stage),
+]
 
-STAGES: list = []
+#: Trained models and Newton steps are beyond SQL; tests compare with brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir)
+    """All stages over ``documents``; each result is written and read again by the next."""
+    docs = documents(spark, sf_dir)
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = keep(docs)
+    return docs

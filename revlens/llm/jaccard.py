@@ -130,7 +130,8 @@ def join(
     """Components of near duplicates, one row per input row.
 
     Columns: the id, ``n_shingles`` (size of the set), ``component_id`` (the smallest id that
-    links reach, the row's own included) and the ``carried`` columns. Two texts are linked if their sets of ``width``-word
+    links reach, the row's own included), ``keeper`` (true for one row of each component, one
+    with that id) and the ``carried`` columns. Two texts are linked if their sets of ``width``-word
     shingles have ``100 * intersection >= percent * union``. A text with fewer words is one
     shingle; a null or empty one has none, is linked with nothing and is its own
     component. Null ids count for links, but name a component only if it has no other
@@ -153,12 +154,15 @@ def join(
             out.append((len(tokens), same, _signed(prefix)))
         return pd.DataFrame(out, columns=["n", "class", "prefix"])
 
-    members = keep(rows.select("_id", "_row", *names, look("_text").alias("_l")).select("_id", "_row", *names, "_l.*"))
+    looked = rows.select("_id", "_row", *names, look("_text").alias("_l"))
+    # The number of a kept row stays what it is and tells repeated rows apart.
+    members = keep(looked.select("_id", "_row", *names, F.monotonically_increasing_id().alias("_m"), "_l.*"))
     classes = keep(
         members.where(F.col("class").isNotNull())
         .groupBy("class")
         .agg(
             F.min("_id").alias("first_id"),
+            F.min(F.struct(F.col("_id").isNull(), "_id", "_m")).alias("head"),
             F.min("_row").alias("row"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
@@ -201,16 +205,18 @@ def join(
     joined = connected(
         links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     )
-    named = classes.select("class", "first_id", "c").join(roots, F.col("c") == F.col("node"), "left")
+    named = classes.select("class", "first_id", "head", "c").join(roots, F.col("c") == F.col("node"), "left")
     named = named.withColumn("part", F.coalesce("root", "c")).drop("node", "root")
     named = named.join(joined, F.col("part") == F.col("node"), "left")
     named = named.withColumn("root", F.coalesce("root", "part"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component"))
-    labels = keep(named.join(least, "root").select("class", "component"))
+    least = named.groupBy("root").agg(F.min("first_id").alias("component"), F.min("head").alias("first"))
+    labels = keep(named.drop("head").join(least, "root").select("class", "component", "first._m"))
+    labels = labels.withColumnRenamed("_m", "_first")
     return members.join(labels, "class", "left").select(
         F.col("_id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component")).alias("component_id"),
+        (F.col("class").isNull() | (F.col("_m") == F.col("_first"))).alias("keeper"),
         *[F.col(n).alias(c) for c, n in zip(carried, names)],
     )
 

@@ -41,7 +41,8 @@ def mix(
     its source's words; the excess goes to the others by weight.
 
     Columns: the id, ``size``, ``source_size``, ``target``, ``rate``, ``copies``, ``taken``
-    and the ``extra`` columns. Null and empty texts have size 0 and no copies. Rows
+    and the ``extra`` columns, named as they were (an extra column that clashes with these
+    names is not for this call to carry). Null and empty texts have size 0 and no copies. Rows
     that agree in id and size are treated alike. An empty table gives no rows. A rerun
     gives the same copies: the only chance in it is a hash of the id.
     """
@@ -64,7 +65,7 @@ def mix(
     events = rated.where("_size > 0").select(
         "_key", "_size", F.explode(_events(max_copies)).alias("_at")
     )
-    cuts = _cuts(events, state.select("_key", "_target"))
+    cuts = keep(_cuts(events, state.select("_key", "_target")))
     taken = [
         F.when((at < F.col("_cut")) | ((at == F.col("_cut")) & ~F.col("_strict")), 1).otherwise(0)
         for at in (_events(max_copies)[k] for k in range(max_copies))

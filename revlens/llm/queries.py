@@ -104,7 +104,7 @@ def op9_decision_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op7_jaccard_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.join(documents(spark, sf))
+    return jaccard.join(documents(spark, sf)).select("doc_id", "n_shingles", "component_id")
 
 
 @query
