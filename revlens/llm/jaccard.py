@@ -123,6 +123,21 @@ def _possible(x: str, y: str, percent: int) -> Column:
     return near & early & (F.least(F.col(f"{x}.met"), F.col(f"{y}.met")) >= shared)
 
 
+def _sharing_enough(meetings: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``c``, ``d``) with their sizes that meet in as many tokens as a link needs.
+
+    A pair may meet in either order; it is counted as one.
+    """
+    one, other = F.struct("x.c", "x.n"), F.struct("y.c", "y.n")
+    return (
+        meetings.select(F.least(one, other).alias("one"), F.greatest(one, other).alias("other"))
+        .groupBy("one", "other")
+        .agg(F.count("*").alias("shared"))
+        .select("one.c", "one.n", F.col("other.c").alias("d"), F.col("other.n").alias("m"), "shared")
+        .where(F.col("shared") >= _shared_needed(F.col("n"), F.col("m"), percent))
+    )
+
+
 def join(
     docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
     carried: tuple[str, ...] = (),
@@ -170,17 +185,11 @@ def join(
         .withColumn("c", F.monotonically_increasing_id())
     )
     entries = _entries(classes)
-    shared = F.count("*").alias("shared")
-
     # Every class against the one of its group that has the token first.
-    stars = (
-        entries.select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
-        .where((F.col("x.c") != F.col("y.c")) & _possible("x", "y", percent))
-        .groupBy("x.c", "x.n", F.col("y.c").alias("d"), F.col("y.n").alias("m"))
-        .agg(shared)
-    )
-    enough = F.col("shared") >= _shared_needed(F.col("n"), F.col("m"), percent)
-    roots = connected(_verified(keep(stars.where(enough)), classes, rows, known, width, percent))
+    stars = entries.select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
+    stars = stars.where((F.col("x.c") != F.col("y.c")) & _possible("x", "y", percent))
+    pairs = keep(_sharing_enough(stars, percent))
+    roots = connected(_verified(pairs, classes, rows, known, width, percent))
 
     # Then what is in other components than those of their groups, against the groups.
     rooted = _rooted(entries, roots)
@@ -194,13 +203,11 @@ def join(
             & ((F.col("y.root") == F.col("y.hub_root")) | (F.col("x.c") < F.col("y.c")))
             & _possible("x", "y", percent)
         )
-        .groupBy("x.c", "x.n", F.col("y.c").alias("d"), F.col("y.n").alias("m"))
-        .agg(shared)
-        .where(enough)
     )
+    pairs = keep(_sharing_enough(rest, percent))
     # These links are between components, which are the nodes from here on.
     root_of = {e: roots.select(F.col("node").alias(e), F.col("root").alias(f"root_{e}")) for e in "ab"}
-    links = _verified(keep(rest), classes, rows, known, width, percent)
+    links = _verified(pairs, classes, rows, known, width, percent)
     links = links.join(root_of["a"], "a", "left").join(root_of["b"], "b", "left")
     joined = connected(
         links.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
@@ -269,6 +276,8 @@ def _verified(
         for frame in frames:
             frame = frame[passes(words.value, frame["_row"].to_numpy(np.int64).view(np.uint64))]
             found = [shingles(t, width) for t in frame["_text"]]
+            if not found:
+                continue
             yield pd.DataFrame(
                 {
                     "row": frame["_row"].to_numpy(),

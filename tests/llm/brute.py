@@ -1,0 +1,157 @@
+"""Plain Python counterparts of the queries, from their definitions."""
+
+import hashlib
+import re
+from collections import Counter
+
+SPACED = re.compile(rb"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text, words):
+    return words.findall((text or "").encode().lower())
+
+
+def sha(said):
+    return hashlib.sha256(said.encode()).hexdigest()
+
+
+def secrets(text):
+    text = text or ""
+    assign = re.compile(
+        r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    kinds = [
+        ("assign", [m.span() for m in assign.finditer(text) if len(m[1]) >= 6]),
+        ("access", [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]),
+        ("hex", [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]),
+    ]
+    spans = sorted((a, i, kind, b) for i, (kind, found) in enumerate(kinds) for a, b in found)
+    return [len(found) for _, found in kinds], sha(",".join(f"{k}:{a}:{b}" for a, _, k, b in spans))
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else d * 2 - 9 * (d > 4)
+    return total % 10 == 0
+
+
+def pii(text):
+    text = text or ""
+
+    def digits(m):
+        return re.sub("[^0-9]", "", m[0])
+
+    email = re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)
+    ip = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+    card = re.finditer(r"[0-9]([\x20-]?[0-9])+", text)
+    phone = re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+    kinds = [
+        ("email", list(email)),
+        ("ip", [m for m in ip if all(int(p) <= 255 for p in m[0].split("."))]),
+        ("card", [m for m in card if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]),
+        ("phone", [m for m in phone if 8 <= len(digits(m)) <= 15]),
+    ]
+    said = ",".join(f"{k}:{m.start()}:{m.end()}" for k, found in kinds for m in found)
+    return [len(found) for _, found in kinds], sha(said)
+
+
+def licenses(text, phrases):
+    words = lowered(text, ALNUM)
+    found = []
+    for phrase, label in phrases.items():
+        wanted = phrase.encode().split()
+        found += [(i, label) for i in range(len(words)) if words[i : i + len(wanted)] == wanted]
+    starts = [i for i, _ in found]
+    return (
+        len(words), len(found), min(starts, default=None), max(starts, default=None),
+        ",".join(sorted({label for _, label in found})),
+    )
+
+
+def contamination(texts, items, width=10):
+    """Per text: words, hit words, item ids."""
+    windows = {}
+    for item, text in items:
+        words = lowered(text, ALNUM)
+        size = min(width, len(words))
+        for i in range(len(words) - size + 1 if size else 0):
+            windows.setdefault(tuple(words[i : i + size]), set()).add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in texts:
+        words, hit, named = lowered(text, ALNUM), set(), set()
+        for size in sizes:
+            for i in range(len(words) - size + 1):
+                items_here = windows.get(tuple(words[i : i + size]))
+                if items_here is not None:
+                    hit.update(range(i, i + size))
+                    named |= items_here
+        out.append((len(words), len(hit), sorted(str(i) for i in named if i is not None)))
+    return out
+
+
+def jaccard(texts, width=4, percent=85):
+    """Per text: size of the set and the position of its component's first text."""
+    sets = []
+    for text in texts:
+        w = lowered(text, SPACED)
+        size = min(width, len(w))
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if w else set())
+    parent = list(range(len(sets)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                x, y = top(i), top(j)
+                parent[max(x, y)] = min(x, y)
+    return [(len(s), top(i)) for i, s in enumerate(sets)]
+
+
+def rules(text):
+    text = text or ""
+    pattern = re.compile(r"[^\x20\x09-\x0D]+")
+    w = pattern.findall(text)
+    windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    repeated = {j for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [line for line in text.split("\n") if pattern.search(line)]
+    failed = len(w) < 10 or 100 * len(repeated) > 20 * len(w)
+    return (
+        len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
+        len(repeated), failed,
+    )
+
+
+def repeats(texts, least=50):
+    """Per text: words, words inside repeated windows."""
+    words = [lowered(t, ALNUM) for t in texts]
+    counts = Counter(tuple(w[i : i + least]) for w in words for i in range(len(w) - least + 1))
+    out = []
+    for w in words:
+        inside = set()
+        for i in range(len(w) - least + 1):
+            if counts[tuple(w[i : i + least])] > 1:
+                inside.update(range(i, i + least))
+        out.append((len(w), inside))
+    return out
+
+
+def targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Sizes by source (in order) to targets."""
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    total, full = share * sum(sizes), set()
+    while True:
+        rest = total - sum(most * sizes[i] for i in full)
+        each = sum(w[i] for i in range(len(w)) if i not in full)
+        out = [most * s if i in full else rest * w[i] / each for i, s in enumerate(sizes)]
+        over = {i for i in range(len(w)) if out[i] > most * sizes[i]}
+        if not over:
+            return out
+        full |= over
