@@ -17,13 +17,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.llm.bitmaps import bitmap, passes
 from revlens.llm.components import connected
-from revlens.llm.text import spaced_words
+from revlens.llm.text import long_lists, slices, spaced_words, utf8
 from revlens.sources.tables import keep
 
 #: Frequent tokens that the orders know; they come from one text in ``_SAMPLED``. Both
@@ -35,7 +35,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
+def shingles(text: bytes | None, width: int) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes; all words if fewer."""
     words = spaced_words(text)
     if not words:
@@ -73,21 +73,19 @@ class Orders:
         return tokens[first]
 
 
-def _signed(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.uint64).view(np.int64)
-
-
 def orders(rows: DataFrame, width: int) -> Orders:
     """Token frequencies among a hash sample of the texts, the most frequent ones only."""
 
-    def tokens(frames):
-        for frame in frames:
-            found = [_signed(shingles(t, width)) for t in frame["_text"]]
-            yield pd.DataFrame({"t": np.concatenate(found) if found else np.empty(0, np.int64)})
+    def tokens(batches):
+        for batch in batches:
+            for part in slices(batch):
+                found = [shingles(t, width) for t in utf8(part.column("_text"))]
+                values = pa.array(np.concatenate(found).view(np.int64))
+                yield pa.RecordBatch.from_arrays([values], names=["t"])
 
     sample = rows.where(F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(_SAMPLED)) == 0).select("_text")
     found = (
-        sample.mapInPandas(tokens, "t long")
+        sample.mapInArrow(tokens, "t long")
         .groupBy("t")
         .count()
         .where(F.col("count") >= _LEAST_SEEN)
@@ -159,15 +157,16 @@ def join(
     ).withColumn("_row", F.xxhash64(F.col("_id"), F.xxhash64("_text")))
     known = rows.sparkSession.sparkContext.broadcast(orders(rows, width))
 
-    @F.pandas_udf("n long, class binary, prefix array<long>")
-    def look(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
+    @F.arrow_udf("n long, class binary, prefix array<long>")
+    def look(texts: pa.Array) -> pa.Array:
+        sizes, same, prefixes = [], [], []
+        for text in utf8(texts):
             tokens = shingles(text, width)
-            same = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-            prefix = known.value.prefix(tokens, percent) if len(tokens) else tokens
-            out.append((len(tokens), same, _signed(prefix)))
-        return pd.DataFrame(out, columns=["n", "class", "prefix"])
+            sizes.append(len(tokens))
+            same.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
+            prefixes.append(known.value.prefix(tokens, percent) if len(tokens) else tokens)
+        columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), long_lists(prefixes)]
+        return pa.StructArray.from_arrays(columns, names=["n", "class", "prefix"])
 
     looked = rows.select("_id", "_row", *names, look("_text").alias("_l"))
     # The number of a kept row stays what it is and tells repeated rows apart.
@@ -185,7 +184,7 @@ def join(
         .withColumn("c", F.monotonically_increasing_id())
     )
     entries = _entries(classes)
-    # Every class against the one of its group that has the token first.
+    # Every class against the hub of its group.
     stars = entries.select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
     stars = stars.where((F.col("x.c") != F.col("y.c")) & _possible("x", "y", percent))
     pairs = keep(_sharing_enough(stars, percent))
@@ -231,22 +230,16 @@ def join(
 def _entries(classes: DataFrame) -> DataFrame:
     """Prefix tokens that two classes or more have: token, class, place, and the group's hub.
 
-    ``met`` counts such tokens per class; the hub is the class that has the token
-    earliest, so one with few rare tokens of its own.
+    ``met`` counts such tokens per class. The hub is the class with the fewest prefix
+    tokens of its own: what the others are copies of, if anything is.
     """
-    rows = classes.select("c", "n", F.posexplode("prefix").alias("pos", "t"))
-    groups = (
-        rows.groupBy("t")
-        .agg(F.count("*").alias("size"), F.min(F.struct("pos", "c")).alias("hub"))
-        .where("size > 1")
-        .select("t", "hub.c")
-        .withColumnRenamed("c", "hub_c")
-    )
+    rows = classes.select("c", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "t"))
+    groups = rows.groupBy("t").agg(F.count("*").alias("size")).where("size > 1").select("t")
     found = keep(rows.join(groups, "t"))
     met = keep(found.groupBy("c").agg(F.count("*").alias("met")))
-    found = found.join(met, "c")
-    hubs = found.where("c = hub_c").select("t", F.struct("c", "n", "pos", "met").alias("hub"))
-    return keep(found.drop("hub_c").join(hubs, "t"))
+    found = keep(found.join(met, "c").withColumn("alone", F.col("p") - F.col("met")).drop("p"))
+    hub = F.min(F.struct("alone", "c", "n", "pos", "met")).alias("hub")
+    return keep(found.drop("alone").join(found.groupBy("t").agg(hub), "t"))
 
 
 def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
@@ -272,21 +265,19 @@ def _verified(
     wanted = keep(classes.select("c", "row").join(nodes, "c", "left_semi"))
     words = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, "row"))
 
-    def sets(frames):
-        for frame in frames:
-            frame = frame[passes(words.value, frame["_row"].to_numpy(np.int64).view(np.uint64))]
-            found = [shingles(t, width) for t in frame["_text"]]
-            if not found:
-                continue
-            yield pd.DataFrame(
-                {
-                    "row": frame["_row"].to_numpy(),
-                    "tokens": [_signed(s) for s in found],
-                    "prefix": [_signed(known.value.prefix(s, percent, second=True)) for s in found],
-                }
-            )
-
-    made = rows.select("_row", "_text").mapInPandas(
+    def sets(batches):
+        for batch in batches:
+            hashes = batch.column("_row").to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(passes(words.value, hashes)))
+            for part in slices(batch):
+                found = [shingles(t, width) for t in utf8(part.column("_text"))]
+                prefixes = [known.value.prefix(s, percent, second=True) for s in found]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_row"), long_lists(found), long_lists(prefixes)],
+                    names=["row", "tokens", "prefix"],
+                )
+
+    made = rows.select("_row", "_text").mapInArrow(
         sets, "row long, tokens array<long>, prefix array<long>"
     )
     # A repeated row makes its set repeatedly; one is enough.

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
@@ -38,26 +40,43 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(SPACED)).cast("long")
 
 
-def spaced_words(text: str | None) -> list[bytes]:
+def spaced_words(text: str | bytes | None) -> list[bytes]:
     """Words between white space; A-Z lower-cased (bytes.lower leaves other characters)."""
-    return SPACED_BYTES.findall(text.encode("utf-8", "replace").lower()) if text else []
+    return SPACED_BYTES.findall(_bytes(text).lower())
 
 
-def alnum_words(text: str | None) -> list[bytes]:
-    return ALNUM_BYTES.findall(text.encode("utf-8", "replace").lower()) if text else []
+def alnum_words(text: str | bytes | None) -> list[bytes]:
+    return ALNUM_BYTES.findall(_bytes(text).lower())
 
 
-def held_out(id_column: str, modulus: int, remainder: int) -> Column:
-    """Rows that no label is learned from; a null id counts as the text ``null``."""
-    key = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
-    return F.crc32(key.cast("binary")) % modulus == remainder
+def _bytes(text: str | bytes | None) -> bytes:
+    return text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+
+
+#: Texts of an Arrow batch that are Python objects at the same time.
+_SLICE = 256
+
 
+def slices(batch):
+    """A batch in small parts that share its memory."""
+    for at in range(0, batch.num_rows, _SLICE):
+        yield batch.slice(at, _SLICE)
 
-def batches(function: Callable) -> Callable:
-    """For ``mapInPandas``: applies a function of one frame to each frame."""
 
-    def over(frames):
-        for frame in frames:
-            yield function(frame)
+def utf8(texts: pa.Array) -> Iterator[bytes | None]:
+    """The texts as UTF-8, a few at a time."""
+    for at in range(0, len(texts), _SLICE):
+        yield from texts.slice(at, _SLICE).cast(pa.binary()).to_pylist()
 
-    return over
+
+def long_lists(lists: list[np.ndarray]) -> pa.Array:
+    """Arrays of 64-bit values as one column of lists."""
+    ends = np.cumsum([0, *map(len, lists)])
+    values = np.concatenate([np.empty(0, np.uint64), *lists]).astype(np.uint64).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
+def held_out(id_column: str, modulus: int, remainder: int) -> Column:
+    """Rows that no label is learned from; a null id counts as the text ``null``."""
+    key = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
+    return F.crc32(key.cast("binary")) % modulus == remainder
