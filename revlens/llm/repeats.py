@@ -277,13 +277,17 @@ def _matcher(least: int):
     return match
 
 
+def _stretches(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"row": row, "start": start, "stop": stop, "hash": None})
+
+
 def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.DataFrame:
     group = _Group(frame, least)
     keys = frame["key"].to_numpy(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     stops = np.append(starts[1:], len(keys))
     row, start, stop, longest, reach = group.matches(keys[1:] == keys[:-1])
-    parts = [pd.DataFrame({"row": row, "start": start, "stop": stop, "hash": None})]
+    parts = [_stretches(row, start, stop)]
     # Fully confirmed: as far to the left as a window goes, with all words to the right.
     side = least - GRAM
     for a, b in zip(starts.tolist(), stops.tolist()):
@@ -296,13 +300,18 @@ def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.Dat
         which, reached, hashes = group.windows(at, far, int(keys[a]))
         _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
         again = times[back] > 1
-        begin = group.pos[which] - reached
-        found = pd.DataFrame({"row": group.row[which], "start": begin, "stop": begin + least, "hash": None})
-        parts.append(found[again])
+        # All windows hold the first words, so those met again are one stretch per suffix.
+        met, inverse = np.unique(which[again], return_inverse=True)
+        nearest, farthest = np.full(len(met), least), np.zeros(len(met), np.int64)
+        np.minimum.at(nearest, inverse, reached[again])
+        np.maximum.at(farthest, inverse, reached[again])
+        place = group.pos[met]
+        parts.append(_stretches(group.row[met], place - farthest, place - nearest + least))
         if edge:
             # Others may hold what is met once here; what is met twice stands for itself.
-            single = found[~again].assign(hash=hashes[~again].view(np.int64))
-            parts.append(single)
+            begin = (group.pos[which] - reached)[~again]
+            single = _stretches(group.row[which[~again]], begin, begin + least)
+            parts.append(single.assign(hash=hashes[~again].view(np.int64)))
             known = np.unique(hashes[again]).view(np.int64)
             parts.append(pd.DataFrame({"row": None, "start": None, "stop": None, "hash": known}))
     out = pd.concat([p.astype("Int64") for p in parts], ignore_index=True)
