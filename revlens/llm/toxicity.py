@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.llm.boosting import Additive, fit_additive, sigmoid
@@ -168,10 +169,10 @@ def score(
         return pd.DataFrame(out, columns=["terms", "counts"])
 
     seen = keep(rows.select("_id", look("_text").alias("_seen")).select("_id", "_seen.*"))
-    df = seen.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
+    df = _document_counts(seen, len(numbers))
     idf, total = np.zeros(len(numbers)), seen.count()
     for row in df:
-        idf[row["term"]] = np.log((total + 1) / (row["count"] + 1)) + 1
+        idf[row["term"]] = np.log((total + 1) / (row["n"] + 1)) + 1
     held = examples.select("_id", "_y", look("_text").alias("_seen")).select("_id", "_y", "_seen.*").toPandas()
     y = held["_y"].to_numpy(float)
     index = Index.build(held["_id"].tolist(), y, list(zip(held["terms"], held["counts"])), idf)
@@ -191,6 +192,21 @@ def score(
     )
 
 
+def _document_counts(seen: DataFrame, size: int) -> list:
+    """Documents per term, at most one row per term; each task adds its own up first."""
+
+    def add_up(batches):
+        sums = np.zeros(size, np.int64)
+        for batch in batches:
+            sums += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        terms = np.flatnonzero(sums)
+        columns = [pa.array(terms.astype(np.int32)), pa.array(sums[terms])]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    counts = seen.select("terms").mapInArrow(add_up, "term int, n long")
+    return counts.groupBy("term").agg(F.sum("n").alias("n")).collect()
+
+
 def _log_odds(ones: float, n: float) -> float:
     return float(np.log((ones + 1) / (n - ones + 1)))
 
