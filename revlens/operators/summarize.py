@@ -70,17 +70,25 @@ def prompts(reviews: DataFrame, params: Params) -> DataFrame:
 def summarize(reviews: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
     """One summary per product, by product; a failed call leaves it empty.
 
-    Products within ``prompt_reviews`` are one call on their whole prompt. The
-    parts of a larger one are summarized side by side, then their summaries are
-    the lines of the next round, until one is left; a failed part fails it all.
+    Every product is one call on one prompt with all its reviews, however many they
+    are, so a prompt is as long as its product is large. ``summarize_tree`` bounds it.
+    """
+    lines = prompt_lines(reviews).withColumn("parts", F.lit(1).cast("long"))
+    whole = _prompts(lines.withColumn("failed", F.lit(False)), None)
+    return _by_product(_ask(whole, params, summarizer))
+
+
+def summarize_tree(reviews: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
+    """As ``summarize``, with at most ``prompt_reviews`` lines in a prompt.
+
+    The reviews of every product are summarized in parts side by side, then the
+    summaries of the parts are the lines of the next round, until one is left; a failed
+    part fails it all. The caller chooses between the two, never a review count.
     """
-    largest = with_product(reviews).groupBy("product_id").count().agg(F.max("count")).first()[0]
     width = params.prompt_reviews
-    parts = -(-(largest or 0) // width)
-    answers = _ask(prompts(reviews, params), params, summarizer)
+    answers = keep(_ask(prompts(reviews, params), params, summarizer))
+    parts = (answers.agg(F.max("part")).first()[0] or 0) + 1
     while parts > 1:
-        # Each round reads the one before twice.
-        answers = keep(answers)
         position = F.col("part") + 1
         lines = answers.where(F.col("parts") > 1).select(
             "product_id",
@@ -92,15 +100,19 @@ def summarize(reviews: DataFrame, params: Params, summarizer: Provider) -> DataF
             "failed",
         )
         merged = _ask(_prompts(lines, width), params, summarizer)
-        answers = answers.where(F.col("parts") == 1).unionByName(merged)
+        # Each round reads the one before twice.
+        answers = keep(answers.where(F.col("parts") == 1).unionByName(merged))
         parts = -(-parts // width)
+    return _by_product(answers)
+
+
+def _by_product(answers: DataFrame) -> DataFrame:
+    """Sorted only once they are a table: a sort reads its input twice, and calls are paid."""
     summary = F.when(F.col("failed"), F.lit(fixed.FAILED_SUMMARY)).otherwise(F.col("summary"))
-    return answers.select(
-        "product_id",
-        "product_name",
-        "review_count",
-        summary.alias("summary"),
-    ).orderBy("product_id")
+    kept = keep(
+        answers.select("product_id", "product_name", "review_count", summary.alias("summary"))
+    )
+    return kept.orderBy("product_id")
 
 
 def with_length(summaries: DataFrame) -> DataFrame:
@@ -111,20 +123,22 @@ def _name(first_name: Column) -> Column:
     return F.coalesce(F.nullif(first_name, F.lit("")), F.col("product_id"))
 
 
-def _prompts(lines: DataFrame, width: int) -> DataFrame:
-    """Joins up to ``width`` lines under the head; ``parts`` becomes the number of
+def _prompts(lines: DataFrame, width: int | None) -> DataFrame:
+    """Joins up to ``width`` lines, or all, under the head; ``parts`` becomes the number of
     prompts of the product in this round."""
-    part = F.expr(f"(position - 1) div {width}").alias("part")
+    part, parts = F.lit(0).cast("long"), F.lit(1).cast("long")
+    if width:
+        part, parts = F.expr(f"(position - 1) div {width}"), F.expr(f"(parts + {width - 1}) div {width}")
     ordered = F.array_sort(F.collect_list(F.struct("position", "line")))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
     return (
-        lines.groupBy("product_id", "product_name", "review_count", "parts", part)
+        lines.groupBy("product_id", "product_name", "review_count", "parts", part.alias("part"))
         .agg(ordered.alias("lines"), F.bool_or("failed").alias("failed"))
         .select(
             "product_id",
             "product_name",
             "review_count",
-            F.expr(f"(parts + {width - 1}) div {width}").alias("parts"),
+            parts.alias("parts"),
             "part",
             "failed",
             F.concat(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens import fixed_values as fixed
+from revlens.operators.positions import with_position
 
 _RANGE = 1 << 32
 
@@ -91,12 +92,23 @@ def generate(products: DataFrame, phrases: DataFrame, total: int, seed: int) ->
         hit, name = F.col("seq") <= reached, F.lit(row["lang"])
         language = F.when(hit, name) if language is None else language.when(hit, name)
 
-    numbered = products.select(F.col("idx").alias("_product"), "product_id", "product_name")
+    # Numbered here, so a gap in ``idx`` cannot lose a review.
+    placed = with_position(products.withColumn("_all", F.lit(0)), "_all", ["idx"])
+    numbered = placed.select(
+        (F.col("position") - 1).cast("int").alias("_product"), "product_id", "product_name"
+    )
     pools = phrases.groupBy("lang", "sentiment").agg(
         F.count_if(F.col("kind") == "titles").alias("_titles"),
         F.count_if(F.col("kind") == "sentences").alias("_sentences"),
     )
     n_products = products.count()
+    if total and not n_products:
+        raise ValueError("the library has no products")
+    # One row per language and sentiment.
+    filled = {(r["lang"], r["sentiment"]) for r in pools.where("_titles > 0 and _sentences > 0").collect()}
+    wanted = {(r["lang"], s) for r in plan.where("quota > 0").collect() for s in fixed.SENTIMENTS}
+    if wanted - filled:
+        raise ValueError(f"the library has no titles or sentences for {sorted(wanted - filled)}")
 
     drawn = spark.range(1, total + 1).select(F.col("id").alias("seq"))
     drawn = with_draws(drawn, seed, "seq", "a", ["_d_product", "_d_rating", "_d_title", "_d_length"])

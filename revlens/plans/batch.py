@@ -96,6 +96,7 @@ def run_batch(
     translator: Provider,
     judge: Judge,
     summarizer: Provider,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """Runs all stages, publishes the result and returns one status row per stage.
 
@@ -104,7 +105,7 @@ def run_batch(
     """
     spark, at = records.sparkSession, Layout(root, run_id)
     ingest_stage(records, at, params)
-    translate_stage(spark, at, params, translator)
+    translate_stage(spark, at, params, translator, distinct_texts)
     summarize_stage(spark, at, params, summarizer)
     quality_stage(spark, at, params, judge)
     serving_stage(spark, at, params)

@@ -240,7 +240,7 @@ def summarize_batch_udf(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def summarize_rounds(spark: SparkSession, sf: str) -> DataFrame:
     """Products too large for one prompt: parts first, then their summaries."""
-    return summarize.summarize(
+    return summarize.summarize_tree(
         driver.reviews(spark, sf), _with(prompt_reviews=50), driver.batch_summarizer()
     )
 

@@ -49,9 +49,12 @@ def read_envelopes(
             # An empty file has no row of its own.
             "file", F.coalesce("problem", F.lit(_NO_JSON)).alias("problem")
         )
-        shown = bad.where("problem <> ''").orderBy("file").limit(_SHOWN).collect()
+        bad = bad.where("problem <> ''")
+        shown = bad.orderBy("file").limit(_SHOWN).collect()
         if shown:
-            raise ValueError("; ".join(f"{row['file']} {row['problem']}" for row in shown))
+            said = "; ".join(f"{row['file']} {row['problem']}" for row in shown)
+            more = "" if len(shown) < _SHOWN else f"; {bad.count()} bad files in all"
+            raise ValueError(said + more)
     return envelope_records(texts.join(files, "file"), bare_arrays)
 
 

@@ -46,7 +46,7 @@ def test_prompt_text(make_reviews):
     )
     row = summarize.prompts(df, PARAMS).first()
     assert row["prompt"].endswith(
-        "Respond with only the summary text, no preamble.\n\nProduct: Soft Shoe\n"
+        "Respond with only the summary text, no preamble.\n\nProduct: Tin Kettle\n"
         "Number of reviews: 2\n\nReviews:\n1. (rating: 5) first:\n2. (rating: N/A) last: one"
     )
 
@@ -91,7 +91,7 @@ def test_large_product_in_rounds(make_reviews, count):
         assert len(lines) <= 4
         return "+".join(re.findall(r"<\w+>", prompt))
 
-    got = {r["product_id"]: r for r in summarize.summarize(df, params, batch(call)).collect()}
+    got = {r["product_id"]: r for r in summarize.summarize_tree(df, params, batch(call)).collect()}
     assert got["big"]["summary"] == "+".join(f"<{i}>" for i in range(count))
     assert got["big"]["review_count"] == count
     assert got["small"]["summary"] == "<s>"
@@ -106,4 +106,4 @@ def test_failed_part_fails_the_product(make_reviews):
             raise TimeoutError
         return "ok"
 
-    assert [r["summary"] for r in summarize.summarize(df, params, batch(call)).collect()] == [""]
+    assert [r["summary"] for r in summarize.summarize_tree(df, params, batch(call)).collect()] == [""]
