@@ -51,7 +51,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     root = f"{shared_folder(spark)}/revlens-scale-{uuid.uuid4().hex}"
-    at, seconds = batch.Layout(root, "run"), {}
+    at, seconds = batch.Layout.fresh(root, "run"), {}
 
     def step(name: str, work: Callable):
         start = time.perf_counter()

@@ -35,9 +35,8 @@ def back_translate(translated: DataFrame, translator: Provider) -> DataFrame:
             ),
         )
     )
-    called = call_each(
-        translated, translator, calls, ["text", "source", "target"], "_results", "string"
-    )
+    fields = ["text", "source", "target"]
+    called = call_each(translated, translator, calls, fields, "_results", "string", together=2)
     # The original is tokenized before its row is repeated per language, and only if
     # it is: a filter here would be pushed below the steps that made the map.
     text = F.when(F.size("translations") > 0, F.concat_ws("\n\n", "title", "body"))
@@ -58,7 +57,7 @@ def back_translate(translated: DataFrame, translator: Provider) -> DataFrame:
     answered = long.select(
         "*",
         title["value"].alias("back_title"),
-        # The body is not asked for once the title has failed.
+        # A column expression answers for the body even if the title has failed.
         F.when(title["error"].isNull(), body["value"]).alias("back_body"),
         F.coalesce(title["error"], body["error"]).alias("error"),
     ).drop("_results")

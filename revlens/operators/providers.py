@@ -8,7 +8,7 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 _ARROW = {"string": pa.string(), "double": pa.float64()}
 
@@ -18,7 +18,7 @@ class Provider:
     """An injected function, as plain Python or as a column expression.
 
     ``batch`` takes a factory; the function it makes is called once per item
-    inside ``mapInArrow`` and may raise. ``native`` takes a function from columns
+    inside an Arrow UDF and may raise. ``native`` takes a function from columns
     to a column whose null result means the call failed.
     """
 
@@ -49,13 +49,23 @@ class Judge:
 
 
 def call_each(
-    df: DataFrame, provider: Provider, calls: Column, args: list[str], out: str, kind: str
+    df: DataFrame,
+    provider: Provider,
+    calls: Column,
+    args: list[str],
+    out: str,
+    kind: str,
+    together: int = 1,
 ) -> DataFrame:
     """Adds ``out``: one ``struct<value, error>`` per element of ``calls``.
 
     ``calls`` is an array of structs with the fields ``args``. Results stay in
     the row they were asked for, so enrichment never shuffles and never needs a
-    regrouping step; the error is the name of the exception class.
+    regrouping step; the error is the name of the exception class. Only the calls
+    cross into Python, the other columns stay where they are.
+
+    Each ``together`` calls in a row belong together: after one that failed, plain
+    Python is not asked for the rest of them and they are ``NotAsked``.
     """
     ddl = f"array<struct<value:{kind},error:string>>"
     if provider.is_native:
@@ -69,9 +79,6 @@ def call_each(
         )
         return df.withColumn(out, results.cast(ddl))
 
-    asked = df.withColumn("_calls", calls)
-    kept = [f for f in asked.schema.fields if f.name != "_calls"]
-    schema = T.StructType(kept).add(out, T.DataType.fromDDL(ddl))
     make, value_type = provider.make, _ARROW[kind]
 
     def answer(function: Callable[..., Any], call: tuple) -> tuple[Any, str | None]:
@@ -85,32 +92,43 @@ def call_each(
         except Exception as failure:  # a failed call is a row, not a failed task
             return None, type(failure).__name__
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answers(function: Callable[..., Any], asked: list[tuple]) -> Iterator[tuple]:
+        failed = False
+        for place, call in enumerate(asked):
+            failed = failed and place % together > 0
+            result = (None, "NotAsked") if failed else answer(function, call)
+            failed = failed or result[1] is not None
+            yield result
+
+    def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         function = None
-        for batch in batches:
-            at = batch.schema.get_field_index("_calls")
-            lists = batch.column(at)
+        for lists in batches:
             # The calls of all rows side by side, one array per argument.
-            items = [argument.to_pylist() for argument in lists.flatten().flatten()]
-            if function is None and items[0]:
+            items = list(zip(*[argument.to_pylist() for argument in lists.flatten().flatten()]))
+            if function is None and items:
                 function = make()
-            answers = [answer(function, call) for call in zip(*items)]
-            results = pa.StructArray.from_arrays(
+            sizes = pc.fill_null(pc.list_value_length(lists).cast(pa.int32()), 0)
+            ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], sizes.type), sizes]))
+            bounds = ends.to_pylist()
+            results = [
+                result
+                for start, end in zip(bounds, bounds[1:])
+                for result in answers(function, items[start:end])
+            ]
+            found = pa.StructArray.from_arrays(
                 [
-                    pa.array([value for value, _ in answers], value_type),
-                    pa.array([error for _, error in answers], pa.string()),
+                    pa.array([value for value, _ in results], value_type),
+                    pa.array([error for _, error in results], pa.string()),
                 ],
                 names=["value", "error"],
             )
-            sizes = pc.fill_null(pc.list_value_length(lists).cast(pa.int32()), 0)
-            ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], sizes.type), sizes]))
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for i, n in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.ListArray.from_arrays(ends, results)], names=[*names, out]
-            )
+            yield pa.ListArray.from_arrays(ends, found)
 
-    return asked.mapInArrow(task, schema)
+    # The hints are set here, as the module's own are text.
+    ask.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    # Nondeterministic, so that no rewrite of the plan repeats or moves the calls.
+    asked = F.arrow_udf(ask, ddl).asNondeterministic()
+    return df.withColumn("_calls", calls).withColumn(out, asked("_calls")).drop("_calls")
 
 
 def echo_translator() -> Provider:

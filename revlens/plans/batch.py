@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,26 +17,47 @@ from revlens.sources.tables import read_table, write_table
 STATUS = "stage string, source_key string, target_key string, count long"
 
 
+TABLES = ("records", "translated", "summaries", "scored", "serving_headers", "serving_pages")
+_PUBLISHED = "run_id string, published_at timestamp, paths map<string,string>"
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Where a run keeps its tables. Every run has its own folder, so a rerun of
-    one stage replaces that stage only and a failed run touches no other."""
+    """Where an attempt at a run keeps its tables.
+
+    Every attempt writes into a folder of its own and a written table is never
+    replaced, so a rerun that is lost half way leaves the published one whole.
+    """
 
     root: str
     run_id: str
+    paths: Mapping[str, str]
+
+    @classmethod
+    def fresh(cls, root: str, run_id: str) -> Layout:
+        folder = f"{root.rstrip('/')}/runs/{run_id}/{uuid4().hex}"
+        return cls(root, run_id, {table: f"{folder}/{table}" for table in TABLES})
+
+    def again(self, *tables: str) -> Layout:
+        """A new attempt that writes ``tables`` anew and reads the others where they are."""
+        new = Layout.fresh(self.root, self.run_id)
+        return replace(self, paths={**self.paths, **{t: new.path(t) for t in tables}})
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/runs/{self.run_id}/{table}"
+        return self.paths[table]
+
+    def write(self, df: DataFrame, table: str, *partitions: str) -> DataFrame:
+        return write_table(df, self.path(table), *partitions, mode="errorifexists")
+
 
-    @property
-    def published(self) -> str:
-        return f"{self.root.rstrip('/')}/published"
+def _log(root: str) -> str:
+    return f"{root.rstrip('/')}/published"
 
 
 def ingest_stage(records: DataFrame, at: Layout, params: Params) -> DataFrame:
     """Valid reviews and rejects, checked and written in one pass."""
     checked = ingest.check(records, params.rules)
-    write_table(ingest.split(checked), at.path("records"), "valid")
+    at.write(ingest.split(checked), "records", "valid")
     return ingested(records.sparkSession, at)
 
 
@@ -54,7 +77,7 @@ def translate_stage(
     distinct_texts: bool = False,
 ) -> DataFrame:
     attempted = translate.attempt(ingested(spark, at), params, translator, distinct_texts)
-    return write_table(translate.with_translations(attempted, params), at.path("translated"))
+    return at.write(translate.with_translations(attempted, params), "translated")
 
 
 def summarize_stage(
@@ -62,7 +85,7 @@ def summarize_stage(
 ) -> DataFrame:
     """Summaries of all reviews of a product in their original words."""
     reviews = read_table(spark, at.path("translated"))
-    return write_table(summarize.summarize(reviews, params, summarizer), at.path("summaries"))
+    return at.write(summarize.summarize(reviews, params, summarizer), "summaries")
 
 
 def quality_stage(spark: SparkSession, at: Layout, params: Params, judge: Judge) -> DataFrame:
@@ -75,7 +98,7 @@ def quality_stage(spark: SparkSession, at: Layout, params: Params, judge: Judge)
             "judge_errors", F.size(F.filter("verdicts", lambda v: v["error"].isNotNull()))
         )
     )
-    return write_table(quality.filter_kept(quality.with_quality(judged)), at.path("scored"))
+    return at.write(quality.filter_kept(quality.with_quality(judged)), "scored")
 
 
 def serving_stage(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
@@ -83,9 +106,9 @@ def serving_stage(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
     scored = read_table(spark, at.path("scored"))
     summaries = read_table(spark, at.path("summaries"))
     headers = serving.product_headers(scored, summaries)
-    write_table(serving.laid_out(headers), at.path("serving_headers"))
+    at.write(serving.laid_out(headers), "serving_headers")
     pages = serving.product_pages(serving.served_entries(scored, params), params)
-    return write_table(pages, at.path("serving_pages"))
+    return at.write(pages, "serving_pages")
 
 
 def run_batch(
@@ -103,7 +126,7 @@ def run_batch(
     A stage that fails raises, and then nothing is published: readers go on with
     the run that was published last.
     """
-    spark, at = records.sparkSession, Layout(root, run_id)
+    spark, at = records.sparkSession, Layout.fresh(root, run_id)
     ingest_stage(records, at, params)
     translate_stage(spark, at, params, translator, distinct_texts)
     summarize_stage(spark, at, params, summarizer)
@@ -160,16 +183,24 @@ def stage_counts(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
 
 
 def publish(spark: SparkSession, at: Layout) -> None:
-    """Names a finished run as the one to serve: one appended row, so a reader sees
-    either the run before or this one."""
+    """Names the tables of a finished attempt as those to serve: one appended row, so a
+    reader sees either all of the tables before or all of these."""
+    paths = F.create_map(*[F.lit(part) for pair in at.paths.items() for part in pair])
     spark.range(1).select(
-        F.lit(at.run_id).alias("run_id"), F.current_timestamp().alias("published_at")
-    ).write.mode("append").parquet(at.published)
+        F.lit(at.run_id).alias("run_id"),
+        F.current_timestamp().alias("published_at"),
+        paths.alias("paths"),
+    ).write.mode("append").parquet(_log(at.root))
+
+
+def published(spark: SparkSession, root: str) -> Layout:
+    """The tables published last; each stage of them can be run ``again``."""
+    log = read_table(spark, _log(root), _PUBLISHED)
+    last = log.agg(F.max_by(F.struct("run_id", "paths"), "published_at").alias("last")).first()["last"]
+    return Layout(root, last["run_id"], last["paths"])
 
 
 def served(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Headers and pages of the run published last."""
-    log = read_table(spark, Layout(root, "").published)
-    run_id = log.agg(F.max_by("run_id", "published_at")).first()[0]
-    at = Layout(root, run_id)
+    at = published(spark, root)
     return read_table(spark, at.path("serving_headers")), read_table(spark, at.path("serving_pages"))

@@ -551,7 +551,7 @@ def _run(spark: SparkSession, sf: str) -> batch.Layout:
         driver.reviews(spark, sf), root, "run-1", PARAMS, driver.batch_translator(),
         driver.batch_judge(), driver.batch_summarizer(),
     )
-    return batch.Layout(root, "run-1")
+    return batch.published(spark, root)
 
 
 def _with(**changes) -> Params:

@@ -13,9 +13,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, *partitions: str) -> DataFrame:
-    """Writes a stage's output, replacing what the path held, and reads it back."""
-    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+def write_table(df: DataFrame, path: str, *partitions: str, mode: str = "overwrite") -> DataFrame:
+    """Writes a stage's output, by default replacing what the path held, and reads it back."""
+    df.write.mode(mode).partitionBy(*partitions).parquet(path)
     return read_table(df.sparkSession, path, df.schema)
 
 

@@ -38,12 +38,13 @@ def test_run(spark, make_reviews, tmp_path):
     assert [(r["stage"], r["count"]) for r in status] == [
         ("ingestion", 3), ("translation", 3), ("summarization", 2), ("quality", 3), ("serving", 3),
     ]
-    assert status[1]["target_key"].endswith("/runs/one/translated")
+    target = status[1]["target_key"]
+    assert "/runs/one/" in target and target.endswith("/translated")
     assert entries(spark, root) == [
         ("prod-001", "rev-0001", "en"), ("prod-001", "rev-0002", "fr"), ("prod-001", "rev-0002", "de"),
         ("prod-002", "rev-0003", "fr"), ("prod-002", "rev-0003", "de"),
     ]
-    at = batch.Layout(root, "one")
+    at = batch.published(spark, root)
     assert [r["review_id"] for r in batch.rejected(spark, at).collect()] == ["rev-0004"]
     counts = {r["counter"]: r["value"] for r in batch.stage_counts(spark, at, PARAMS).collect()}
     assert counts == {
@@ -71,12 +72,39 @@ def test_failed_run_is_not_published(spark, make_reviews, tmp_path):
 def test_one_stage_again(spark, make_reviews, tmp_path):
     root = str(tmp_path / "out")
     run(make_reviews(*ROWS), root, "one")
-    at = batch.Layout(root, "one")
+    before = entries(spark, root)
+    at = batch.published(spark, root).again("scored", "serving_headers", "serving_pages")
     batch.quality_stage(spark, at, PARAMS, fixed_judge(1.0))
     batch.serving_stage(spark, at, PARAMS)
+    assert entries(spark, root) == before
+    batch.publish(spark, at)
     assert entries(spark, root) == [("prod-001", "rev-0001", "en")]
 
 
+def test_written_table_is_never_replaced(spark, make_reviews, tmp_path):
+    root = str(tmp_path / "out")
+    run(make_reviews(*ROWS), root, "one")
+    with pytest.raises(Exception, match="already exists"):
+        batch.serving_stage(spark, batch.published(spark, root), PARAMS)
+
+
+@pytest.mark.parametrize("stage", ["ingest", "translate", "summarize", "quality", "serving"])
+def test_rerun_lost_in_a_stage(spark, make_reviews, tmp_path, monkeypatch, stage):
+    root = str(tmp_path / "out")
+    run(make_reviews(*ROWS[:2]), root, "one")
+    before = entries(spark, root), sorted(batch.served(spark, root)[0].collect())
+    whole = getattr(batch, f"{stage}_stage")
+
+    def lost(*args):
+        whole(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batch, f"{stage}_stage", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        run(make_reviews(*ROWS), root, "one")
+    assert (entries(spark, root), sorted(batch.served(spark, root)[0].collect())) == before
+
+
 def test_run_without_records(spark, make_reviews, tmp_path):
     root = str(tmp_path / "out")
     assert {r["count"] for r in run(make_reviews(), root, "one").collect()} == {0}
