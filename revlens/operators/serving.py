@@ -141,6 +141,17 @@ def lookup(requests: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
+def lookup_pages(requests: DataFrame, headers: DataFrame, pages: DataFrame) -> DataFrame:
+    """Requested ids to their headers and entries, one row per entry of a requested
+    page; a request without entries is one row whose entry is null."""
+    known = headers.select("product_id", "product_name", "review_count", "summary")
+    listed = pages.select("product_id", "reviews")
+    asked = lookup(requests, known).join(listed, "product_id", "left")
+    return asked.withColumn("e", F.explode_outer("reviews")).select(
+        *[c for c in asked.columns if c != "reviews"], "e.*"
+    )
+
+
 def lookup_summaries(requests: DataFrame, headers: DataFrame) -> DataFrame:
     """Summaries for requested ids; a product without one is not found here."""
     return lookup(

@@ -1,7 +1,7 @@
 """Reviews, providers and libraries made from the driver tables.
 
-The driver's ``documents`` become reviews of the fourteen products that ``part``
-names. The providers are stand-ins whose answers and failures follow from the
+The driver's ``documents`` become reviews of the products that ``part`` names, a third
+of them of one product. The providers are stand-ins whose answers and failures follow from the
 text they are given, so the same rule holds in plain Python and as a column.
 """
 
@@ -15,9 +15,9 @@ from revlens.operators.providers import Judge, Provider
 from revlens.params import Params, ReviewRules
 
 #: Document ids outgrow four digits at the larger scale factors.
-RULES = ReviewRules(review_id_pattern="^rev-[0-9]{4,}$")
+RULES = ReviewRules(review_id_pattern="^rev-[0-9]{4,}$", product_id_pattern="^prod-[0-9]{3,}$")
 PARAMS = Params(target_languages=("fr", "de"), rules=RULES, engine="echo")
-FIRST_PART, PRODUCTS = 101, 14
+HOT_PART = 101
 ENVELOPE_DOCS = 16
 LIBRARY_DOCS = 144
 
@@ -26,18 +26,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/part.parquet")
+
+
+def part_count(spark: SparkSession, sf_dir: str) -> int:
+    """How many parts there are; their keys run from 0."""
+    return parts(spark, sf_dir).count()
+
+
+def product_id(key: Column) -> Column:
+    digits = key.cast("string")
+    return F.concat(F.lit("prod-"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0")))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").where(
-        F.col("p_partkey").between(FIRST_PART, FIRST_PART + PRODUCTS - 1)
+    """Every document as a review. A third of them are of one product, the others are
+    dealt over all parts."""
+    named = parts(spark, sf_dir)
+    key = F.when(F.col("doc_id") % 3 == 0, F.lit(HOT_PART)).otherwise(
+        F.col("doc_id") % part_count(spark, sf_dir)
     )
-    key = F.lit(FIRST_PART) + F.col("doc_id") % PRODUCTS
     digits = F.col("doc_id").cast("string")
-    return documents(spark, sf_dir).join(parts, parts["p_partkey"] == key).select(
+    return documents(spark, sf_dir).join(named, named["p_partkey"] == key, "left").select(
         F.col("doc_id").alias("seq"),
         F.concat(
             F.lit("rev-"), F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
         ).alias("review_id"),
-        F.concat(F.lit("prod-"), key.cast("string")).alias("product_id"),
+        product_id(key).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("lang").alias("source_language"),
         (1 + (F.col("doc_id") * 7 + F.col("n_chars")) % 7).cast("int").alias("rating"),
@@ -151,6 +167,16 @@ def batch_summarizer() -> Provider:
     return Provider.batch(make)
 
 
+def write_documents(documents: DataFrame, path: str) -> None:
+    """Dataset documents as files, one each; their names sort as their numbers do."""
+    (
+        documents.select(F.format_string("%012d", "file_no").alias("file_no"), "text")
+        .repartition("file_no")
+        .write.partitionBy("file_no")
+        .text(path)
+    )
+
+
 def envelopes(df: DataFrame, bare: bool) -> DataFrame:
     """Dataset documents of up to 16 reviews each, as ``(file_no, file, text)``."""
     record = F.struct(
@@ -203,21 +229,21 @@ def odd_records(df: DataFrame) -> DataFrame:
 
 
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases from the documents' first lines, dealt out over the phrase lists of
-    one library per 144 documents."""
+    """Phrases from all lines of the documents, dealt out over the phrase lists of one
+    library per 144 documents."""
     def pick(names, place):
         return F.element_at(F.array(*map(F.lit, names)), (place + 1).cast("int"))
 
     doc, size = F.col("doc_id"), F.col("n_chars")
-    return documents(spark, sf_dir).select(
+    lines = F.posexplode(F.split("text", "\n")).alias("line", "words")
+    return documents(spark, sf_dir).select("doc_id", "n_chars", lines).select(
         F.floor(doc / LIBRARY_DOCS).alias("library_id"),
         pick(fixed.LANGUAGES, size % 6).alias("lang"),
         pick(fixed.PHRASE_KINDS, doc % 2).alias("kind"),
         pick(fixed.SENTIMENTS, F.floor(doc / 2) % 3).alias("sentiment"),
-        doc.alias("doc_id"),
-        F.concat(
-            F.substring_index("text", "\n", 1), F.lit(" " + fixed.PRODUCT_PLACEHOLDER)
-        ).alias("phrase"),
+        "doc_id",
+        "line",
+        F.concat("words", F.lit(" " + fixed.PRODUCT_PLACEHOLDER)).alias("phrase"),
     )
 
 
@@ -231,7 +257,7 @@ def libraries(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = (
         phrases(spark, sf_dir)
         .groupBy("library_id", "lang", "kind", "sentiment")
-        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "phrase"))).alias("list"))
+        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "line", "phrase"))).alias("list"))
         .withColumn("list", F.transform("list", lambda x: x["phrase"]))
     )
     kinds = nest(lists, ["library_id", "lang", "kind"], "sentiment", "list")
@@ -257,17 +283,16 @@ def library_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     listed = phrases(spark, sf_dir).select(
         "*", F.concat_ws("/", "lang", "kind", "sentiment").alias("list")
     )
-    numbered = with_position(listed, "list", ["doc_id"])
+    numbered = with_position(listed, "list", ["doc_id", "line"])
     return products, numbered.withColumn("idx", F.col("position") - 1)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page requests: one per line item; six of the twenty ids are unknown."""
+    """Page requests: one per line item; the ids end a quarter beyond those of the parts."""
+    beyond = part_count(spark, sf_dir) // 4
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return items.select(
         F.col("l_orderkey").alias("request_id"),
         F.col("l_linenumber").cast("int").alias("request_line"),
-        F.concat(
-            F.lit("prod-"), (F.lit(FIRST_PART) + F.col("l_partkey") % 20).cast("string")
-        ).alias("product_id"),
+        product_id(F.col("l_partkey") + beyond).alias("product_id"),
     )

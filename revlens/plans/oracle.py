@@ -28,16 +28,22 @@ def _filled(template: str, **values: str) -> str:
     return out
 
 
+def _product_id(key: str) -> str:
+    return f"'prod-' || lpad(({key})::VARCHAR, greatest(3, length(({key})::VARCHAR))::INT, '0')"
+
+
 TABLES = {
     "reviews": """
         SELECT d.doc_id AS seq,
                'rev-' || lpad(d.doc_id::VARCHAR, greatest(4, length(d.doc_id::VARCHAR))::INT, '0')
                    AS review_id,
-               'prod-' || (101 + d.doc_id % 14)::VARCHAR AS product_id,
+               {product_id} AS product_id,
                p.p_name AS product_name, d.lang AS source_language,
                (1 + (d.doc_id * 7 + d.n_chars) % 7)::INT AS rating,
                split_part(d.text, chr(10), 1) AS title, d.text AS body
-        FROM documents d JOIN part p ON p.p_partkey = 101 + d.doc_id % 14""",
+        FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 101
+                             ELSE doc_id % (SELECT count(*) FROM part) END AS key FROM documents) d
+        LEFT JOIN part p ON p.p_partkey = d.key""".replace("{product_id}", _product_id("d.key")),
     "violations": """
         SELECT seq, review_id, u.path, u.message, u.ord FROM reviews, LATERAL (
             SELECT 1 AS ord, 'body' AS path, 'is shorter than 1 character' AS message
@@ -93,9 +99,9 @@ TABLES = {
         SELECT product_id, s.product_name, s.review_count, s.summary FROM (
             SELECT product_id, arg_max({'product_name': product_name,
                        'review_count': rating::BIGINT, 'summary': title}, seq) AS s
-            FROM (SELECT 'prod-' || (101 + 2 * (seq % 9))::VARCHAR AS product_id,
-                         product_name, rating, title, seq FROM reviews)
-            GROUP BY product_id)""",
+            FROM (SELECT {product_id} AS product_id, product_name, rating, title, seq
+                  FROM (SELECT *, 2 * (seq % (SELECT count(*) FROM part)) AS key FROM reviews))
+            GROUP BY product_id)""".replace("{product_id}", _product_id("key")),
     "headers": """
         SELECT coalesce(r.product_id, l.product_id) AS product_id, coalesce(reviews, 0) AS reviews,
                l.product_name, l.review_count, coalesce(l.summary, '') AS summary,
@@ -104,7 +110,9 @@ TABLES = {
         FULL JOIN latest l ON r.product_id = l.product_id""",
     "requests": """
         SELECT l_orderkey AS request_id, l_linenumber::INT AS request_line,
-               'prod-' || (101 + l_partkey % 20)::VARCHAR AS product_id FROM lineitem""",
+               {product_id} AS product_id
+        FROM (SELECT *, l_partkey + (SELECT count(*) FROM part) // 4 AS key
+              FROM lineitem)""".replace("{product_id}", _product_id("key")),
     "trips": """
         SELECT *, CASE WHEN NOT title_failed THEN
                       CASE WHEN length(t_title) % 2 = 0 THEN substr(t_title, 6) ELSE t_title END
@@ -140,8 +148,9 @@ TABLES = {
                (['en', 'fr', 'de', 'es', 'it', 'pt'])[n_chars % 6 + 1] AS lang,
                (['titles', 'sentences'])[doc_id % 2 + 1] AS kind,
                (['positive', 'neutral', 'negative'])[(doc_id // 2) % 3 + 1] AS sentiment,
-               doc_id, split_part(text, chr(10), 1) || ' {product}' AS phrase
-        FROM documents""",
+               doc_id, line, words || ' {product}' AS phrase
+        FROM (SELECT doc_id, n_chars, unnest(string_split(text, chr(10))) AS words,
+                     unnest(range(len(string_split(text, chr(10))))) AS line FROM documents)""",
 }
 
 _SIMILARITY = """CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0::DOUBLE
@@ -326,7 +335,7 @@ def _synth() -> str:
         f"AND {place}.sentiment = c.sentiment AND {place}.idx = {idx}"
     )
     return f"""
-        numbered AS (SELECT *, row_number() OVER (PARTITION BY lang, kind, sentiment ORDER BY doc_id) - 1
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY lang, kind, sentiment ORDER BY doc_id, line) - 1
                          AS idx FROM phrase_rows),
         pools AS (SELECT lang, sentiment, count(*) FILTER (kind = 'titles') AS nt,
                          count(*) FILTER (kind = 'sentences') AS ns FROM phrase_rows GROUP BY 1, 2),
@@ -371,10 +380,15 @@ def oracle_sql() -> dict[str, str]:
     return {
         "read_envelope": _sql("violations", _ENVELOPE),
         "read_bare_array": _sql("violations", _ENVELOPE),
+        "read_json_lines": _sql(
+            "violations",
+            """SELECT seq, review_id, rating, md5(body) AS body_md5, coalesce(n, 0)::INT AS error_count
+               FROM reviews LEFT JOIN (SELECT seq, count(*) AS n FROM violations GROUP BY 1) v USING (seq)""",
+        ),
         "phrases_flatten": _sql(
             "phrase_rows",
             "SELECT library_id, lang, kind, sentiment, (row_number() OVER (PARTITION BY library_id,"
-            " lang, kind, sentiment ORDER BY doc_id) - 1)::INT AS idx, phrase FROM phrase_rows",
+            " lang, kind, sentiment ORDER BY doc_id, line) - 1)::INT AS idx, phrase FROM phrase_rows",
         ),
         "phrase_bank_gaps": _sql(
             "phrase_rows",
@@ -545,6 +559,16 @@ def oracle_sql() -> dict[str, str]:
                       CASE WHEN h.product_id IS NULL THEN 'not_found' END AS error, h.reviews
                FROM requests r LEFT JOIN headers h ON r.product_id = h.product_id""",
         ),
+        "page_lookup": _sql(
+            "entries headers requests",
+            """SELECT r.*, h.product_id IS NOT NULL AS found,
+                      CASE WHEN h.product_id IS NULL THEN 'not_found' END AS error,
+                      md5(h.summary) AS summary_md5, e.position, e.review_id, e.language, e.rating,
+                      md5(e.body) AS body_md5
+               FROM requests r LEFT JOIN headers h ON r.product_id = h.product_id
+               LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY seq, lang_pos)
+                              AS position FROM entries) e ON r.product_id = e.product_id""",
+        ),
         "back_translate_batch": _sql(
             "judged",
             """SELECT seq, review_id, product_id, source_language, language,

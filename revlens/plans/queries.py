@@ -21,6 +21,7 @@ from revlens.operators.providers import echo_translator
 from revlens.params import Params
 from revlens.plans import batch, driver_tables as driver
 from revlens.plans.driver_tables import PARAMS, RULES
+from revlens.schema import REVIEW_FIELDS
 from revlens.sources import envelopes as files, library, records
 from revlens.sources.tables import shared_folder
 
@@ -60,8 +61,17 @@ def _judged(spark: SparkSession, sf: str, repeated: bool = False) -> DataFrame:
 
 
 def _envelope_rows(spark: SparkSession, sf: str, bare: bool) -> DataFrame:
-    documents = driver.envelopes(driver.reviews(spark, sf), bare)
-    checked = ingest.check_json(files.envelope_records(documents), RULES)
+    path = _new_folder(spark, "dataset")
+    driver.write_documents(driver.envelopes(driver.reviews(spark, sf), bare), path)
+    return _record_rows(files.read_envelopes(spark, path, check=False))
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/revlens-{name}-{uuid4().hex}"
+
+
+def _record_rows(read: DataFrame) -> DataFrame:
+    checked = ingest.check_json(read, RULES)
     return checked.select(
         "seq",
         "review_id",
@@ -81,6 +91,15 @@ def read_bare_array(spark: SparkSession, sf: str) -> DataFrame:
     return _envelope_rows(spark, sf, bare=True)
 
 
+@query
+def read_json_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews written as plain lines, one object each, and read again."""
+    path = _new_folder(spark, "lines")
+    lines = driver.reviews(spark, sf).select(F.col("seq").alias("number"), *REVIEW_FIELDS)
+    lines.write.option("ignoreNullFields", "false").json(path)
+    return _record_rows(records.read_json_lines(spark, path, order="number"))
+
+
 @query
 def phrases_flatten(spark: SparkSession, sf: str) -> DataFrame:
     flat = library.flatten_phrases(library.parse_libraries(driver.libraries(spark, sf)))
@@ -368,9 +387,7 @@ def _latest(spark: SparkSession, sf: str) -> DataFrame:
     product ids beyond the reviewed ones have a summary only."""
     reviews = driver.reviews(spark, sf)
     made = reviews.select(
-        F.concat(
-            F.lit("prod-"), (F.lit(driver.FIRST_PART) + 2 * (F.col("seq") % 9)).cast("string")
-        ).alias("product_id"),
+        driver.product_id(2 * (F.col("seq") % driver.part_count(spark, sf))).alias("product_id"),
         "product_name",
         F.col("rating").cast("long").alias("review_count"),
         F.col("title").alias("summary"),
@@ -420,6 +437,19 @@ def lookup_not_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("request_id", "request_line", "product_id", "found", "error", "reviews")
 
 
+@query
+def page_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Requested ids to whole pages."""
+    scored = quality.with_quality(_scored(spark, sf))
+    headers = serving.product_headers(scored, _latest(spark, sf))
+    pages = serving.product_pages(serving.served_entries(scored, PARAMS), PARAMS)
+    return serving.lookup_pages(driver.requests(spark, sf), headers, pages).select(
+        "request_id", "request_line", "product_id", "found", "error",
+        _digest("summary", "summary_md5"), "position", "review_id", "language", "rating",
+        _digest("body", "body_md5"),
+    )
+
+
 # Evaluation.
 
 
@@ -546,7 +576,7 @@ def staged_run_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf: str) -> batch.Layout:
-    root = f"{shared_folder(spark)}/revlens-run-{uuid4().hex}"
+    root = _new_folder(spark, "run")
     batch.run_batch(
         driver.reviews(spark, sf), root, "run-1", PARAMS, driver.batch_translator(),
         driver.batch_judge(), driver.batch_summarizer(),

@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens import fixed_values as fixed
 from revlens.sources.records import accept_repeated_keys
 
-_PHRASES = "map<string,map<string,map<string,array<string>>>>"
+_PHRASES = "map<string,map<string,map<string,array<variant>>>>"
+
+
+def _string(value: Column) -> Column:
+    """A variant's text, null for any other kind: a cast would accept 5 and true."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def _each_value(nested: Column, change: Callable[[Column], Column]) -> Column:
+    return F.transform_values(nested, lambda _, value: change(value))
 
 
 def parse_libraries(texts: DataFrame) -> DataFrame:
     """``(library_id, text)`` to one parsed row per library."""
     accept_repeated_keys(texts.sparkSession)
     doc = texts.select("library_id", F.try_parse_json("text").alias("_doc"))
+    products = F.try_variant_get("_doc", "$.products", "array<map<string,variant>>")
+    phrases = F.try_variant_get("_doc", "$.phrases", _PHRASES)
+    lists = lambda kind: _each_value(kind, lambda texts: F.transform(texts, _string))
     return doc.select(
         "library_id",
         F.map_keys(F.try_variant_get("_doc", "$", "map<string,variant>")).alias("keys"),
-        F.try_variant_get("_doc", "$.schema_version", "string").alias("schema_version"),
-        F.try_variant_get("_doc", "$.products", "array<map<string,string>>").alias("products"),
-        F.try_variant_get("_doc", "$.phrases", _PHRASES).alias("phrases"),
+        _string(F.try_variant_get("_doc", "$.schema_version", "variant")).alias("schema_version"),
+        F.transform(products, lambda product: _each_value(product, _string)).alias("products"),
+        _each_value(phrases, lambda bank: _each_value(bank, lists)).alias("phrases"),
     )
 
 
@@ -148,6 +162,9 @@ def read_library(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     texts = spark.read.text(path, wholetext=True).select(
         F.lit(0).alias("library_id"), F.col("value").alias("text")
     )
+    files = texts.count()
+    if files > 1:
+        raise ValueError(f"content library {path} is {files} files, not one")
     parsed = parse_libraries(texts)
     problems = library_problems(parsed).collect()  # a library has some fifty rules at most
     if problems or parsed.isEmpty():

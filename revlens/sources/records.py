@@ -23,10 +23,23 @@ def json_records(df: DataFrame, record: str, order: str) -> DataFrame:
     )
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of ``{"seq": n, "record": {...}}``: splittable, for any volume."""
+def read_json_lines(spark: SparkSession, path: str, order: str | None = None) -> DataFrame:
+    """Lines of JSON, splittable, for any volume.
+
+    ``order`` names the field of a plain review that holds its unique number; the rest
+    of the line is the record. Without it lines are ``{"seq": n, "record": {...}}``. A
+    line that is no object is a record that breaks the rules, with a null ``seq``.
+    """
     accept_repeated_keys(spark)
     lines = spark.read.text(path).select(F.try_parse_json("value").alias("line"))
+    if order is not None:
+        fields = F.try_variant_get("line", "$", "map<string,variant>")
+        number = F.try_element_at(fields, F.lit(order))
+        record = F.to_variant_object(F.map_filter(fields, lambda name, _: name != order))
+        return lines.select(
+            F.try_variant_get(number, "$", "bigint").alias("seq"),
+            F.coalesce(record, "line", F.parse_json(F.lit("null"))).alias("record"),
+        )
     return lines.select(
         F.variant_get("line", "$.seq", "bigint").alias("seq"),
         F.variant_get("line", "$.record", "variant").alias("record"),

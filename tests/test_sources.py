@@ -64,6 +64,16 @@ def test_missing_path_and_wrong_type(spark, tmp_path):
         envelopes.read_envelopes(spark, 42)
 
 
+def test_plain_json_lines(spark, make_reviews, tmp_path):
+    path = tmp_path / "plain.jsonl"
+    row = {"n": 7, **make_reviews({}).drop("seq").first().asDict()}
+    path.write_text("\n".join([json.dumps(row), "[1]", "no json"]))
+    read = records.read_json_lines(spark, str(path), order="n")
+    checked = ingest.check(read, RULES)
+    assert [r["review_id"] for r in ingest.valid(checked).collect()] == ["rev-0001"]
+    assert sorted(str(r["seq"]) for r in read.collect()) == ["7", "None", "None"]
+
+
 def test_json_lines_round_trip(spark, make_reviews, tmp_path):
     df = make_reviews({"title": "é\n\"x\""}, {"rating": 1}, {"source_language": "fr"})
     records.write_json_lines(df, str(tmp_path / "lines"))
@@ -156,6 +166,13 @@ def broken():
     yield content(products=content()["products"] * 2), "products"
     yield content(products=[{"product_id": "x", "product_name": "y"}] * 10), "products"
     yield content(schema_version="2"), "schema_version"
+    yield content(schema_version=1), "schema_version"
+    numbered = content()
+    numbered["products"][3]["product_name"] = 5
+    yield numbered, "products"
+    typed = content()
+    typed["phrases"]["en"]["titles"]["neutral"][1] = True
+    yield typed, "phrases"
     yield content(extra=1), "<root>"
     empty = content()
     empty["phrases"]["en"]["titles"]["neutral"][0] = ""

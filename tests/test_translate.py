@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from revlens.operators import translate
-from revlens.operators.providers import Provider, echo_translator
+from revlens.operators.providers import Provider, call_each, echo_translator
 from revlens.params import Params
 
 PARAMS = Params(target_languages=("fr", "de"), engine="test")
@@ -142,3 +142,35 @@ def test_distinct_texts_are_sent_once(spark, make_reviews):
     made = translate.translate(df, PARAMS, batch(count), distinct_texts=True)
     made.collect(), made.collect()
     assert calls.value == 3 * len(PARAMS.target_languages)
+
+
+def test_calls_that_belong_together(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+    folder = str(log)
+
+    def make():
+        from pathlib import Path
+        from uuid import uuid4
+
+        def call(text):
+            (Path(folder) / f"{text}-{uuid4().hex}").touch()
+            if text.startswith("bad"):
+                raise ValueError(text)
+            return text.upper()
+
+        return call
+
+    rows = [(0, ["bad0", "b0"]), (1, ["a1", "b1", "bad1", "d1"]), (2, []), (3, None)]
+    df = spark.createDataFrame(rows, "seq long, texts array<string>").repartition(3)
+    calls = F.transform("texts", lambda t: F.struct(t.alias("text")))
+    done = call_each(df, Provider.batch(make), calls, ["text"], "out", "string", together=2)
+    found = {r["seq"]: [tuple(o) for o in r["out"] or []] for r in done.where("seq >= 0").collect()}
+    assert found == {
+        0: [(None, "ValueError"), (None, "NotAsked")],
+        1: [("A1", None), ("B1", None), (None, "ValueError"), (None, "NotAsked")],
+        2: [],
+        3: [],
+    }
+    # Once per item, and not at all behind a failure.
+    assert sorted(p.name.split("-")[0] for p in log.iterdir()) == ["a1", "b1", "bad0", "bad1"]
