@@ -204,12 +204,15 @@ def evaluate(
     judge: Judge,
     source: DataFrame | None = None,
     translated: DataFrame | None = None,
+    distinct_texts: bool = False,
 ) -> Evaluation:
-    """Evaluates raw records (``source``) or reviews that are translated already."""
+    """Evaluates raw records (``source``) or reviews that are translated already;
+    ``distinct_texts`` sends a text that occurs often to the translator once."""
     if translated is None:
         if source is None:
             raise ValueError("evaluate needs source or translated reviews")
-        translated = translate(valid(check(source, params.rules)), params, translator)
+        reviews = valid(check(source, params.rules))
+        translated = translate(reviews, params, translator, distinct_texts)
     scored = score_translations(translated, params, judge)
     if not (translator.is_native and judge.provider.is_native):
         scored = keep(scored)

@@ -28,33 +28,32 @@ def with_position(
     # join below, and the two readers of the block counts could not share one shuffle.
     block = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), _BITS), F.lit(0))
     rows = df.where(F.col(group).isNotNull()).withColumn("_block", block)
+    # A group's first row is the least of its blocks' first rows.
+    head = F.struct(*order, *[F.col(c).alias(f"first_{c}") for c in first])
     blocks = (
         rows.groupBy(group, "_block")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n"), *([F.min(head).alias("_head")] if first else []))
         .withColumn("_span", F.shiftright("_block", _BITS))
     )
     whole = Window.partitionBy(group)
     so_far = whole.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     spans = (
         blocks.groupBy(group, "_span")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.sum("_n").alias("_n"), *([F.min("_head").alias("_head")] if first else []))
         .select(
             group,
             "_span",
             F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_span_start"),
             F.sum("_n").over(whole).alias("group_rows"),
+            *([F.min("_head").over(whole).alias("_head")] if first else []),
         )
     )
-    if first:
-        head = F.struct(*order, *[F.col(c).alias(f"first_{c}") for c in first])
-        heads = rows.groupBy(group).agg(F.min(head).alias("_head"))
-        spans = spans.join(heads, group)
     in_span = Window.partitionBy(group, "_span").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = (
         blocks.withColumn("_in_span", F.coalesce(F.sum("_n").over(in_span), F.lit(0)))
-        .drop("_n")
+        .drop("_n", "_head")
         .join(spans, [group, "_span"])
         .select(
             group,
