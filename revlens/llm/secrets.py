@@ -47,9 +47,10 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}+"),
     Rule("hex", r"[0-9a-f]{24,}+"),
 )
+# Bounded repeats and anchored starts keep these linear, and their groups off the stack.
 ADDED = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("prefixed", r"(?:gh[pousr]_|github_pat_|xox[abprs]-|sk_live_|glpat-)[A-Za-z0-9_-]{16,}+"),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,9}://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{6,256}@"),
 )

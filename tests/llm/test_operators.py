@@ -111,6 +111,14 @@ def test_only_unseen_pairs_are_scanned(odd, spark):
     assert {r.rule.split(":")[0] for r in added.collect()} == {r.kind for r in secrets.ADDED}
 
 
+def test_long_runs_of_secrets(spark):
+    header, token = "-----BEGIN ", "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
+    texts = [header + "AB " * 100_000, "eyJ" * 100_000, f"x={token} {header}EC PRIVATE KEY-----", "-" * 300_000]
+    found, _ = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    kinds = {r.doc_id: [s.kind for s in r.findings] for r in found.collect()}
+    assert kinds == {0: [], 1: [], 2: ["jwt", "private_key"], 3: []}
+
+
 # Personal data.
 
 
