@@ -72,7 +72,7 @@ def statistics(docs: DataFrame, text_col: str, carried: list[str]) -> DataFrame:
         "_sorted",
         F.when(
             repeated,
-            F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     # Windows that equal a neighbour in sorted order occur twice or more.
@@ -81,7 +81,7 @@ def statistics(docs: DataFrame, text_col: str, carried: list[str]) -> DataFrame:
         lambda x, k: (F.get("_sorted", k - 1)["h"] == x["h"]).eqNullSafe(True)
         | (F.get("_sorted", k + 1)["h"] == x["h"]).eqNullSafe(True),
     )
-    rows = rows.withColumn("_starts", F.array_sort(F.transform(twice, lambda x: x["i"])))
+    rows = rows.withColumn("_starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
     covered = F.aggregate(
         F.transform(
             "_starts",
