@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.llm.boosting import Additive, fit_additive
-from revlens.llm.text import SPACED_BYTES, held_out
+from revlens.llm.text import SPACED_BYTES, held_out, lowest
 from revlens.sources.tables import keep
 
 #: Labelled rows that the model is fitted on at most, taken in the order of a hash.
@@ -68,11 +68,10 @@ def labelled(labels: DataFrame, label: str, id_col: str, modulus: int, remainder
     """At most ``sample`` labelled ids that may be learned from, in the order of a hash."""
     usable = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
     usable = usable.where(~held_out(id_col, modulus, remainder))
-    return (
-        usable.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y"))
-        .orderBy(F.xxhash64("_id"), "_id", "_y")
-        .limit(sample)
+    rows = usable.select(
+        F.xxhash64(id_col).alias("_hash"), F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y")
     )
+    return lowest(rows, "_hash", sample).drop("_hash")
 
 
 def score(
@@ -92,7 +91,7 @@ def score(
     The model learns from ids whose CRC-32 modulo ``modulus`` is not ``remainder``, from
     at most ``sample`` labelled rows; nothing but the text enters a score. Null texts
     score as empty ones. Labels of other values and of unknown ids are passed over; an
-    id with several labels or several texts gives an example for each. Without labels
+    id with several labels or several texts gives an example for each, a repeated label row none. Without labels
     the score is 0.5; with one label only, it is that label's share.
     """
     rows = docs.select(

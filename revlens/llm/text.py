@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from revlens.sources.tables import keep
+
 #: Runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 SPACED = r"[^\x20\x09-\x0D]+"
 #: The same in UTF-8 bytes: every byte of a longer character is above 0x7F.
@@ -80,3 +82,26 @@ def held_out(id_column: str, modulus: int, remainder: int) -> Column:
     """Rows that no label is learned from; a null id counts as the text ``null``."""
     key = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
     return F.crc32(key.cast("binary")) % modulus == remainder
+
+
+#: Ranges of hashes that ``lowest`` counts, a bound on what the driver gets.
+_RANGE_BITS = 16
+
+
+def lowest(rows: DataFrame, hashed: str, most: int) -> DataFrame:
+    """The ``most`` distinct rows with the lowest values of a 64-bit hash column, all if fewer.
+
+    Equal rows count once, so one that occurs very often cannot fill the sample. Counts
+    by range of hashes say which ranges can hold the lowest; only their rows reach the
+    task that sorts, however many partitions there are.
+    """
+    distinct = keep(rows.distinct())
+    ranges = F.shiftright(hashed, 64 - _RANGE_BITS)
+    counts = distinct.groupBy(ranges.alias("_range")).count().collect()
+    last, total = None, 0
+    for last, n in sorted(map(tuple, counts)):
+        total += n
+        if total >= most:
+            break
+    first = distinct if last is None else distinct.where(ranges <= last)
+    return first.orderBy(hashed, *[c for c in rows.columns if c != hashed]).limit(most)

@@ -10,6 +10,7 @@ from conftest import ODD, PASSAGE
 from revlens.llm import (
     contamination, jaccard, licenses, mixing, pii, quality, quality_rules, queries, repeats, secrets, toxicity,
 )
+from revlens.llm.text import lowest
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
@@ -228,6 +229,14 @@ def test_contamination_odd(spark, odd, none, odd_texts, block):
 # Classifiers.
 
 
+@pytest.mark.parametrize("most", [1, 7, 40, 500])
+def test_lowest_hashes(spark, most):
+    rows = [(i % 2**63 - (i % 2) * 2**63, str(i % 5)) for i in (k * 0x9E3779B97F4A7C15 for k in range(100))]
+    df = spark.createDataFrame([*rows, *rows[:1] * 300], "h long, x string").repartition(5)
+    assert sorted(map(tuple, lowest(df, "h", most).collect())) == sorted(set(rows))[:most]
+    assert lowest(df.limit(0), "h", most).count() == 0
+
+
 @pytest.mark.parametrize("score", [quality.score, toxicity.score])
 def test_classifiers_odd(odd, none, labels, score):
     rows = score(odd, labels).collect()
