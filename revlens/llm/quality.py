@@ -1,8 +1,8 @@
 """A quality classifier: a generalised additive model with pairwise interactions.
 
-Features of the whole text are computed once per document. Cyclic boosting of shallow
-trees turns labelled examples into one lookup table per feature and per chosen pair;
-a score is a sum of table entries, added up for whole batches at once.
+Features of the whole text are computed where a document is scored. Cyclic boosting of
+shallow trees turns labelled examples into one lookup table per feature and per chosen
+pair; a score is a sum of table entries, added up for whole batches at once.
 """
 
 from __future__ import annotations
@@ -12,11 +12,10 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.llm.boosting import Additive, fit_additive
 from revlens.llm.text import SPACED_BYTES, held_out, lowest
-from revlens.sources.tables import keep
 
 #: Labelled rows that the model is fitted on at most, taken in the order of a hash.
 SAMPLE = 20_000
@@ -54,14 +53,16 @@ def features(text: str | None) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, text_col: str) -> DataFrame:
-    schema = ", ".join(f"{name} double" for name in FEATURES)
+def _matrix(texts: pd.Series) -> np.ndarray:
+    return np.array([features(t) for t in texts], float).reshape(len(texts), len(FEATURES))
 
-    @F.pandas_udf(schema)
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([features(t) for t in texts], columns=FEATURES)
 
-    return docs.withColumn("_features", of(text_col))
+def _features(text_col: str) -> Column:
+    @F.pandas_udf("array<double>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(_matrix(texts)), dtype=object)
+
+    return of(text_col)
 
 
 def labelled(labels: DataFrame, label: str, id_col: str, modulus: int, remainder: int, sample: int) -> DataFrame:
@@ -99,12 +100,12 @@ def score(
         F.col(text_col).alias("_text"),
         *[F.col(c).alias(f"_carried_{c}") for c in carried],
     )
-    kept = keep(with_features(rows, "_text").drop("_text"))
-    chosen = labelled(labels, label, id_col, modulus, remainder, sample)
-    seen = kept.join(chosen, "_id").select("_y", "_features.*").limit(2 * sample).toPandas()
-    model = fit_additive(seen[FEATURES].to_numpy(float), seen["_y"].to_numpy(float))
-    scores = _scorer(model)(F.col("_features"))
-    return kept.select("_id", scores.alias("score"), *[c for c in kept.columns if c.startswith("_carried_")]).select(
+    # A bounded broadcast; the other texts are looked at once, when they are scored.
+    chosen = F.broadcast(labelled(labels, label, id_col, modulus, remainder, sample))
+    seen = rows.join(chosen, "_id").select("_y", _features("_text").alias("x")).limit(2 * sample).toPandas()
+    x = np.array(seen["x"].tolist(), float).reshape(len(seen), len(FEATURES))
+    scores = _scorer(fit_additive(x, seen["_y"].to_numpy(float)))
+    return rows.withColumn("score", scores("_text")).select(
         F.col("_id").alias(id_col),
         held_out("_id", modulus, remainder).alias("held_out"),
         "score",
@@ -115,7 +116,8 @@ def score(
 
 def _scorer(model: Additive):
     @F.pandas_udf("double")
-    def scores(x: pd.DataFrame) -> pd.Series:
-        return pd.Series(model.score(x[FEATURES].to_numpy(float)))
+    def scores(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_matrix(texts)))
 
-    return scores
+    # Neither repeated nor moved by the optimizer.
+    return scores.asNondeterministic()
