@@ -18,6 +18,10 @@ from revlens.sources.tables import keep
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _CARRIED = COLUMNS[1:]
 
+#: The stage's own rule for near copies; 4 words and 85 % are those of the op7 query alone.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the quality classifier predicts to be bad."""
@@ -26,8 +30,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each component of near duplicates, that with the smallest id."""
-    return jaccard.join(docs, carried=_CARRIED).where("keeper").select(*COLUMNS)
+    """Leaves one document of each component of near duplicates, that with the smallest id.
+
+    Near duplicates share at least 80 % of their 5-word shingles.
+    """
+    joined = jaccard.join(docs, width=NEAR_WORDS, percent=NEAR_PERCENT, carried=_CARRIED)
+    return joined.where("keeper").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,32 @@ def test_stages(spark):
     assert sum(i in kept for (i,) in good) >= 0.9 * len(good)
 
 
+def test_near_copies_of_five_words_and_80_percent(spark):
+    """Pairs on both sides of the rule, which 4 words and 85 % would all leave in."""
+    rows = {}
+    for name, places in (("a", (30, 70)), ("b", (20, 50, 80))):  # 86 of 106 and 81 of 111 shingles
+        words = [f"{name}{i}" for i in range(100)]
+        changed = [f"new{w}" if i in places else w for i, w in enumerate(words)]
+        rows |= {len(rows): " ".join(words), len(rows) + 1: " ".join(changed)}
+    expected = brute.jaccard(list(rows.values()), width=5, percent=80)
+    assert [top for _, top in expected] == [0, 0, 2, 3]
+    assert [top for _, top in brute.jaccard(list(rows.values()))] == [0, 1, 2, 3]
+    docs = spark.createDataFrame(
+        [(i, text, "en", "a", len(text)) for i, text in rows.items()],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()
+    assert {r.doc_id for r in found} == {0, 2, 3}
+
+
+def test_near_duplicates_on_driver_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    expected = brute.jaccard([text for _, text in rows], width=5, percent=80)
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).collect()
+    assert {r.doc_id for r in found} == {rows[top][0] for _, top in expected}
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [*corpus_pipeline.COLUMNS, "copy"]
