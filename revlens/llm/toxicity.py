@@ -1,90 +1,138 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
-A bounded bank of labelled examples is indexed by term. Postings lie in blocks of
-examples with the largest weight of each term per block; a query walks the blocks
-from the highest bound down and stops when no bound can reach its k-th neighbour,
-so the neighbours are exact. Their distance-weighted votes, calibrated, are the
-score, and the neighbours themselves the evidence.
+A bounded bank of labelled examples is indexed by all of its words. Postings lie in
+blocks of examples with the largest weight of each word per block; a query scores the
+blocks with the highest bounds first and then only those whose bound can reach its
+k-th neighbour, so the neighbours are exact. Words that no example has cannot add to a
+product, but they count in the length of a text. The neighbours' distance-weighted
+votes, calibrated, are the score, and the neighbours themselves the evidence.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from revlens.llm.boosting import Additive, fit_additive, sigmoid
 from revlens.llm.quality import labelled
-from revlens.llm.text import alnum_words, held_out
+from revlens.llm.text import alnum_words, held_out, long_lists, utf8
 from revlens.sources.tables import keep
 
 #: Labelled examples per label in the index at most, taken in the order of a hash.
 BANK = 3_000
-#: Terms: those whose share of documents differs most between the labels.
-TERMS = 512
-_LEAST_Z = 4.5
-_LEAST_DOCS = 4
 _BLOCK = 64
-_SEEN = "terms array<int>, counts array<int>"
+#: Blocks that are scored before any is passed over.
+_FIRST = 8
+#: Bounds and products are summed in different orders; no block is lost to rounding.
+_SLACK = 1 + 1e-9
+_SEEN = "terms array<long>, counts array<long>, rare array<long>, rare_counts array<long>"
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges one after another."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
 
 
 @dataclass
 class Index:
-    """Examples in blocks; ``postings[b][t]`` are term t's weights in block b."""
+    """Postings by term, then by block; ``places`` are places in ``order``.
+
+    Entry ``e`` stands for a term in a block, ``first_entry[t]`` to ``first_entry[t + 1]``
+    for those of term t; its postings are ``first_posting[e]`` to ``first_posting[e + 1]``.
+    """
 
     ids: np.ndarray
     y: np.ndarray
     idf: np.ndarray
-    postings: np.ndarray
-    highest: np.ndarray
     order: np.ndarray
+    first_entry: np.ndarray
+    block: np.ndarray
+    highest: np.ndarray
+    first_posting: np.ndarray
+    places: np.ndarray
+    weights: np.ndarray
 
     @classmethod
     def build(cls, ids, y, seen, idf: np.ndarray) -> Index:
-        rows = np.zeros((len(ids), len(idf)), np.float64)
-        for row, (terms, counts) in zip(rows, seen):
-            row[:] = vector(terms, counts, idf)
+        rows = [(np.asarray(t, np.int64), unit(weigh(t, c, idf))) for t, c in seen]
         # Examples with the same label and heaviest term lie together, which keeps bounds tight.
-        order = np.lexsort((rows.argmax(1) if len(idf) else np.zeros(len(ids)), y))
-        blocks = max(1, -(-len(ids) // _BLOCK))
-        padded = np.zeros((blocks * _BLOCK, len(idf)))
-        padded[: len(ids)] = rows[order]
-        postings = padded.reshape(blocks, _BLOCK, len(idf)).transpose(0, 2, 1).copy()
-        return cls(np.asarray(ids, object), np.asarray(y), idf, postings, postings.max(2), order)
-
-    def nearest(self, terms, counts, k: int, without=None) -> list[tuple[float, int]]:
-        """(similarity, example) of the k nearest with a similarity above 0, nearest first."""
+        heaviest = [t[w.argmax()] if len(t) else -1 for t, w in rows]
+        order = np.lexsort((np.array(heaviest, np.int64), np.asarray(y)))
+        sizes = np.array([len(rows[at][0]) for at in order], np.int64)
+        places = np.repeat(np.arange(len(order)), sizes)
+        terms = np.concatenate([np.empty(0, np.int64), *[rows[at][0] for at in order]])
+        weights = np.concatenate([np.empty(0), *[rows[at][1] for at in order]])
+        by_term = np.argsort(terms, kind="stable")
+        terms, places, weights = terms[by_term], places[by_term], weights[by_term]
+        blocks = places // _BLOCK
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])
+        starts = np.flatnonzero(new)
+        return cls(
+            np.asarray(ids, object), np.asarray(y), idf, order,
+            np.searchsorted(terms[starts], np.arange(len(idf) + 1)),
+            blocks[starts],
+            np.maximum.reduceat(weights, starts) if len(starts) else np.empty(0),
+            np.append(starts, len(terms)),
+            places, weights,
+        )
+
+    def nearest(self, terms, counts, k: int, without=None, length=None) -> list[tuple[float, int]]:
+        """(similarity, example) of the k nearest with a similarity above 0, nearest first.
+
+        ``length`` is that of the text's vector, its terms alone if not given.
+        """
         if not len(terms) or not len(self.ids):
             return []
         terms = np.asarray(terms)
-        weights = vector(terms, counts, self.idf)[terms]
-        bounds = self.highest[:, terms] @ weights
+        weights = weigh(terms, counts, self.idf)
+        weights = weights / (np.linalg.norm(weights) if length is None else length)
+        sizes = self.first_entry[terms + 1] - self.first_entry[terms]
+        entries, weights = _ranges(self.first_entry[terms], sizes), np.repeat(weights, sizes)
+        blocks = self.block[entries]
+        bounds = np.bincount(blocks, weights * self.highest[entries], -(-len(self.ids) // _BLOCK))
+        walk = np.argsort(-bounds, kind="stable")
+        walk = walk[bounds[walk] > 0]
         best_sim, best_at = np.empty(0), np.empty(0, np.int64)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best_sim) == k and bounds[block] < best_sim[-1]):
-                break
-            at = self.order[block * _BLOCK : (block + 1) * _BLOCK]
-            sims = (weights @ self.postings[block][terms])[: len(at)]
-            usable = sims > 0
+        for part in (walk[:_FIRST], walk[_FIRST:]):
+            if len(best_sim) == k:
+                part = part[bounds[part] * _SLACK >= best_sim[-1]]
+            wanted = np.zeros(len(bounds), bool)
+            wanted[part] = True
+            wanted = wanted[blocks]
+            own = entries[wanted]
+            n = self.first_posting[own + 1] - self.first_posting[own]
+            postings = _ranges(self.first_posting[own], n)
+            sims = self.weights[postings] * np.repeat(weights[wanted], n)
+            sims = np.bincount(self.places[postings], sims, len(self.ids))
+            found = np.flatnonzero(sims > 0)
+            sim, at = sims[found], self.order[found]
             if without is not None:
-                usable &= self.ids[at] != without
-            sim = np.concatenate([best_sim, sims[usable]])
-            at = np.concatenate([best_at, at[usable]])
+                other = self.ids[at] != without
+                sim, at = sim[other], at[other]
+            sim, at = np.concatenate([best_sim, sim]), np.concatenate([best_at, at])
+            if len(sim) > k:
+                likely = sim >= np.partition(sim, len(sim) - k)[len(sim) - k]
+                sim, at = sim[likely], at[likely]
             first = np.lexsort((at, -sim))[:k]
             best_sim, best_at = sim[first], at[first]
         return list(zip(best_sim.tolist(), best_at.tolist()))
 
 
-def vector(terms, counts, idf: np.ndarray) -> np.ndarray:
-    """A unit vector of (1 + log count) * idf."""
-    out = np.zeros(len(idf))
-    terms = np.asarray(terms, np.int64)
-    out[terms] = (1 + np.log(np.asarray(counts, float))) * idf[terms]
-    norm = np.linalg.norm(out)
-    return out / norm if norm else out
+def weigh(terms, counts, idf: np.ndarray) -> np.ndarray:
+    """(1 + log count) * idf of each term."""
+    return (1 + np.log(np.asarray(counts, float))) * idf[np.asarray(terms, np.int64)]
+
+
+def unit(weights: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(weights)
+    return weights / norm if norm else weights
 
 
 def votes(near: list[tuple[float, int]], y: np.ndarray) -> list[float]:
@@ -94,36 +142,16 @@ def votes(near: list[tuple[float, int]], y: np.ndarray) -> list[float]:
     return [share, near[0][0] if near else 0.0, float(len(near))]
 
 
-def vocabulary(examples: DataFrame, size: int) -> dict[bytes, int]:
-    """The terms of ``examples`` (text, label) that tell the labels apart best."""
+def vocabulary(examples: DataFrame) -> dict[bytes, int]:
+    """All words of the examples, which bound their number."""
 
-    def words(frames):
-        for frame in frames:
-            out = [
-                (w.decode("utf-8", "replace"), y)
-                for text, y in zip(frame["_text"], frame["_y"])
-                for w in set(alnum_words(text))
-            ]
-            yield pd.DataFrame(out, columns=["word", "y"])
-
-    ones, n = examples.agg(F.sum("_y"), F.count("*")).first()
-    ones, zeros = ones or 0.0, n - (ones or 0.0)
-    if not ones or not zeros:
-        return {}
-    share = F.col("n") / n
-    apart = F.col("ones") / ones - (F.col("n") - F.col("ones")) / zeros
-    z = F.abs(apart) / F.sqrt(share * (1 - share) * (1 / ones + 1 / zeros) + 1e-12)
-    chosen = (
-        examples.mapInPandas(words, "word string, y double")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"), F.sum("y").alias("ones"))
-        .where((F.col("n") >= _LEAST_DOCS) & (z >= _LEAST_Z))
-        .orderBy(z.desc(), "word")
-        .limit(size)
-        .select("word")
-        .collect()
-    )
-    return {row.word.encode(): i for i, row in enumerate(chosen)}
+    def words(batches):
+        for batch in batches:
+            found = {w for text in utf8(batch.column("_text")) for w in alnum_words(text)}
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["word"])
+
+    found = examples.select("_text").mapInArrow(words, "word binary").distinct().toArrow()
+    return {w: i for i, w in enumerate(sorted(found.column("word").to_pylist()))}
 
 
 def score(
@@ -135,7 +163,6 @@ def score(
     threshold: float = 0.3,
     neighbours: int = 15,
     bank: int = BANK,
-    terms: int = TERMS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -143,10 +170,11 @@ def score(
 
     ``evidence`` lists the nearest examples as (example, similarity, label). Examples are
     taken from ids whose CRC-32 modulo ``modulus`` is not ``remainder``, at most ``bank``
-    per label; a document is never its own neighbour. Terms come from the examples, their
-    document frequencies from all documents. A text without any term, such as a null
-    or empty one, gets the score of the examples without terms. Without labels every
-    score is 0.5.
+    per label; a document is never its own neighbour. Similarities are cosines of whole
+    texts: every word has a weight, by its document frequency in all documents. Words that
+    no example has are told apart by 64-bit hashes. A text without any word of an example,
+    such as a null or empty one, gets the score of the examples without neighbours. Without
+    labels every score is 0.5.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     usable = [
@@ -155,35 +183,58 @@ def score(
     # At most twice the bank's rows of two numbers: a bounded broadcast.
     chosen = keep(usable[0].unionByName(usable[1]))
     examples = keep(rows.join(F.broadcast(chosen), "_id").limit(4 * bank))
-    numbers = vocabulary(examples.select("_text", "_y"), terms)
-
-    @F.pandas_udf(_SEEN)
-    def look(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
-            found: dict[int, int] = {}
-            for at in map(numbers.get, alnum_words(text)):
-                if at is not None:
-                    found[at] = found.get(at, 0) + 1
-            out.append((list(found), list(found.values())))
-        return pd.DataFrame(out, columns=["terms", "counts"])
-
-    seen = keep(rows.select("_id", look("_text").alias("_seen")).select("_id", "_seen.*"))
-    df = _document_counts(seen, len(numbers))
+    numbers = vocabulary(examples)
+    known = rows.sparkSession.sparkContext.broadcast(numbers)
+
+    @F.arrow_udf(_SEEN)
+    def look(texts: pa.Array) -> pa.Array:
+        numbers, found = known.value, ([], [], [], [])
+        for text in utf8(texts):
+            words = Counter(alnum_words(text))
+            inside = [(numbers[w], n) for w, n in words.items() if w in numbers]
+            rare = [(xxhash.xxh3_64_intdigest(w), n) for w, n in words.items() if w not in numbers]
+            for lists, pairs, at in zip(found, (inside, inside, rare, rare), (0, 1, 0, 1)):
+                lists.append(np.array([pair[at] for pair in pairs], np.uint64))
+        return pa.StructArray.from_arrays(
+            [long_lists(lists) for lists in found], names=["terms", "counts", "rare", "rare_counts"]
+        )
+
+    # The number of a kept row stays what it is and tells repeated rows apart.
+    looked = rows.select("_id", F.monotonically_increasing_id().alias("_m"), look("_text").alias("_seen"))
+    seen = keep(looked.select("_id", "_m", "_seen.*"))
     idf, total = np.zeros(len(numbers)), seen.count()
-    for row in df:
-        idf[row["term"]] = np.log((total + 1) / (row["n"] + 1)) + 1
-    held = examples.select("_id", "_y", look("_text").alias("_seen")).select("_id", "_y", "_seen.*").toPandas()
-    y = held["_y"].to_numpy(float)
-    index = Index.build(held["_id"].tolist(), y, list(zip(held["terms"], held["counts"])), idf)
-    left_out = [
-        votes(index.nearest(t, c, neighbours, without=i), y)
-        for i, t, c in zip(held["_id"], held["terms"], held["counts"])
-    ]
+    df = _document_counts(seen, len(numbers))
+    at, n = (df.column(c).to_numpy() for c in ("term", "n"))
+    idf[at] = np.log((total + 1) / (n + 1)) + 1
+    held = examples.select("_id", "_y", look("_text").alias("_seen")).select("_id", "_y", "_seen.*").toArrow()
+    y, held_ids = held.column("_y").to_numpy().astype(float), held.column("_id").to_pylist()
+    held_seen = list(zip(_lists(held.column("terms")), _lists(held.column("counts"))))
+    index = Index.build(held_ids, y, held_seen, idf)
+    left_out = [votes(index.nearest(t, c, neighbours, without=i), y) for i, (t, c) in zip(held_ids, held_seen)]
     calibration = fit_additive(np.array(left_out).reshape(len(y), 3), y, bins=16, rounds=60, pairs=0)
     shift = _prior(labels, label, id_col, modulus, remainder) - _log_odds(y.sum(), len(y))
-    scored = _scorer(seen, index, calibration, shift, neighbours)
-    return seen.select("_id", scored("_id", "terms", "counts").alias("_s")).select(
+    shared = rows.sparkSession.sparkContext.broadcast((index, calibration))
+
+    @F.arrow_udf("square double, products array<double>, examples array<long>")
+    def near(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> pa.Array:
+        index, squares, found = shared.value[0], [], []
+        for i, t, c in zip(ids.to_pylist(), _lists(terms), _lists(counts)):
+            squares.append(np.square(weigh(t, c, index.idf)).sum())
+            found.append(index.nearest(t, c, neighbours, without=i, length=1.0))
+        columns = [
+            pa.array(squares, pa.float64()),
+            pa.array([[product for product, _ in n] for n in found], pa.list_(pa.float64())),
+            pa.array([[at for _, at in n] for n in found], pa.list_(pa.int64())),
+        ]
+        return pa.StructArray.from_arrays(columns, names=["square", "products", "examples"])
+
+    # Only the few nearest of a text meet its share of words that no example has.
+    compared = keep(seen.select("_id", "_m", near("_id", "terms", "counts").alias("_near")).select("_id", "_m", "_near.*"))
+    whole = compared.join(_rare_squares(seen, total), "_m", "left").withColumn(
+        "_length", F.sqrt(F.col("square") + F.coalesce("rare_square", F.lit(0.0)))
+    )
+    scored = _scorer(shared, shift)
+    return whole.select("_id", scored("products", "examples", "_length").alias("_s")).select(
         F.col("_id").alias(id_col),
         held_out("_id", modulus, remainder).alias("held_out"),
         F.col("_s.score").alias("score"),
@@ -192,7 +243,14 @@ def score(
     )
 
 
-def _document_counts(seen: DataFrame, size: int) -> list:
+def _lists(lists) -> list[np.ndarray]:
+    """Each list of a column as numbers."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _document_counts(seen: DataFrame, size: int) -> pa.Table:
     """Documents per term, at most one row per term; each task adds its own up first."""
 
     def add_up(batches):
@@ -200,11 +258,19 @@ def _document_counts(seen: DataFrame, size: int) -> list:
         for batch in batches:
             sums += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
         terms = np.flatnonzero(sums)
-        columns = [pa.array(terms.astype(np.int32)), pa.array(sums[terms])]
-        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(sums[terms])], names=["term", "n"])
+
+    counts = seen.select("terms").mapInArrow(add_up, "term long, n long")
+    return counts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
 
-    counts = seen.select("terms").mapInArrow(add_up, "term int, n long")
-    return counts.groupBy("term").agg(F.sum("n").alias("n")).collect()
+
+def _rare_squares(seen: DataFrame, total: int) -> DataFrame:
+    """Per row ``_m``, the sum of squared weights of the words that no example has."""
+    words = seen.select("_m", F.explode(F.arrays_zip("rare", "rare_counts")).alias("w")).select("_m", "w.*")
+    documents = words.groupBy("rare").agg(F.count("*").alias("n"))
+    idf = F.log(F.lit(total + 1) / (F.col("n") + 1)) + 1
+    weight = (1 + F.log("rare_counts")) * idf
+    return words.join(documents, "rare").groupBy("_m").agg(F.sum(weight * weight).alias("rare_square"))
 
 
 def _log_odds(ones: float, n: float) -> float:
@@ -218,13 +284,14 @@ def _prior(labels: DataFrame, label: str, id_col: str, modulus: int, remainder:
     return _log_odds(ones or 0, n)
 
 
-def _scorer(seen: DataFrame, index: Index, calibration: Additive, shift: float, k: int):
-    shared = seen.sparkSession.sparkContext.broadcast((index, calibration))
-
-    @F.pandas_udf("score double, evidence array<struct<example:string,similarity:double,label:int>>")
-    def scored(ids: pd.Series, terms: pd.Series, counts: pd.Series) -> pd.DataFrame:
+def _scorer(shared, shift: float):
+    @F.arrow_udf("score double, evidence array<struct<example:string,similarity:double,label:int>>")
+    def scored(products: pa.Array, examples: pa.Array, lengths: pa.Array) -> pa.Array:
         index, calibration = shared.value
-        near = [index.nearest(t, c, k, without=i) for i, t, c in zip(ids, terms, counts)]
+        near = [
+            [(product / length, at) for product, at in zip(p, e)]
+            for p, e, length in zip(products.to_pylist(), examples.to_pylist(), lengths.to_pylist())
+        ]
         x = np.array([votes(n, index.y) for n in near]).reshape(len(near), 3)
         raw = np.clip(calibration.score(x), 1e-9, 1 - 1e-9)
         evidence = [
@@ -235,6 +302,8 @@ def _scorer(seen: DataFrame, index: Index, calibration: Additive, shift: float,
             for n in near
         ]
         scores = sigmoid(np.log(raw / (1 - raw)) + shift)
-        return pd.DataFrame({"score": scores, "evidence": evidence})
+        said = pa.struct([("example", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())])
+        columns = [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(said))]
+        return pa.StructArray.from_arrays(columns, names=["score", "evidence"])
 
     return scored

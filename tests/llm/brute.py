@@ -1,6 +1,7 @@
 """Plain Python counterparts of the queries, from their definitions."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -115,6 +116,22 @@ def jaccard(texts, width=4, percent=85):
     return [(len(s), top(i)) for i, s in enumerate(sets)]
 
 
+def neighbours(texts, examples):
+    """Per text: (cosine, example) above 0 by TF-IDF over all words, nearest first, itself left out."""
+    seen = [Counter(lowered(t, ALNUM)) for t in texts]
+    df = Counter(w for words in seen for w in words)
+    rows = []
+    for words in seen:
+        row = {w: (1 + math.log(n)) * (math.log((len(texts) + 1) / (df[w] + 1)) + 1) for w, n in words.items()}
+        length = math.sqrt(sum(x * x for x in row.values()))
+        rows.append({w: x / length for w, x in row.items()})
+    out = []
+    for i, row in enumerate(rows):
+        sims = [(sum(x * rows[e].get(w, 0) for w, x in row.items()), e) for e in examples if e != i]
+        out.append(sorted((s for s in sims if s[0] > 0), key=lambda s: (-s[0], s[1])))
+    return out
+
+
 def rules(text):
     text = text or ""
     pattern = re.compile(r"[^\x20\x09-\x0D]+")

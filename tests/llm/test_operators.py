@@ -263,6 +263,24 @@ def test_held_out_accuracy(spark, name, label, modulus, remainder):
     assert len(held) > 50 and sum(y == p for y, p in held) / len(held) > 0.9
 
 
+def test_toxicity_neighbours_are_those_of_whole_texts(spark):
+    """Brute-force cosines over all words, also those that only one example or none has."""
+    words = [[f"w{(i * k) % 37}" for k in range(1, 9)] + [f"own{i}x{k}" for k in range(i % 4)] for i in range(90)]
+    words += [[*words[i][:5], f"only{i}", "outside"] for i in range(0, 90, 9)] + [["own3x1"], ["only0", "unseen"], []]
+    texts = [" ".join(w) for w in words]
+    toxic = {i: i % 2 for i in range(90)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    found = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    expected = brute.neighbours(texts, [i for i in toxic if not found[i].held_out])
+    for i, near in enumerate(expected):
+        assert [e.similarity for e in found[i].evidence] == pytest.approx([sim for sim, _ in near[:5]], abs=1e-9)
+        sims = {str(at): sim for sim, at in near}
+        assert all(sims[e.example] == pytest.approx(e.similarity) for e in found[i].evidence)
+        assert all(e.label == toxic[int(e.example)] for e in found[i].evidence)
+    assert found[100].evidence[0].example == "3" and not found[102].evidence
+
+
 # Near duplicates.
 
 
