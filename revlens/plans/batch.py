@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from uuid import uuid4
 
@@ -14,6 +14,9 @@ from revlens.params import Params
 from revlens.schema import RECORDS
 from revlens.sources.tables import read_table, write_table
 
+#: ``summarize.summarize`` or ``summarize.summarize_tree``.
+Summaries = Callable[[DataFrame, Params, Provider], DataFrame]
+
 STATUS = "stage string, source_key string, target_key string, count long"
 
 
@@ -81,11 +84,15 @@ def translate_stage(
 
 
 def summarize_stage(
-    spark: SparkSession, at: Layout, params: Params, summarizer: Provider
+    spark: SparkSession,
+    at: Layout,
+    params: Params,
+    summarizer: Provider,
+    summaries: Summaries = summarize.summarize,
 ) -> DataFrame:
     """Summaries of all reviews of a product in their original words."""
     reviews = read_table(spark, at.path("translated"))
-    return at.write(summarize.summarize(reviews, params, summarizer), "summaries")
+    return at.write(summaries(reviews, params, summarizer), "summaries")
 
 
 def quality_stage(spark: SparkSession, at: Layout, params: Params, judge: Judge) -> DataFrame:
@@ -120,16 +127,20 @@ def run_batch(
     judge: Judge,
     summarizer: Provider,
     distinct_texts: bool = False,
+    summaries: Summaries = summarize.summarize,
 ) -> DataFrame:
     """Runs all stages, publishes the result and returns one status row per stage.
 
+    ``summaries`` makes them: ``summarize.summarize`` holds all reviews of a product in one
+    row, so products that may be large need ``summarize.summarize_tree``.
+
     A stage that fails raises, and then nothing is published: readers go on with
     the run that was published last.
     """
     spark, at = records.sparkSession, Layout.fresh(root, run_id)
     ingest_stage(records, at, params)
     translate_stage(spark, at, params, translator, distinct_texts)
-    summarize_stage(spark, at, params, summarizer)
+    summarize_stage(spark, at, params, summarizer, summaries)
     quality_stage(spark, at, params, judge)
     serving_stage(spark, at, params)
     status = stage_status(spark, at)

@@ -1,8 +1,12 @@
+import re
+from dataclasses import replace
+
 import pytest
 
+from revlens.operators import summarize
 from revlens.operators.providers import Provider, echo_translator, fixed_judge
 from revlens.params import Params
-from revlens.plans import batch
+from revlens.plans import batch, queries
 
 PARAMS = Params(target_languages=("fr", "de"), page_entries=2)
 ROWS = [
@@ -109,3 +113,30 @@ def test_run_without_records(spark, make_reviews, tmp_path):
     root = str(tmp_path / "out")
     assert {r["count"] for r in run(make_reviews(), root, "one").collect()} == {0}
     assert entries(spark, root) == []
+
+
+def test_run_with_bounded_prompts(spark, make_reviews, tmp_path):
+    """Every review reaches a prompt, and none holds more than ``prompt_reviews`` of them."""
+    root, params = str(tmp_path / "out"), replace(PARAMS, prompt_reviews=2)
+    rows = [{"review_id": f"rev-{i:04}", "product_id": "prod-001", "title": f"<{i}>"} for i in range(7)]
+
+    def call(prompt, *_):
+        lines = prompt.split("Reviews:\n")[1].splitlines()
+        return "+".join(re.findall(r"<\w+>", prompt)) if len(lines) <= 2 else "too long"
+
+    batch.run_batch(
+        make_reviews(*rows), root, "one", params, echo_translator(), fixed_judge(4.0),
+        Provider.batch(lambda: call), summaries=summarize.summarize_tree,
+    )
+    headers, _ = batch.served(spark, root)
+    assert [r["summary"] for r in headers.collect()] == ["+".join(f"<{i}>" for i in range(7))]
+
+
+@pytest.mark.parametrize("name", ["summarize_batch_udf", "staged_run_counts"])
+def test_queries_hold_no_whole_product(spark, monkeypatch, name):
+    """The queries over the hot product never use the form with one prompt per product."""
+    monkeypatch.setattr(queries, "PARAMS", replace(queries.PARAMS, prompt_reviews=20))
+    made, prompts = [], summarize._prompts
+    monkeypatch.setattr(summarize, "_prompts", lambda lines, width: made.append(width) or prompts(lines, width))
+    assert queries.REGISTERED[name](spark, "/root/testdata/sf0.001").count()
+    assert set(made) == {20}
