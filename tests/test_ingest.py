@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import review
+from samples import review
 
 from revlens.operators import ingest
 from revlens.params import ReviewRules
