@@ -5,7 +5,7 @@ from pathlib import Path
 import brute
 import duckdb
 import pytest
-from conftest import ODD, PASSAGE
+from odd_rows import ODD, PASSAGE
 
 from revlens.llm import (
     contamination, jaccard, licenses, mixing, pii, quality, quality_rules, queries, repeats, secrets, toxicity,

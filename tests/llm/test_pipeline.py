@@ -5,7 +5,7 @@ from pathlib import Path
 import brute
 import duckdb
 import pytest
-from conftest import SCHEMA, ODD
+from odd_rows import ODD, SCHEMA
 
 import corpus_pipeline
 
