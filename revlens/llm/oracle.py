@@ -87,4 +87,64 @@ SQL: dict[str, str] = {
           FROM spans GROUP BY doc_id)
         SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_repeated, coalesce(spans, '') AS spans
         FROM docs LEFT JOIN said USING (doc_id)""",
+    "op11_ranked_search": rf"""
+        WITH docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+        corpus AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+        tfs AS (
+          SELECT doc_id, n, term, count(*) AS tf
+          FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY ALL),
+        weights AS (
+          SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+          FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), corpus),
+        impacts AS (
+          SELECT doc_id, term,
+            w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS adds
+          FROM tfs JOIN weights USING (term), corpus),
+        terms AS (SELECT DISTINCT item_id, unnest({_ALNUM}) AS term FROM benchmark),
+        scores AS (
+          SELECT item_id, doc_id, sum(adds)::BIGINT AS score
+          FROM terms JOIN impacts USING (term) GROUP BY item_id, doc_id),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+          FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_filter_audit": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        first AS (SELECT t, min(doc_id) AS f FROM words GROUP BY t),
+        failed AS (
+          SELECT part,
+            concat(
+              CASE WHEN len(w) < 200 THEN 'A' ELSE '' END,
+              CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+              CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END,
+              CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+              CASE WHEN d.doc_id > f THEN 'E' ELSE '' END) AS fails,
+            coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+          FROM words d JOIN first USING (t) LEFT JOIN labels l ON l.doc_id = d.doc_id),
+        sets AS (
+          SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+          FROM failed GROUP BY part, fails),
+        orders(o) AS (
+          SELECT '' UNION ALL
+          SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) letters(f)
+          WHERE NOT contains(o, f)),
+        steps AS (
+          SELECT o, s::INT AS step, o[s] AS f, o[1:s - 1] AS earlier
+          FROM (SELECT o, unnest(range(1, 6)) AS s FROM orders WHERE length(o) = 5)),
+        marked AS (
+          SELECT part, o, step, f, fails, n, good, bad, contains(fails, f) AS fails_it,
+            earlier <> '' AND regexp_matches(fails, '[' || earlier || '.]') AS gone
+          FROM sets, steps),
+        counted AS (
+          SELECT part, o AS filter_order, step, f,
+            coalesce(sum(n) FILTER (NOT fails_it AND NOT gone), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (fails_it AND NOT gone), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (fails_it AND gone), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (fails_it AND NOT gone), 0)::BIGINT AS good_lost,
+            coalesce(sum(bad) FILTER (fails_it AND NOT gone), 0)::BIGINT AS toxic_lost
+          FROM marked GROUP BY part, o, step, f)
+        SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted""",
 }

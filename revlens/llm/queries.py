@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from revlens.llm import contamination, jaccard, licenses, mixing, pii, quality, quality_rules, repeats, secrets, toxicity
+from revlens.llm import (
+    byte_pairs, contamination, filter_audit, jaccard, licenses, mixing, pii, quality, quality_rules,
+    ranking, repeats, secrets, toxicity,
+)
 from revlens.llm.text import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +115,30 @@ def op10_sparse_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     found = repeats.find(documents(spark, sf))
     said = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"]))
     return found.select("doc_id", "n_words", "n_repeated", F.concat_ws(",", said).alias("spans"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.search(documents(spark, sf), table(spark, sf, "benchmark"))
+
+
+@query
+def op12_byte_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    codec = byte_pairs.Codec(spark, vocabulary, public_tokenizers.PATTERN)
+    tokens = byte_pairs.decoded(byte_pairs.encoded(documents(spark, sf), codec), codec)
+    said = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(said.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    failed = filter_audit.failures(documents(spark, sf), carried=("lang",))
+    return filter_audit.audit(filter_audit.marked(failed, table(spark, sf, "labels")), "lang")
