@@ -16,9 +16,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -31,46 +31,7 @@ MOST_BYTES = 64 << 20
 _REMEMBERED, _REMEMBERED_LENGTH = 1 << 19, 32
 _WORD_BITS = 8
 _WORD = 1 << _WORD_BITS
-
-
-class RankQueue:
-    """Positions by merge rank: buckets under a bitmap of two levels.
-
-    ``pop`` gives the smallest rank that has entries, and its smallest position.
-    """
-
-    def __init__(self, ranks: int):
-        self._buckets: list[list[int] | None] = [None] * ranks
-        self._words = [0] * ((ranks >> _WORD_BITS) + 1)
-        self._top = 0
-        self._bit = [1 << i for i in range(max(_WORD, len(self._words)))]
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets[rank]
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self._buckets[rank] = [position]
-        word = rank >> _WORD_BITS
-        self._top |= self._bit[word]
-        self._words[word] |= self._bit[rank & (_WORD - 1)]
-
-    def pop(self) -> tuple[int, int] | None:
-        top = self._top
-        if not top:
-            return None
-        word = (top & -top).bit_length() - 1
-        bits = self._words[word]
-        lowest = bits & -bits
-        rank = (word << _WORD_BITS) + lowest.bit_length() - 1
-        bucket = self._buckets[rank]
-        if len(bucket) > 1:
-            return rank, heapq.heappop(bucket)
-        self._buckets[rank] = None
-        self._words[word] = bits = bits ^ lowest
-        if not bits:
-            self._top = top ^ self._bit[word]
-        return rank, bucket[0]
+_LAST = _WORD - 1
 
 
 class Vocabulary:
@@ -79,34 +40,66 @@ class Vocabulary:
     def __init__(self, rank_file: bytes, pattern: str):
         lines = (line.split() for line in rank_file.splitlines())
         self.ranks = {base64.b64decode(piece): int(rank) for piece, rank in lines}
-        self.pieces = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        for piece, rank in self.ranks.items():
-            self.pieces[rank] = piece
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary has no rank for {len(missing)} of the 256 bytes")
+        size = max(self.ranks.values()) + 1
+        pieces = [b""] * size
+        for piece, rank in self.ranks.items():
+            pieces[rank] = piece
+        # All pieces in one run of bytes, by rank, and where each begins and how long it is.
+        self._bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self._sizes = np.array([len(p) for p in pieces], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
         self.cut = regex.compile(pattern).findall
-        self._queue = RankQueue(len(self.pieces))
-        self._known: dict[str, tuple[int, ...]] = {}
+        # The queue: a bucket per rank, a bitmap of the buckets in use, and above it, held by
+        # the merge itself, a bitmap of the words that have a bit.
+        self._buckets: list[list[int] | None] = [None] * size
+        self._words = [0] * ((size >> _WORD_BITS) + 1)
+        self._bit = [1 << i for i in range(max(_WORD, len(self._words)))]
+        self._known = _Known(self)
+
+    def merge(self, said: bytes) -> list[int]:
+        """Ids of one pre-token: lowest rank first, the leftmost of equal ranks.
 
-    def merge(self, said: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token: lowest rank first, the leftmost of equal ranks."""
-        whole = self.ranks.get(said)
+        Pushing is written out in its three places, as calls would take most of the time.
+        """
+        get = self.ranks.get
+        whole = get(said)
         if whole is not None:
-            return (whole,)
-        size, get, queue = len(said), self.ranks.get, self._queue
-        push, pop = queue.push, queue.pop
+            return [whole]
+        buckets, words, bit = self._buckets, self._words, self._bit
+        size, top = len(said), 0
         # Piece i starts at byte i; positions `size` and beyond stand for the end.
         after = list(range(1, size + 2))
         before = list(range(-1, size + 1))
-        rank_at: list[int | None] = [None] * (size + 1)
-        for i in range(size - 1):
-            rank = get(said[i : i + 2])
+        rank_at = [get(said[i : i + 2]) for i in range(size - 1)]
+        rank_at += (None, None)
+        for i, rank in enumerate(rank_at):
             if rank is not None:
-                rank_at[i] = rank
-                push(rank, i)
-        while (entry := pop()) is not None:
-            rank, i = entry
+                bucket = buckets[rank]
+                if bucket is None:
+                    buckets[rank] = [i]
+                    word = rank >> _WORD_BITS
+                    words[word] |= bit[rank & _LAST]
+                    top |= bit[word]
+                else:
+                    bucket.append(i)  # from left to right, so already a heap
+        while top:
+            # Find-first-set on the upper level, then on the word it names.
+            word = (top & -top).bit_length() - 1
+            bits = words[word]
+            others = bits & (bits - 1)
+            rank = (word << _WORD_BITS) + (bits ^ others).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) == 1:
+                i = bucket[0]
+                buckets[rank] = None
+                words[word] = others
+                if not others:
+                    top &= top - 1
+            else:
+                i = heapq.heappop(bucket)
             if rank_at[i] != rank:
                 continue  # stale: that pair is gone
             gone = after[i]
@@ -114,37 +107,61 @@ class Vocabulary:
             after[i] = right
             before[right] = i
             rank_at[gone] = None
-            rank = get(said[i : after[right]]) if right < size else None
-            rank_at[i] = rank
+            rank_at[i] = rank = get(said[i : after[right]]) if right < size else None
             if rank is not None:
-                push(rank, i)
+                bucket = buckets[rank]
+                if bucket is None:
+                    buckets[rank] = [i]
+                    word = rank >> _WORD_BITS
+                    words[word] |= bit[rank & _LAST]
+                    top |= bit[word]
+                else:
+                    heapq.heappush(bucket, i)
             left = before[i]
             if left >= 0:
-                rank = get(said[left:right])
-                rank_at[left] = rank
+                rank_at[left] = rank = get(said[left:right])
                 if rank is not None:
-                    push(rank, left)
+                    bucket = buckets[rank]
+                    if bucket is None:
+                        buckets[rank] = [left]
+                        word = rank >> _WORD_BITS
+                        words[word] |= bit[rank & _LAST]
+                        top |= bit[word]
+                    else:
+                        heapq.heappush(bucket, left)
         ids, i = [], 0
         while i < size:
-            ids.append(self.ranks[said[i : after[i]]])
-            i = after[i]
-        return tuple(ids)
-
-    def encode(self, text: str) -> list[int]:
-        known, found = self._known, []
-        for said in self.cut(text):
-            ids = known.get(said)
-            if ids is None:
-                ids = self.merge(said.encode("utf-8", "replace"))
-                if len(said) <= _REMEMBERED_LENGTH:
-                    if len(known) >= _REMEMBERED:
-                        known.clear()
-                    known[said] = ids
-            found.append(ids)
-        return list(chain.from_iterable(found))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
+            end = after[i]
+            ids.append(get(said[i:end]))
+            i = end
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a whole text."""
+        return np.frombuffer(b"".join(map(self._known.__getitem__, self.cut(text))), np.int32)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the pieces, one after the other."""
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        return self._bytes[places + np.repeat(self._starts[ids] - (ends - sizes), sizes)].tobytes()
+
+
+class _Known(dict):
+    """Ids of pre-tokens, as bytes; those of short ones are remembered."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self._merge = vocabulary.merge
+
+    def __missing__(self, said: str) -> bytes:
+        ids = np.array(self._merge(said.encode("utf-8", "replace")), np.int32).tobytes()
+        if len(said) <= _REMEMBERED_LENGTH:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[said] = ids
+        return ids
 
 
 class Codec:
@@ -164,37 +181,37 @@ class Codec:
 
     def encode(self, text: Column) -> Column:
         """Ids of a text, an array; a null text is an empty one."""
-        shared = self._shared
+        return self._mapped(text, "array<int>", _ids)
 
-        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            vocabulary = _vocabulary(shared)
-            for texts in batches:
-                yield _lists(
-                    (vocabulary.encode(t.decode("utf-8", "replace")) for t in utf8(texts)), pa.int32()
-                )
+    def round_trip(self, text: Column) -> Column:
+        """``struct<ids, decoded>``: the ids of a text, and the bytes that these ids stand for,
+        in one crossing to Python."""
+
+        def both(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
+            ids = _ids(vocabulary, texts)
+            return pa.StructArray.from_arrays([ids, _bytes(vocabulary, ids)], names=["ids", "decoded"])
 
-        return _udf(ids, "array<int>")(F.coalesce(text, F.lit("")))
+        return self._mapped(text, "struct<ids:array<int>,decoded:binary>", both)
 
     def decode(self, ids: Column) -> Column:
         """The bytes that an array of ids stands for; none for a null array. An id outside
         the vocabulary, or a null one, fails the job."""
+        listed = F.coalesce(ids, F.array().cast("array<int>"))
+        return self._mapped(listed, "binary", _bytes)
+
+    def _mapped(self, column: Column, ddl: str, function: Callable[[Vocabulary, pa.Array], pa.Array]) -> Column:
         shared = self._shared
 
-        def said(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def mapped(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary = _vocabulary(shared)
-            for lists in batches:
-                parts = []
-                for at in range(0, len(lists), _SLICE):
-                    held = lists.slice(at, _SLICE).to_pylist()
-                    parts.append(pa.array([vocabulary.decode(x) for x in held], pa.binary()))
-                yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+            for batch in batches:
+                yield function(vocabulary, batch)
 
-        return _udf(said, "binary")(F.coalesce(ids, F.array().cast("array<int>")))
+        # The hints are set here, as the module's own are text.
+        mapped.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(mapped, ddl)(column)
 
 
-#: Lists of an Arrow batch that are Python objects at the same time.
-_SLICE = 64
-
 _parsed: dict[tuple[bytes, str], Vocabulary] = {}
 
 
@@ -206,22 +223,18 @@ def _vocabulary(shared) -> Vocabulary:
     return _parsed[shared.value]
 
 
-def _lists(rows: Iterator[list[int]], kind: pa.DataType) -> pa.Array:
-    """Lists as one Arrow column, a few of them as Python objects at a time."""
-    parts, held = [], []
-    for row in rows:
-        held.append(row)
-        if len(held) == _SLICE:
-            parts.append(pa.array(held, pa.list_(kind)))
-            held = []
-    parts.append(pa.array(held, pa.list_(kind)))
-    return pa.concat_arrays(parts)
+def _ids(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
+    rows = [vocabulary.encode((t or b"").decode("utf-8", "replace")) for t in utf8(texts)]
+    ends = np.cumsum([0, *map(len, rows)])
+    ids = np.concatenate([np.empty(0, np.int32), *rows])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
 
 
-def _udf(function, ddl: str):
-    # The hints are set here, as the module's own are text.
-    function.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(function, ddl)
+def _bytes(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
+    """Text by text, so that only one is spread out over places at a time."""
+    ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    texts = [vocabulary.decode(ids[start:end]) for start, end in zip(ends, ends[1:])]
+    return pa.array(texts, pa.binary())
 
 
 def encoded(
@@ -230,26 +243,24 @@ def encoded(
     id_col: str = "doc_id",
     text_col: str = "text",
     carried: tuple[str, ...] = (),
+    decoded: bool = False,
 ) -> DataFrame:
     """The id, the ``carried`` columns and ``ids``, the tokens of the whole text, for every row.
 
+    With ``decoded`` also the bytes that the ids stand for, which are the text's UTF-8.
     One narrow pass, no shuffle. A null or empty text has no tokens; repeated rows stay;
     other columns are left out, whatever their names.
     """
+    text = F.col(text_col)
+    found = codec.round_trip(text) if decoded else F.struct(codec.encode(text).alias("ids"))
     rows = docs.select(
-        F.col(id_col).alias("_id"),
-        *[F.col(c).alias(f"_carried_{c}") for c in carried],
-        codec.encode(F.col(text_col)).alias("_ids"),
+        F.col(id_col).alias("_id"), *[F.col(c).alias(f"_carried_{c}") for c in carried], found.alias("_found")
     )
     return rows.select(
-        F.col("_id").alias(id_col),
-        *[F.col(f"_carried_{c}").alias(c) for c in carried],
-        F.col("_ids").alias("ids"),
+        F.col("_id").alias(id_col), *[F.col(f"_carried_{c}").alias(c) for c in carried], "_found.*"
     )
 
 
-def decoded(
-    tokens: DataFrame, codec: Codec, ids_col: str = "ids", out: str = "decoded"
-) -> DataFrame:
-    """Adds the bytes that the ids stand for; those of ``encoded`` are the text's UTF-8."""
+def decoded(tokens: DataFrame, codec: Codec, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """Adds the bytes that the ids of a token table stand for; null ids stand for none."""
     return tokens.withColumn(out, codec.decode(F.col(ids_col)))

@@ -128,7 +128,7 @@ def op12_byte_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     codec = byte_pairs.Codec(spark, vocabulary, public_tokenizers.PATTERN)
-    tokens = byte_pairs.decoded(byte_pairs.encoded(documents(spark, sf), codec), codec)
+    tokens = byte_pairs.encoded(documents(spark, sf), codec, decoded=True)
     said = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return tokens.select(
         "doc_id",
