@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens import fixed_values as fixed
 from revlens.operators.positions import with_position
-from revlens.operators.providers import Judge, Provider
+from revlens.operators.providers import Calls, Judge, Provider
 from revlens.params import Params, ReviewRules
 
 #: Document ids outgrow four digits at the larger scale factors.
@@ -82,6 +82,28 @@ def translator() -> Provider:
     )
 
 
+def flaky_translator() -> Provider:
+    """As ``batch_translator``, but every call that can be answered fails twice before; three
+    attempts without waits, four calls of a task at a time."""
+
+    def make():
+        from collections import Counter
+
+        tried = Counter()
+
+        def translate(text, source, target):
+            call = (text, source, target)
+            tried[call] += 1
+            if (len(text) + ord(target[0])) % 11 == 0 or tried[call] < 3:
+                raise ConnectionError(target)
+            del tried[call]
+            return f"[{target}] {text}"
+
+        return translate
+
+    return Provider.batch(make, Calls(attempts=3, wait=0.0, in_flight=4))
+
+
 def batch_translator() -> Provider:
     def make():
         def translate(text, source, target):

@@ -175,8 +175,9 @@ def _attempt_rows(attempted: DataFrame) -> DataFrame:
 
 @query
 def translate_batch_udf(spark: SparkSession, sf: str) -> DataFrame:
+    """Every call is made up to three times, four of a task side by side."""
     reviews = driver.reviews(spark, sf)
-    return _attempt_rows(translate.attempt(reviews, PARAMS, driver.batch_translator()))
+    return _attempt_rows(translate.attempt(reviews, PARAMS, driver.flaky_translator()))
 
 
 @query
