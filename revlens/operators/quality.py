@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.text import is_kept, judge_prompt, parse_score, review_text
+from revlens.operators.memory import Memory, call_each_once
 from revlens.operators.providers import Judge, call_each
 from revlens.params import Params
 from revlens.schema import QUALITY
@@ -23,8 +24,13 @@ def with_judge_texts(long: DataFrame) -> DataFrame:
     )
 
 
-def score(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
-    """Adds ``verdicts``: language, score, kept and error per translation."""
+def score(
+    translated: DataFrame, params: Params, judge: Judge, memory: Memory | None = None
+) -> DataFrame:
+    """Adds ``verdicts``: language, score, kept and error per translation.
+
+    With a ``memory`` only texts that the judge never scored before are sent to it.
+    """
     model = params.judge_model
     settings = [
         F.lit(model.model_id).alias("model_id"),
@@ -49,7 +55,7 @@ def score(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
 
     entries = F.map_entries("translations")
     prepared = translated.withColumn("_source_text", review_text(F.col("title"), F.col("body")))
-    called = call_each(
+    asked = (
         prepared,
         judge.provider,
         F.transform(entries, call),
@@ -57,6 +63,7 @@ def score(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
         "_results",
         "string" if judge.replies else "double",
     )
+    called = call_each(*asked) if memory is None else call_each_once(*asked, ["seq"], memory)
 
     def verdict(entry: Column, i: Column) -> Column:
         result = F.get("_results", i)
@@ -93,8 +100,10 @@ def with_quality(scored: DataFrame) -> DataFrame:
     return scored.withColumn("quality", F.map_from_entries(entries).cast(QUALITY)).drop("verdicts")
 
 
-def score_translations(translated: DataFrame, params: Params, judge: Judge) -> DataFrame:
-    return with_quality(score(translated, params, judge))
+def score_translations(
+    translated: DataFrame, params: Params, judge: Judge, memory: Memory | None = None
+) -> DataFrame:
+    return with_quality(score(translated, params, judge, memory))
 
 
 def filter_kept(scored: DataFrame) -> DataFrame:

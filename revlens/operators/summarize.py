@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens import fixed_values as fixed
 from revlens.functions.text import WHITESPACE, fill
+from revlens.operators.memory import Memory, call_each_once
 from revlens.operators.positions import with_position
 from revlens.operators.providers import Provider, call_each
 from revlens.params import Params
@@ -67,7 +68,9 @@ def prompts(reviews: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def summarize(reviews: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
+def summarize(
+    reviews: DataFrame, params: Params, summarizer: Provider, memory: Memory | None = None
+) -> DataFrame:
     """One summary per product, by product; a failed call leaves it empty.
 
     Every product is one call on one prompt with all its reviews, however many they
@@ -75,18 +78,21 @@ def summarize(reviews: DataFrame, params: Params, summarizer: Provider) -> DataF
     """
     lines = prompt_lines(reviews).withColumn("parts", F.lit(1).cast("long"))
     whole = _prompts(lines.withColumn("failed", F.lit(False)), None)
-    return _by_product(_ask(whole, params, summarizer))
+    return _by_product(_ask(whole, params, summarizer, memory))
 
 
-def summarize_tree(reviews: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
+def summarize_tree(
+    reviews: DataFrame, params: Params, summarizer: Provider, memory: Memory | None = None
+) -> DataFrame:
     """As ``summarize``, with at most ``prompt_reviews`` lines in a prompt.
 
     The reviews of every product are summarized in parts side by side, then the
     summaries of the parts are the lines of the next round, until one is left; a failed
-    part fails it all. The caller chooses between the two, never a review count.
+    part fails it all. The caller chooses between the two, never a review count. With a
+    ``memory`` a prompt that was answered in an earlier run is not sent again.
     """
     width = params.prompt_reviews
-    answers = keep(_ask(prompts(reviews, params), params, summarizer))
+    answers = keep(_ask(prompts(reviews, params), params, summarizer, memory))
     parts = (answers.agg(F.max("part")).first()[0] or 0) + 1
     while parts > 1:
         position = F.col("part") + 1
@@ -99,7 +105,7 @@ def summarize_tree(reviews: DataFrame, params: Params, summarizer: Provider) ->
             fill("{n}. {summary}", n=position, summary=F.coalesce("summary", F.lit(""))).alias("line"),
             "failed",
         )
-        merged = _ask(_prompts(lines, width), params, summarizer)
+        merged = _ask(_prompts(lines, width), params, summarizer, memory)
         # Each round reads the one before twice.
         answers = keep(answers.where(F.col("parts") == 1).unionByName(merged))
         parts = -(-parts // width)
@@ -154,7 +160,9 @@ def _prompts(lines: DataFrame, width: int | None) -> DataFrame:
     )
 
 
-def _ask(asked: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
+def _ask(
+    asked: DataFrame, params: Params, summarizer: Provider, memory: Memory | None = None
+) -> DataFrame:
     model = params.summary_model
     call = F.struct(
         F.col("prompt"),
@@ -164,7 +172,11 @@ def _ask(asked: DataFrame, params: Params, summarizer: Provider) -> DataFrame:
     )
     args = ["prompt", "model_id", "max_tokens", "temperature"]
     calls = F.when(~F.col("failed"), F.array(call))
-    answered = call_each(asked, summarizer, calls, args, "_results", "string")
+    if memory is None:
+        answered = call_each(asked, summarizer, calls, args, "_results", "string")
+    else:
+        key = ["product_id", "part"]
+        answered = call_each_once(asked, summarizer, calls, args, "_results", "string", key, memory)
     result = F.get("_results", F.lit(0))
     return answered.withColumn("summary", result["value"]).withColumn(
         "failed", F.col("failed") | F.coalesce(result["error"].isNotNull(), F.lit(True))

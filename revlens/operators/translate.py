@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.functions.arrays import items
+from revlens.operators.memory import Memory, call_each_once
 from revlens.operators.providers import Provider, call_each
 from revlens.params import Params
 from revlens.schema import TRANSLATIONS
@@ -39,14 +40,19 @@ def fan_out(reviews: DataFrame, params: Params) -> DataFrame:
 
 
 def attempt(
-    reviews: DataFrame, params: Params, translator: Provider, distinct_texts: bool = False
+    reviews: DataFrame,
+    params: Params,
+    translator: Provider,
+    distinct_texts: bool = False,
+    memory: Memory | None = None,
 ) -> DataFrame:
     """Adds ``attempts``: title, body and error per target, in target order.
 
     With ``distinct_texts`` each (text, source language) is sent once, which pays
-    when the translator is pure and texts repeat; it costs shuffles of the text.
+    when the translator is pure and texts repeat; it costs shuffles of the text. With a
+    ``memory`` that holds over all runs: only calls never answered before are made.
     """
-    if distinct_texts:
+    if distinct_texts and memory is None:
         return _attempt_distinct(reviews, params, translator)
     calls = F.when(
         ~is_passthrough(params),
@@ -58,9 +64,13 @@ def attempt(
             ]
         ),
     ).otherwise(F.array().cast("array<struct<text:string,source:string,target:string>>"))
-    called = call_each(
-        reviews, translator, calls, ["text", "source", "target"], "_results", "string"
-    )
+    args = ["text", "source", "target"]
+    if memory is None:
+        called = call_each(reviews, translator, calls, args, "_results", "string")
+    else:
+        called = call_each_once(
+            reviews, translator, calls, args, "_results", "string", ["seq"], memory
+        )
     results = F.col("_results")
     pairs = [
         (F.get(results, F.lit(2 * i)), F.get(results, F.lit(2 * i + 1)))
@@ -137,10 +147,14 @@ def with_translations(attempted: DataFrame, params: Params) -> DataFrame:
 
 
 def translate(
-    reviews: DataFrame, params: Params, translator: Provider, distinct_texts: bool = False
+    reviews: DataFrame,
+    params: Params,
+    translator: Provider,
+    distinct_texts: bool = False,
+    memory: Memory | None = None,
 ) -> DataFrame:
     """Reviews with a ``translations`` map, one row per review."""
-    attempted = attempt(reviews, params, translator, distinct_texts)
+    attempted = attempt(reviews, params, translator, distinct_texts, memory)
     return with_translations(attempted, params).drop("failed")
 
 

@@ -104,7 +104,7 @@ def flaky_translator() -> Provider:
     return Provider.batch(make, Calls(attempts=3, wait=0.0, in_flight=4))
 
 
-def batch_translator() -> Provider:
+def batch_translator(version: str | None = None) -> Provider:
     def make():
         def translate(text, source, target):
             if (len(text) + ord(target[0])) % 11 == 0:
@@ -113,7 +113,7 @@ def batch_translator() -> Provider:
 
         return translate
 
-    return Provider.batch(make)
+    return Provider.batch(make, version=version)
 
 
 # Back-translator: takes the tag off texts of even length, leaves it on others.

@@ -431,6 +431,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "translate_batch_udf": _sql("attempts", _ATTEMPTS),
         "translate_dedup": _sql("attempts", _ATTEMPTS),
+        "translate_memory": _sql(
+            "attempts",
+            """SELECT md5(text) AS text_md5, source_language AS source, language AS target,
+                   md5(any_value(answer)) AS value_md5, bool_or(answer IS NULL) AS failed,
+                   bool_or(answer IS NOT NULL AND seq % 2 = 0) AS remembered
+               FROM (SELECT seq, source_language, language, title AS text, t_title AS answer FROM attempts
+                     UNION ALL SELECT seq, source_language, language, body, t_body FROM attempts)
+               GROUP BY text, source_language, language""",
+        ),
         "translation_failures": _sql(
             "attempts",
             "SELECT seq, review_id, source_language, lang_pos, language AS target_language,"

@@ -16,7 +16,7 @@ from revlens import fixed_values as fixed
 from revlens.functions.arrays import items
 from revlens.functions.similarity import tokens, with_similarity, with_tokens
 from revlens.functions.text import is_kept, judge_prompt, parse_score, review_text
-from revlens.operators import evaluate, ingest, quality, serving, summarize, synth, translate
+from revlens.operators import evaluate, ingest, memory, quality, serving, summarize, synth, translate
 from revlens.operators.providers import echo_translator
 from revlens.params import Params
 from revlens.plans import batch, driver_tables as driver
@@ -188,6 +188,25 @@ def translate_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def translate_memory(spark: SparkSession, sf: str) -> DataFrame:
+    """The distinct calls of a second run, and which of them the first one had answered: it
+    translated every other review."""
+    kept, provider = memory.Memory(_new_folder(spark, "answers")), driver.batch_translator("tags-1")
+    reviews = driver.reviews(spark, sf)
+    translate.attempt(reviews.where("seq % 2 = 0"), PARAMS, provider, memory=kept)
+    calls = translate.fan_out(reviews, PARAMS).select(
+        F.explode(F.array("title", "body")).alias("text"),
+        F.col("source_language").alias("source"),
+        F.col("target_language").alias("target"),
+    )
+    answers = memory.answer_once(calls, provider, ["text", "source", "target"], "string", kept)
+    return answers.select(
+        _digest("text", "text_md5"), "source", "target", _digest("value", "value_md5"),
+        F.col("error").isNotNull().alias("failed"), "remembered",
+    )
+
+
 @query
 def translation_failures(spark: SparkSession, sf: str) -> DataFrame:
     attempted = translate.attempt(driver.reviews(spark, sf), PARAMS, driver.batch_translator())
