@@ -18,7 +18,7 @@ from revlens.operators import evaluate, synth
 from revlens.operators.providers import Judge, Provider
 from revlens.params import Params, ReviewRules
 from revlens.plans import batch, driver_tables
-from revlens.sources.tables import read_table, shared_folder, write_table
+from revlens.sources.tables import shared_folder, write_table
 
 RULES = ReviewRules(review_id_pattern="^rev-[0-9]{4,}$", product_id_pattern="^prod-[0-9]+$")
 PARAMS = Params(target_languages=("fr", "de"), rules=RULES)
@@ -68,7 +68,7 @@ def main() -> None:
     step("summarize", lambda: batch.summarize_stage(spark, at, PARAMS, summarizer()))
     step("quality", lambda: batch.quality_stage(spark, at, PARAMS, judge()))
     step("serving", lambda: batch.serving_stage(spark, at, PARAMS))
-    translated = read_table(spark, at.path("translated")).drop("failed")
+    translated = at.read(spark, "translated").drop("failed")
 
     def figures():
         result = evaluate.evaluate(PARAMS, translator(), judge(), translated=translated)

@@ -98,12 +98,17 @@ def split(checked: DataFrame) -> DataFrame:
     )
 
 
+def counters() -> dict[str, Column]:
+    """Aggregates over checked records, by name."""
+    return {
+        "loaded": F.count("*"),
+        "valid": F.count_if("valid"),
+        "dropped": F.count_if(~F.col("valid")),
+    }
+
+
 def counts(checked: DataFrame) -> DataFrame:
-    return checked.agg(
-        F.count("*").alias("loaded"),
-        F.count_if("valid").alias("valid"),
-        F.count_if(~F.col("valid")).alias("dropped"),
-    )
+    return checked.agg(*[c.alias(name) for name, c in counters().items()])
 
 
 def _typed() -> list[Column]:

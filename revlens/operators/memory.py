@@ -17,11 +17,10 @@ import re
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from revlens.operators.providers import Provider, call_each
-from revlens.sources.tables import keep
+from revlens.sources.tables import exists, keep
 
 _ROWS = "call string, text string, number double, answered_at timestamp"
 #: Additions by version, so that a reader opens the files of its own version only.
@@ -36,11 +35,9 @@ class Memory:
 
     def known(self, spark: SparkSession, version: str) -> DataFrame:
         """``call``, ``text``, ``number``: one row per call that the version has answered."""
-        try:
+        if exists(spark, self.path):
             rows = spark.read.schema(_SCHEMA).parquet(self.path)
-        except AnalysisException as failure:
-            if failure.getCondition() != "PATH_NOT_FOUND":
-                raise
+        else:
             rows = spark.createDataFrame([], _SCHEMA)
         first = F.min_by(F.struct("text", "number"), F.struct("answered_at", "addition"))
         return (

@@ -20,15 +20,19 @@ def is_passthrough(params: Params) -> Column:
     return F.col("source_language").eqNullSafe(F.lit(params.passthrough_language))
 
 
-def route_counts(reviews: DataFrame, params: Params) -> DataFrame:
-    """Reviews in, translated and passed through; a routed review counts as
-    translated even if every call for it failed."""
+def route_counters(params: Params) -> dict[str, Column]:
+    """Aggregates over reviews, by name: in, translated and passed through. A routed review
+    counts as translated even if every call for it failed."""
     passed = is_passthrough(params)
-    return reviews.agg(
-        F.count("*").alias("reviews_in"),
-        F.count_if(~passed).alias("translated_reviews"),
-        F.count_if(passed).alias("passthrough_reviews"),
-    )
+    return {
+        "reviews_in": F.count("*"),
+        "translated_reviews": F.count_if(~passed),
+        "passthrough_reviews": F.count_if(passed),
+    }
+
+
+def route_counts(reviews: DataFrame, params: Params) -> DataFrame:
+    return reviews.agg(*[c.alias(name) for name, c in route_counters(params).items()])
 
 
 def fan_out(reviews: DataFrame, params: Params) -> DataFrame:

@@ -19,6 +19,13 @@ def write_table(df: DataFrame, path: str, *partitions: str, mode: str = "overwri
     return read_table(df.sparkSession, path, df.schema)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store Spark reads it from."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for data that must outlive an executor.
 
