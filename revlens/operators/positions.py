@@ -1,9 +1,11 @@
-"""Numbering the rows of a group whose size has no bound."""
+"""Numbering the rows of a table, or of a group, whose size has no bound."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from revlens.sources.tables import keep
+
 _BITS = 16
 
 
@@ -70,3 +72,26 @@ def with_position(
         .withColumn("position", F.col("_start") + F.col("_rank"))
         .drop("_block", "_rank", "_start")
     )
+
+
+def with_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:
+    """Adds the place of every row in the order of the whole table, from 0.
+
+    Rows are dealt into sorted ranges, which are written down; a row's rank is its place in its
+    range after the rows of earlier ranges. The only window over everything sees one row
+    per range. Equal rows have different ranks, in no fixed order.
+    """
+    ranges = keep(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    )
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (
+        ranges.withColumn("_place", place)
+        .join(starts, "_range")
+        .withColumn(name, F.col("_start") + F.col("_place") - 1)
+        .drop("_range", "_place", "_start")
+    )

@@ -220,6 +220,27 @@ def envelopes(df: DataFrame, bare: bool) -> DataFrame:
     )
 
 
+def write_dataset(df: DataFrame, path: str) -> None:
+    """All reviews in one dataset file: a line per record, which the one task that writes
+    it holds one at a time."""
+    record = F.to_json(
+        F.struct(
+            "review_id", "product_id", "product_name", "source_language", "rating", "title", "body"
+        )
+    )
+    opening = f'{{"schema_version":"{fixed.SCHEMA_VERSION}","generated_at":"2026-01-01T00:00:00Z","reviews":['
+    count = df.count()
+    lines = with_position(df.withColumn("_all", F.lit(0)), "_all", ["seq"]).select(
+        "position",
+        F.concat(
+            F.when(F.col("position") == 1, opening).otherwise(""),
+            record,
+            F.when(F.col("position") == count, "]}").otherwise(","),
+        ).alias("value"),
+    )
+    lines.repartition(1).sortWithinPartitions("position").select("value").write.text(path)
+
+
 def odd_records(df: DataFrame) -> DataFrame:
     """Reviews as JSON text, with a wrong kind of value by the id of the review."""
     fields = {

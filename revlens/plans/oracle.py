@@ -378,7 +378,12 @@ def oracle_sql() -> dict[str, str]:
         fixed.SUMMARY_PROMPT_HEAD, product_name="product_name", review_count="review_count::VARCHAR"
     )
     return {
-        "read_envelope": _sql("violations", _ENVELOPE),
+        "read_envelope": _sql(
+            "violations",
+            """SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, review_id, rating, md5(body) AS body_md5,
+                   coalesce(n, 0)::INT AS error_count
+               FROM reviews LEFT JOIN (SELECT seq, count(*) AS n FROM violations GROUP BY 1) v USING (seq)""",
+        ),
         "read_bare_array": _sql("violations", _ENVELOPE),
         "read_json_lines": _sql(
             "violations",

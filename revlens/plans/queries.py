@@ -60,12 +60,6 @@ def _judged(spark: SparkSession, sf: str, repeated: bool = False) -> DataFrame:
 # Sources.
 
 
-def _envelope_rows(spark: SparkSession, sf: str, bare: bool) -> DataFrame:
-    path = _new_folder(spark, "dataset")
-    driver.write_documents(driver.envelopes(driver.reviews(spark, sf), bare), path)
-    return _record_rows(files.read_envelopes(spark, path, check=False))
-
-
 def _new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/revlens-{name}-{uuid4().hex}"
 
@@ -83,12 +77,18 @@ def _record_rows(read: DataFrame) -> DataFrame:
 
 @query
 def read_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return _envelope_rows(spark, sf, bare=False)
+    """All reviews in one file, read by as many tasks as it has byte ranges."""
+    path = _new_folder(spark, "dataset")
+    driver.write_dataset(driver.reviews(spark, sf), path)
+    return _record_rows(files.read_envelopes(spark, path, check=False, whole_bytes=0))
 
 
 @query
 def read_bare_array(spark: SparkSession, sf: str) -> DataFrame:
-    return _envelope_rows(spark, sf, bare=True)
+    """Many small files, each one row."""
+    path = _new_folder(spark, "dataset")
+    driver.write_documents(driver.envelopes(driver.reviews(spark, sf), bare=True), path)
+    return _record_rows(files.read_envelopes(spark, path, check=False))
 
 
 @query
