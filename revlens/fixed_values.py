@@ -45,6 +45,9 @@ SUMMARY_PROMPT_HEAD = (
 )
 SUMMARY_PROMPT_LINE = "{position}. (rating: {rating}) {title}: {body}"
 MISSING_RATING = "N/A"
+#: Half of a prompt at least is left for lines beside the head.
+PROMPT_CHARS_MIN = 2000
+SUMMARY_PROMPT_CONTINUED = "{position}. (continued) "
 FAILED_SUMMARY = ""
 JUDGE_PROMPT = (
     "You are a bilingual translation quality judge. Rate how well the "

@@ -10,7 +10,11 @@ _BITS = 16
 
 
 def with_position(
-    df: DataFrame, group: str, order: list[str], first: list[str] | None = None
+    df: DataFrame,
+    group: str,
+    order: list[str],
+    first: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Adds ``position`` (from 1) and ``group_rows`` to every row of a group.
 
@@ -23,9 +27,12 @@ def with_position(
     per 2**32 order values.
 
     ``first`` names columns whose value in the group's first row is added as
-    ``first_<name>``.
+    ``first_<name>``. ``weight`` names an integer column; ``offset``, the sum of the weights
+    of all earlier rows, and ``group_weight`` are added in the same way as the counts.
     """
     first = first or []
+    # What is added up over blocks, and the names of its start and its total.
+    sums = {"_n": ("_start", "group_rows")} | ({"_w": ("_offset", "group_weight")} if weight else {})
     # Never null as an expression: Spark would else add a filter of its own for each
     # join below, and the two readers of the block counts could not share one shuffle.
     block = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), _BITS), F.lit(0))
@@ -34,19 +41,25 @@ def with_position(
     head = F.struct(*order, *[F.col(c).alias(f"first_{c}") for c in first])
     blocks = (
         rows.groupBy(group, "_block")
-        .agg(F.count("*").alias("_n"), *([F.min(head).alias("_head")] if first else []))
+        .agg(
+            F.count("*").alias("_n"),
+            *([F.sum(weight).alias("_w")] if weight else []),
+            *([F.min(head).alias("_head")] if first else []),
+        )
         .withColumn("_span", F.shiftright("_block", _BITS))
     )
     whole = Window.partitionBy(group)
     so_far = whole.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     spans = (
         blocks.groupBy(group, "_span")
-        .agg(F.sum("_n").alias("_n"), *([F.min("_head").alias("_head")] if first else []))
+        .agg(
+            *[F.sum(n).alias(n) for n in sums], *([F.min("_head").alias("_head")] if first else [])
+        )
         .select(
             group,
             "_span",
-            F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_span_start"),
-            F.sum("_n").over(whole).alias("group_rows"),
+            *[F.coalesce(F.sum(n).over(so_far), F.lit(0)).alias(f"_span{n}") for n in sums],
+            *[F.sum(n).over(whole).alias(total) for n, (_, total) in sums.items()],
             *([F.min("_head").over(whole).alias("_head")] if first else []),
         )
     )
@@ -54,24 +67,28 @@ def with_position(
         Window.unboundedPreceding, -1
     )
     starts = (
-        blocks.withColumn("_in_span", F.coalesce(F.sum("_n").over(in_span), F.lit(0)))
-        .drop("_n", "_head")
+        blocks.withColumns(
+            {f"_in{n}": F.coalesce(F.sum(n).over(in_span), F.lit(0)) for n in sums}
+        )
+        .drop(*sums, "_head")
         .join(spans, [group, "_span"])
         .select(
             group,
             "_block",
-            (F.col("_span_start") + F.col("_in_span")).alias("_start"),
-            "group_rows",
+            *[(F.col(f"_span{n}") + F.col(f"_in{n}")).alias(start) for n, (start, _) in sums.items()],
+            *[total for _, total in sums.values()],
             *[F.col(f"_head.first_{c}").alias(f"first_{c}") for c in first],
         )
     )
     in_block = Window.partitionBy(group, "_block").orderBy(*order)
-    return (
-        rows.withColumn("_rank", F.row_number().over(in_block))
-        .join(starts, [group, "_block"])
-        .withColumn("position", F.col("_start") + F.col("_rank"))
-        .drop("_block", "_rank", "_start")
-    )
+    ranked = rows.withColumn("_rank", F.row_number().over(in_block))
+    if weight:
+        so_far = in_block.rowsBetween(Window.unboundedPreceding, -1)
+        ranked = ranked.withColumn("_ahead", F.coalesce(F.sum(weight).over(so_far), F.lit(0)))
+    placed = ranked.join(starts, [group, "_block"]).withColumn("position", F.col("_start") + F.col("_rank"))
+    if weight:
+        placed = placed.withColumn("offset", F.col("_offset") + F.col("_ahead"))
+    return placed.drop("_block", "_rank", "_start", "_offset", "_ahead")
 
 
 def with_rank(df: DataFrame, *order: str, name: str = "rank") -> DataFrame:

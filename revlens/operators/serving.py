@@ -128,6 +128,14 @@ def laid_out(headers: DataFrame) -> DataFrame:
     return headers.repartitionByRange("product_id").sortWithinPartitions("product_id")
 
 
+#: Writer options of the serving tables: every row group has a Bloom filter of its products, as
+#: large as they need, so that an id within its range that it doesn't hold costs no read.
+LOOKUP_OPTIONS = {
+    "parquet.bloom.filter.enabled#product_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
+
 def lookup(requests: DataFrame, headers: DataFrame) -> DataFrame:
     """Page headers for requested ids; unknown ids come back as not found. Headers
     are one row per product; a product many requests name is a big partition on
@@ -143,13 +151,24 @@ def lookup(requests: DataFrame, headers: DataFrame) -> DataFrame:
 
 def lookup_pages(requests: DataFrame, headers: DataFrame, pages: DataFrame) -> DataFrame:
     """Requested ids to their headers and entries, one row per entry of a requested
-    page; a request without entries is one row whose entry is null."""
-    known = headers.select("product_id", "product_name", "review_count", "summary")
-    listed = pages.select("product_id", "reviews")
-    asked = lookup(requests, known).join(listed, "product_id", "left")
-    return asked.withColumn("e", F.explode_outer("reviews")).select(
-        *[c for c in asked.columns if c != "reviews"], "e.*"
+    page; a request without entries is one row whose entry is null.
+
+    A request first learns how many pages its product has, from one row per product, and is
+    then dealt over them, so that it meets each page by product and number. A product
+    of very many pages is thereby many keys, and a page that very many requests name is
+    one row that the adaptive skew join repeats: neither side is a hot key, and both may be.
+    """
+    counts = pages.groupBy("product_id").agg((F.max("page_no") + 1).alias("_pages"))
+    known = headers.select("product_id", "product_name", "review_count", "summary").join(
+        counts, "product_id", "left"
     )
+    asked = lookup(requests, known)
+    columns = [c for c in asked.columns if c != "_pages"]
+    numbers = F.when(F.col("_pages") > 0, F.sequence(F.lit(0).cast("long"), F.col("_pages") - 1))
+    dealt = asked.select(*columns, F.explode_outer(numbers).alias("page_no"))
+    listed = pages.select("product_id", "page_no", "reviews")
+    met = dealt.join(listed, ["product_id", "page_no"], "left")
+    return met.select(*columns, F.explode_outer("reviews").alias("e")).select(*columns, "e.*")
 
 
 def lookup_summaries(requests: DataFrame, headers: DataFrame) -> DataFrame:

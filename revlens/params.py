@@ -67,7 +67,8 @@ class ReviewRules:
 @dataclass(frozen=True)
 class Params:
     """``prompt_reviews`` and ``page_entries`` bound one row of a summary prompt
-    or of a product page; a larger product gets more rows, never fewer reviews."""
+    or of a product page; a larger product gets more rows, never fewer reviews.
+    ``prompt_chars``, if given, bounds a prompt by its length instead of its reviews."""
 
     target_languages: tuple[str, ...]
     passthrough_language: str = fixed.PASSTHROUGH_LANGUAGE
@@ -78,6 +79,7 @@ class Params:
     engine: str = "external"
     prompt_reviews: int = 1000
     page_entries: int = 1000
+    prompt_chars: int | None = None
 
     def __post_init__(self):
         # A language named twice would be the same map key twice.
@@ -94,6 +96,10 @@ class Params:
             f"passthrough_language {self.passthrough_language} is also a target",
         )
         _require(self.prompt_reviews > 1, "prompt_reviews must be at least 2")
+        _require(
+            self.prompt_chars is None or self.prompt_chars >= fixed.PROMPT_CHARS_MIN,
+            f"prompt_chars must be null or at least {fixed.PROMPT_CHARS_MIN}",
+        )
         _require(self.page_entries > 0, "page_entries must be positive")
 
     @classmethod

@@ -190,8 +190,13 @@ def serving_stage(spark: SparkSession, at: Layout, params: Params) -> DataFrame:
     if pages.finished():
         raise ValueError(f"{pages.path} already exists")
     if not headers.finished():
-        headers.write(serving.laid_out(serving.product_headers(scored, summaries)))
-    pages.write(serving.product_pages(serving.served_entries(scored, params), params))
+        headers.write(
+            serving.laid_out(serving.product_headers(scored, summaries)), options=serving.LOOKUP_OPTIONS
+        )
+    pages.write(
+        serving.product_pages(serving.served_entries(scored, params), params),
+        options=serving.LOOKUP_OPTIONS,
+    )
     return pages.read()
 
 

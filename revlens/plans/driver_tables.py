@@ -331,11 +331,13 @@ def library_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page requests: one per line item; the ids end a quarter beyond those of the parts."""
+    """Page requests: one per line item; every other one asks for an id a quarter of the parts
+    further on, so some are beyond those of the parts, and the hot product is asked for."""
     beyond = part_count(spark, sf_dir) // 4
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    moved = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 2 == 0, 0).otherwise(beyond)
     return items.select(
         F.col("l_orderkey").alias("request_id"),
         F.col("l_linenumber").cast("int").alias("request_line"),
-        product_id(F.col("l_partkey") + beyond).alias("product_id"),
+        product_id(F.col("l_partkey") + moved).alias("product_id"),
     )

@@ -111,7 +111,8 @@ TABLES = {
     "requests": """
         SELECT l_orderkey AS request_id, l_linenumber::INT AS request_line,
                {product_id} AS product_id
-        FROM (SELECT *, l_partkey + (SELECT count(*) FROM part) // 4 AS key
+        FROM (SELECT *, l_partkey + CASE WHEN (l_orderkey + l_linenumber) % 2 = 0 THEN 0
+                                         ELSE (SELECT count(*) FROM part) // 4 END AS key
               FROM lineitem)""".replace("{product_id}", _product_id("key")),
     "trips": """
         SELECT *, CASE WHEN NOT title_failed THEN
@@ -246,6 +247,33 @@ def _prompts(width: int) -> str:
             FROM line_texts t JOIN named n USING (product_id) GROUP BY 1, 2, 3, 4)"""
 
 
+def _packed(chars: int) -> str:
+    piece = chars // 8
+    step = piece - 34
+    head = _filled(
+        fixed.SUMMARY_PROMPT_HEAD,
+        product_name=f"left(n.product_name, {chars // 4})",
+        review_count="review_count::VARCHAR",
+    )
+    return f"""
+        named AS (SELECT product_id, product_name FROM lines WHERE position = 1),
+        pieces AS (
+            SELECT product_id, n.product_name, review_count, position, piece, {head} AS head,
+                   CASE WHEN piece = 0 THEN '' ELSE position::VARCHAR || '. (continued) ' END
+                       || substr(line, piece * {step} + 1, {step}) AS text
+            FROM (SELECT *, unnest(range(greatest(1, (length(line) + {step - 1}) // {step}))) AS piece
+                  FROM line_texts) JOIN named n USING (product_id)),
+        placed AS (
+            SELECT *, coalesce(sum(length(text) + 1) OVER (
+                PARTITION BY product_id ORDER BY position, piece
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+            FROM pieces),
+        prompts AS (
+            SELECT product_id, product_name, review_count, ahead // ({chars - piece} - length(head)) AS part,
+                   head || chr(10) || string_agg(text, chr(10) ORDER BY position, piece) AS prompt
+            FROM placed GROUP BY product_id, product_name, review_count, part, head)"""
+
+
 def _with_more(tables: str, more: str, select: str) -> str:
     return _sql(tables, f", {more}\n{select}")
 
@@ -303,6 +331,10 @@ def _draw(seed: int, key: str, salt: str, i: int) -> str:
     return f"('0x' || substr(md5('{seed}|' || ({key})::VARCHAR || '|{salt}'), {1 + 8 * i}, 8))::BIGINT"
 
 
+def _draw60(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}|' || ({key})::VARCHAR), 1, 15))::BIGINT"
+
+
 def _rating(draw: str) -> str:
     reached, cases = 0.0, ""
     for rating, weight in list(fixed.RATING_WEIGHTS.items())[:-1]:
@@ -483,6 +515,9 @@ def oracle_sql() -> dict[str, str]:
             _prompts(20),
             "SELECT product_id, product_name, review_count, part, md5(prompt) AS prompt_md5 FROM prompts",
         ),
+        "summary_prompt_packed": _with_more("line_texts", _packed(4000), """
+            SELECT product_id, product_name, review_count, part, length(prompt)::INT AS chars,
+                   md5(prompt) AS prompt_md5 FROM prompts"""),
         "summarize_batch_udf": _with_more(
             "line_texts",
             _prompts(1000),
@@ -664,6 +699,12 @@ def oracle_sql() -> dict[str, str]:
                       ELSE 'negative' END AS sentiment FROM reviews""",
         ),
         "synth_reviews": _with_more("phrase_rows", _synth(), ""),
+        "stratified_sample": "WITH "
+        + _quotas("SELECT 'all' AS plan, (count(*) // 5)::BIGINT AS total FROM documents")
+        + f"""
+            SELECT doc_id, d.lang, n_chars FROM (
+                SELECT *, row_number() OVER (PARTITION BY lang ORDER BY {_draw60(11, 'doc_id')}, doc_id) AS place
+                FROM documents) d JOIN quota q ON d.lang = q.lang WHERE place <= quota""",
         "staged_run_counts": _with_more(
             "prompted valid",
             _RUN_SCORED,

@@ -16,7 +16,7 @@ from revlens import fixed_values as fixed
 from revlens.functions.arrays import items
 from revlens.functions.similarity import tokens, with_similarity, with_tokens
 from revlens.functions.text import is_kept, judge_prompt, parse_score, review_text
-from revlens.operators import evaluate, ingest, memory, quality, serving, summarize, synth, translate
+from revlens.operators import evaluate, ingest, memory, quality, sample, serving, summarize, synth, translate
 from revlens.operators.providers import echo_translator
 from revlens.params import Params
 from revlens.plans import batch, driver_tables as driver
@@ -270,6 +270,16 @@ def _prompt_rows(spark: SparkSession, sf: str, width: int) -> DataFrame:
     )
 
 
+@query
+def summary_prompt_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts bounded by their length; most reviews are cut into several lines."""
+    packed = summarize.prompts(driver.reviews(spark, sf), _with(prompt_chars=4000))
+    return packed.select(
+        "product_id", "product_name", "review_count", "part",
+        F.length("prompt").alias("chars"), _digest("prompt", "prompt_md5"),
+    )
+
+
 @query
 def summarize_batch_udf(spark: SparkSession, sf: str) -> DataFrame:
     """A third of all reviews are of one product, so no prompt holds a whole product."""
@@ -578,6 +588,16 @@ def synth_reviews(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A fifth of the documents by the language quotas; more than half of all are of one language,
+    and two languages have none."""
+    documents = driver.documents(spark, sf)
+    total = documents.agg((F.count("*") / 5).cast("long").alias("total"))
+    quotas = synth.quotas(total.withColumn("plan", F.lit("all"))).select("lang", "quota")
+    return sample.stratified(documents, "lang", quotas, "doc_id", seed=11).select("doc_id", "lang", "n_chars")
+
+
 # The staged run.
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from types import MappingProxyType
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
@@ -73,11 +74,17 @@ class StageTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(*paths)
 
-    def write(self, df: DataFrame, counters: Mapping[str, Column] | None = None, *partitions: str) -> None:
-        """Writes the whole table as one piece."""
+    def write(
+        self,
+        df: DataFrame,
+        counters: Mapping[str, Column] | None = None,
+        *partitions: str,
+        options: Mapping[str, str] | None = None,
+    ) -> None:
+        """Writes the whole table as one piece; ``options`` are those of the Parquet writer."""
         if self.commits():
             raise ValueError(f"{self.path} already exists")
-        self._write(0, df, counters or {}, partitions)
+        self._write(0, df, counters or {}, partitions, options or {})
 
     def write_ranges(
         self,
@@ -104,11 +111,17 @@ class StageTable:
                 self._write(number, make(source.where(_inside(key, low, high))), counters or {})
 
     def _write(
-        self, number: int, df: DataFrame, counters: Mapping[str, Column], partitions: tuple[str, ...] = ()
+        self,
+        number: int,
+        df: DataFrame,
+        counters: Mapping[str, Column],
+        partitions: tuple[str, ...] = (),
+        options: Mapping[str, str] = MappingProxyType({}),
     ) -> None:
         seen, path = Observation(), f"{self.path}/pieces/{number}-{uuid4().hex}"
         counted = df.observe(seen, F.count("*").alias(ROWS), *[c.alias(n) for n, c in counters.items()])
-        counted.write.mode("errorifexists").partitionBy(*partitions).parquet(path)
+        writer = counted.write.mode("errorifexists").options(**options)
+        writer.partitionBy(*partitions).parquet(path)
         values = {name: int(value or 0) for name, value in seen.get.items()}
         append_row(self.spark.createDataFrame([(number, path, values)], _COMMITS), f"{self.path}/commits")
 

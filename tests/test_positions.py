@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from revlens.operators.positions import with_position
+from revlens.operators.positions import with_position, with_rank
 
 
 def expected(rows):
@@ -43,3 +43,27 @@ def test_no_window_over_a_whole_group(spark):
     plan = with_position(df, "g", ["o"])._jdf.queryExecution().optimizedPlan().toString()
     ranks = [line for line in plan.splitlines() if "row_number" in line and "Window" in line]
     assert ranks and all("_block" in line.split("], [")[1] for line in ranks)
+
+
+@pytest.mark.parametrize("step", [1, 1 << 15, 1 << 30, 1 << 47])
+def test_sums_of_weights(spark, step):
+    """Offsets on a scale of weights, which may be 0, with the counts beside them."""
+    rng = random.Random(step + 1)
+    rows = [(rng.choice(["hot", "hot", "a", "b", None]), i * step + rng.randrange(step), rng.randrange(50)) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o long, w int").repartition(5)
+    got = {(r.g, r.o): (r.position, r.offset, r.group_weight, r.group_rows) for r in with_position(df, "g", ["o"], weight="w").collect()}
+    wanted = {}
+    for g in {r[0] for r in rows} - {None}:
+        own = sorted(r[1:] for r in rows if r[0] == g)
+        for i, (o, _) in enumerate(own):
+            wanted[g, o] = (i + 1, sum(w for _, w in own[:i]), sum(w for _, w in own), len(own))
+    assert got == wanted
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_ranks_of_a_whole_table(spark, n):
+    rng = random.Random(n)
+    names = [f"{rng.randrange(10**6):06d}" for _ in range(n)]
+    ranked = with_rank(spark.createDataFrame([(x, i) for i, x in enumerate(names)], "x string, i long").repartition(4), "x", "i")
+    assert [(r.x, r.i) for r in sorted(ranked.collect(), key=lambda r: r["rank"])] == sorted((x, i) for i, x in enumerate(names))
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(n))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.operators import serving
 from revlens.params import Params
@@ -100,3 +101,24 @@ def test_lookup_reads_few_files(spark, scored, tmp_path):
     table.write.parquet(str(tmp_path / "pages"))
     got = spark.read.parquet(str(tmp_path / "pages")).where("product_id = 'prod-042'")
     assert [r["reviews"][0]["review_id"] for r in got.collect()] == ["r42"]
+
+
+def test_an_unknown_id_reads_no_row_group(spark, tmp_path):
+    """Ids within the range of every row group, too many for a dictionary: only the Bloom
+    filters tell that an id is absent."""
+    from revlens.sources.stages import StageTable
+
+    ids = F.format_string("prod-%012d", F.col("id") * 2)
+    headers = spark.range(300_000).select(ids.alias("product_id"), F.col("id").alias("reviews"))
+
+    def rows_read(df):
+        df.collect()
+        scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return scan.metrics().apply("numOutputRows").value()
+
+    for options in (serving.LOOKUP_OPTIONS, {}):
+        table = StageTable(spark, str(tmp_path / str(len(options))))
+        table.write(headers.coalesce(1).sortWithinPartitions("product_id"), options=options)
+        # Without the filters at least a page of the column is read.
+        assert (rows_read(table.read().where(F.col("product_id") == "prod-000000000101")) == 0) == bool(options)
+        assert table.read().where(F.col("product_id") == "prod-000000000102").count() == 1

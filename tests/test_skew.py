@@ -97,3 +97,29 @@ def test_hot_product_is_spread_over_pages(spark, reviews):
     sizes = pages.where("product_id = 'prod-hot'").select(F.size("reviews")).collect()
     assert [s[0] for s in sizes] == [100] * (N // 300)
     assert pages.agg(F.sum(F.size("reviews"))).first()[0] == N
+
+
+def test_lookups_of_a_hot_product_by_hot_requests(spark, reviews):
+    """Half of all requests ask for the product with a third of all reviews: requests are dealt
+    over its pages, and every task gets a share."""
+    entries = reviews.select(
+        "seq", F.lit(0).alias("lang_pos"), "product_id", "review_id", F.lit("en").alias("language"), "title", "body", "rating"
+    )
+    params = Params(target_languages=("de",), page_entries=100)
+    pages = serving.product_pages(entries, params).cache()
+    headers = reviews.groupBy("product_id").agg(F.count("*").alias("reviews")).select(
+        "product_id", "reviews", F.lit("Name").alias("product_name"), F.lit(1).alias("review_count"),
+        F.lit("s").alias("summary"), F.lit(True).alias("has_summary"),
+    )
+    ids = F.when(F.col("id") % 2 == 0, "prod-hot").otherwise(F.concat(F.lit("prod-"), F.col("id") % 900))
+    requests = spark.range(60).select("id", ids.alias("product_id"))
+    with small_partitions(spark):
+        found = serving.lookup_pages(requests, headers, pages).select("id", "product_id", "found", "review_id")
+        plan = final_plan(found)
+        per_task = [n for n in found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert "product_id" in plan and "page_no" in plan
+    assert sum(per_task) >= 30 * 10_000 and max(per_task) < 0.3 * sum(per_task)
+    asked = {r["id"]: r["product_id"] for r in requests.collect()}
+    counts = {r["product_id"]: r["reviews"] for r in headers.collect()}
+    got = {r["id"]: (r["found"], r["n"]) for r in found.groupBy("id", "found").agg(F.count("review_id").alias("n")).collect()}
+    assert got == {i: (p in counts, counts.get(p, 0)) for i, p in asked.items()}

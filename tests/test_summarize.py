@@ -1,4 +1,5 @@
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -107,3 +108,49 @@ def test_failed_part_fails_the_product(make_reviews):
         return "ok"
 
     assert [r["summary"] for r in summarize.summarize_tree(df, params, batch(call)).collect()] == [""]
+
+
+def packed(make_reviews, lengths, chars=2000, name="Tin Kettle"):
+    rows = [
+        {"review_id": f"rev-{i:04}", "product_name": name, "title": f"<{i}>", "body": chr(97 + i % 26) * n}
+        for i, n in enumerate(lengths)
+    ]
+    params = replace(PARAMS, prompt_chars=chars)
+    return make_reviews(*rows), params
+
+
+@pytest.mark.parametrize("name", ["Tin Kettle", "K" * 5000])
+def test_no_prompt_is_longer_than_stated_and_no_review_is_lost(make_reviews, name):
+    lengths = [0, 5, 30_000, 400, 249, 250, 251, 10, 10, 1999, *[60] * 100]
+    df, params = packed(make_reviews, lengths, name=name)
+    found = summarize.prompts(df, params).orderBy("part").collect()
+    assert [r["part"] for r in found] == list(range(len(found))) and len(found) > 10
+    assert all(len(r["prompt"]) <= 2000 and r["parts"] == 2 for r in found)
+    # A prompt is at least as full as one piece less than its room.
+    assert all(len(r["prompt"]) >= 2000 - 2 * 250 for r in found[:-1])
+    said = {}
+    for r in found:
+        for line in r["prompt"].split("Reviews:\n")[1].split("\n"):
+            number, rest = line.split(". ", 1)
+            said[int(number)] = said.get(int(number), "") + rest.removeprefix("(continued) ")
+    for i, n in enumerate(lengths):
+        assert said[i + 1] == f"(rating: 5) <{i}>: {chr(97 + i % 26) * n}".rstrip()
+
+
+def test_one_prompt_if_it_fits(make_reviews):
+    df, params = packed(make_reviews, [10, 20], 4000)
+    plain = summarize.prompts(df, PARAMS).collect()
+    fitting = summarize.prompts(df, params).collect()
+    assert [(r["prompt"], r["parts"]) for r in fitting] == [(r["prompt"], 1) for r in plain]
+    with pytest.raises(ValueError, match="prompt_chars"):
+        replace(PARAMS, prompt_chars=10)
+
+
+def test_rounds_by_length(make_reviews):
+    df, params = packed(make_reviews, [300] * 60)
+    calls = Provider.batch(lambda: lambda prompt, *_: "+".join(re.findall(r"<\d+>", prompt)))
+    (row,) = summarize.summarize_tree(df, params, calls).collect()
+    assert row["summary"] == "+".join(f"<{i}>" for i in range(60)) and row["review_count"] == 60
+    long = Provider.batch(lambda: lambda prompt, *_: prompt)
+    with pytest.raises(ValueError, match="too long"):
+        summarize.summarize_tree(df, params, long)
