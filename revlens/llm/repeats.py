@@ -216,19 +216,22 @@ class _Group:
 
     def matches(self, same_key: np.ndarray):
         """Stretches found by comparing neighbours; per suffix the longest match to the right
-        and the largest left reach that a neighbour confirms."""
+        and the largest left reach among the neighbours that have that longest match."""
         right = GRAM + self._common(self.right, self.n_right)
         left = self._common(self.left, self.n_left)
         good = same_key & (left + right >= self.least)
         n = len(self.row)
         longest, reach = np.zeros(n, np.int64), np.full(n, -1)
         row, start, stop = [], [], []
-        for mine in (slice(0, n - 1), slice(1, n)):
+        sides = (slice(0, n - 1), slice(1, n))
+        for mine in sides:
             longest[mine] = np.maximum(longest[mine], np.where(same_key, right, 0))
-            reach[mine] = np.maximum(reach[mine], np.where(good, left, -1))
             row.append(self.row[mine][good])
             start.append((self.pos[mine] - left)[good])
             stop.append((self.pos[mine] + right)[good])
+        for mine in sides:
+            # A neighbour with less to the right says nothing about the words beyond.
+            reach[mine] = np.maximum(reach[mine], np.where(good & (right == longest[mine]), left, -1))
         return np.concatenate(row), np.concatenate(start), np.concatenate(stop), longest, reach
 
     def windows(self, at: np.ndarray, longest: np.ndarray, key: int):
@@ -288,7 +291,8 @@ def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.Dat
     stops = np.append(starts[1:], len(keys))
     row, start, stop, longest, reach = group.matches(keys[1:] == keys[:-1])
     parts = [_stretches(row, start, stop)]
-    # Fully confirmed: as far to the left as a window goes, with all words to the right.
+    # Fully confirmed: one neighbour has as much to the left as a window takes, and nobody more to
+    # the right.
     side = least - GRAM
     for a, b in zip(starts.tolist(), stops.tolist()):
         edge = (first and a == 0) or (last and b == len(keys))

@@ -384,3 +384,81 @@ def test_mixed_contexts_of_one_passage(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     found = {r.doc_id: r.n_repeated for r in repeats.find(df).collect()}
     assert found == {i: len(inside) for i, (_, inside) in enumerate(brute.repeats(texts))}
+
+
+def _suffixes(texts, least=50):
+    """One suffix per text, at its key, in sorted order."""
+    import numpy as np
+    import pandas as pd
+
+    side = least - repeats.GRAM
+    rows = []
+    for row, text in enumerate(texts):
+        words = repeats.word_hashes(text)
+        keys = repeats.grams(words)
+        at = text.split().index("key0")
+        rows.append({
+            "row": row, "pos": at, "key": keys[at : at + 1].view(np.int64)[0],
+            "right": repeats._bytes([words[at + repeats.GRAM : at + least]])[0],
+            "left": repeats._bytes([words[max(0, at - side) : at][::-1]])[0],
+        })
+    return pd.DataFrame(rows).sort_values(["key", "right"], ignore_index=True)
+
+
+def _marked(texts, least=50):
+    """Repeated words per text, with the suffixes given as the inner part of a sorted partition."""
+    frame = _suffixes(texts, least)
+    found = repeats._matched(frame, least, False, False)
+    marks = [set() for _ in texts]
+    for row, start, stop in zip(found["row"], found["start"], found["stop"]):
+        marks[row] |= set(range(start, stop))
+    return [len(m) for m in marks]
+
+
+def _contexts(pairs):
+    """Texts around one key of eight words, from their left (nearest last) and right words."""
+    key = [f"key{i}" for i in range(8)]
+    return [" ".join([*left, *key, *right]) for left, right in pairs]
+
+
+def test_longest_right_match_without_the_full_left():
+    """P and I share 42 words left and 20 right, I and Q 2 and 45, Q and K 2 and 50, K and R 42 and 18,
+    I and K 10 and 45: the neighbour with all of I's left side has not the most of its right side."""
+    left = [f"l{i}" for i in range(42)]
+    for salt in range(1000):  # until the suffixes sort as P, I, Q, K, R
+        own = {x: [f"{x}{salt}x{i}" for i in range(60)] for x in "piqkr"}
+        right = {"q": [f"c{i}" for i in range(50)]}
+        right["k"] = [*right["q"][:42], *own["k"][:8]]
+        right["i"] = [*right["q"][:37], *own["i"][:13]]
+        right["p"] = [*right["i"][:12], *own["p"][:38]]
+        right["r"] = [*right["k"][:10], *own["r"][:40]]
+        k_left = [*own["k"][:32], *left[32:]]
+        lefts = {"p": left, "i": left, "q": left[40:], "k": k_left, "r": k_left}
+        texts = _contexts([(lefts[x], right[x]) for x in "piqkr"])
+        if _suffixes(texts)["row"].tolist() == [0, 1, 2, 3, 4]:
+            break
+    else:
+        raise AssertionError("no such order")
+    expected = [len(inside) for _, inside in brute.repeats(texts)]
+    assert expected[1] == 87 and _marked(texts) == expected
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_contexts_of_one_key(seed):
+    """Chains of shared left and right sides of random lengths, beside brute force."""
+    import random
+
+    rng = random.Random(seed)
+    for trial in range(30):
+        pairs = []
+        for n in range(rng.randrange(2, 8)):
+            left, right = ([f"{s}{trial}x{n}x{i}" for i in range(60)] for s in "lr")
+            if pairs:
+                other = rng.choice(pairs)[0]
+                cut = rng.choice([0, 2, 10, 30, 42])  # a suffix holds 42 words on either side
+                left = [*left[: 60 - cut], *other[60 - cut :]]
+                cut = rng.choice([0, 12, 30, 37, 42])
+                right = [*rng.choice(pairs)[1][:cut], *right[cut:]]
+            pairs.append((left, right))
+        texts = _contexts(pairs)
+        assert _marked(texts) == [len(inside) for _, inside in brute.repeats(texts)], (seed, trial)
