@@ -179,20 +179,19 @@ def join(
             F.min(F.struct(F.col("_id").isNull(), "_id", "_m")).alias("head"),
             F.min("_row").alias("row"),
             F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
         )
         .withColumn("c", F.monotonically_increasing_id())
     )
-    entries = _entries(classes)
+    entries, hubs = _entries(members, classes)
     # Every class against the hub of its group.
-    stars = entries.select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
+    stars = entries.join(hubs, "t").select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
     stars = stars.where((F.col("x.c") != F.col("y.c")) & _possible("x", "y", percent))
     pairs = keep(_sharing_enough(stars, percent))
     roots = connected(_verified(pairs, classes, rows, known, width, percent))
 
     # Then what is in other components than those of their groups, against the groups.
-    rooted = _rooted(entries, roots)
-    strangers = rooted.where("root != hub_root")
+    rooted = _rooted(entries, hubs, roots)
+    strangers = keep(rooted.where("root != hub_root"))
     group = rooted.join(strangers.select("t").distinct(), "t", "left_semi")
     rest = (
         strangers.alias("x")
@@ -227,31 +226,35 @@ def join(
     )
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """Prefix tokens that two classes or more have: token, class, place, and the group's hub.
+def _entries(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prefix tokens that two classes or more have: token, class, size, place and ``met``, how many
+    such tokens the class has; and per token the hub of its group.
 
-    ``met`` counts such tokens per class. The hub is the class with the fewest prefix
-    tokens of its own: what the others are copies of, if anything is.
+    The hub is the class with the fewest prefix tokens of its own: what the others are
+    copies of, if anything is. Only what is read again is written, and each of it once.
     """
-    rows = classes.select("c", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "t"))
+    heads = classes.select("class", "c", F.col("head._m").alias("_m"))
+    rows = members.select("class", "_m", "n", "prefix").join(heads, ["class", "_m"])
+    rows = rows.select("c", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "t"))
     groups = rows.groupBy("t").agg(F.count("*").alias("size")).where("size > 1").select("t")
     found = keep(rows.join(groups, "t"))
     met = keep(found.groupBy("c").agg(F.count("*").alias("met")))
-    found = keep(found.join(met, "c").withColumn("alone", F.col("p") - F.col("met")).drop("p"))
-    hub = F.min(F.struct("alone", "c", "n", "pos", "met")).alias("hub")
-    return keep(found.drop("alone").join(found.groupBy("t").agg(hub), "t"))
+    entries = found.join(met, "c")
+    alone = (F.col("p") - F.col("met")).alias("alone")
+    hub = F.min(F.struct(alone, "c", "n", "pos", "met")).alias("hub")
+    return entries.drop("p"), keep(entries.groupBy("t").agg(hub))
 
 
-def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
+def _rooted(entries: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries with the component of their class and of their group's hub."""
     own = roots.select(F.col("node").alias("c"), "root")
-    hub = roots.select(F.col("node").alias("h"), F.col("root").alias("hub_root"))
-    return keep(
+    of_hub = roots.select(F.col("node").alias("h"), F.col("root").alias("hub_root"))
+    groups = hubs.select("t", F.col("hub.c").alias("h")).join(of_hub, "h", "left")
+    groups = groups.select("t", F.coalesce("hub_root", "h").alias("hub_root"))
+    return (
         entries.join(own, "c", "left")
         .withColumn("root", F.coalesce("root", "c"))
-        .withColumn("h", F.col("hub.c"))
-        .join(hub, "h", "left")
-        .withColumn("hub_root", F.coalesce("hub_root", "h"))
+        .join(groups, "t")
         .select("t", "c", "n", "pos", "met", "root", "hub_root")
     )
 
