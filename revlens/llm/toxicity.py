@@ -1,11 +1,15 @@
 """Toxicity from the nearest labelled examples by TF-IDF cosine.
 
-A bounded bank of labelled examples is indexed by all of its words. Postings lie in
-blocks of examples with the largest weight of each word per block; a query scores the
-blocks with the highest bounds first and then only those whose bound can reach its
-k-th neighbour, so the neighbours are exact. Words that no example has cannot add to a
-product, but they count in the length of a text. The neighbours' distance-weighted
-votes, calibrated, are the score, and the neighbours themselves the evidence.
+A bounded bank of labelled examples is fitted: document frequencies are those of the bank,
+and a word that no example has weighs as one of frequency 0, so a text's vector, its
+length and its neighbours depend on the bank and the text alone. Every word of the bank
+is indexed. Words with long lists, whose bounds would pass over no block, are rows of a
+dense table and multiplied for many texts at once; all others have postings in blocks of
+examples with their largest weight per block. What a block can still reach is its best
+sum so far and the maxima of the postings to come; only blocks that can reach the k-th
+neighbour of their label are completed, so the neighbours are exact. Their similarities,
+by label and as distance-weighted votes, are calibrated to a score, and the neighbours
+themselves are the evidence.
 """
 
 from __future__ import annotations
@@ -15,22 +19,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.llm.boosting import Additive, fit_additive, sigmoid
+from revlens.llm.boosting import fit_additive, sigmoid
 from revlens.llm.quality import labelled
-from revlens.llm.text import alnum_words, held_out, long_lists, utf8
+from revlens.llm.text import alnum_words, held_out, lowest, utf8
 from revlens.sources.tables import keep
 
-#: Labelled examples per label in the index at most, taken in the order of a hash.
+#: Labelled examples per label in the bank at most, taken in the order of a hash.
 BANK = 3_000
+#: Words whose lists are held as dense rows, the most frequent ones.
+DENSE = 256
 _BLOCK = 64
-#: Blocks that are scored before any is passed over.
-_FIRST = 8
+#: Texts that are multiplied with the dense rows at once.
+_TOGETHER = 64
 #: Bounds and products are summed in different orders; no block is lost to rounding.
 _SLACK = 1 + 1e-9
-_SEEN = "terms array<long>, counts array<long>, rare array<long>, rare_counts array<long>"
+#: Digits of a similarity, so that the order of a sum never shows.
+_DIGITS = 12
+_NEAREST = 5
+
+Near = list[tuple[float, int]]
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -39,119 +48,192 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
 
 
+def _deviations(having: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The difference of a word's log odds in both labels, in its standard deviations."""
+    odds = np.log((having + 0.5) / (total[:, None] - having + 0.5))
+    return (odds[1] - odds[0]) / np.sqrt((1 / (having + 0.5)).sum(0))
+
+
 @dataclass
 class Index:
-    """Postings by term, then by block; ``places`` are places in ``order``.
+    """The bank's vectors, of length 1, by word; columns are places of examples.
 
-    Entry ``e`` stands for a term in a block, ``first_entry[t]`` to ``first_entry[t + 1]``
-    for those of term t; its postings are ``first_posting[e]`` to ``first_posting[e + 1]``.
+    The examples of a label fill blocks of their own, the last one up with empty places
+    (``example`` is -1). Words are numbered by falling frequency; the first have rows in
+    ``dense``. Entry ``e`` stands for another word in a block, ``first_entry[t]`` to
+    ``first_entry[t + 1]`` for word t; its postings are ``first_posting[e]`` to
+    ``first_posting[e + 1]``.
     """
 
-    ids: np.ndarray
     y: np.ndarray
+    numbers: dict[bytes, int]
     idf: np.ndarray
-    order: np.ndarray
+    unknown: float
+    example: np.ndarray
+    place: np.ndarray
+    parts: list[tuple[int, int]]
+    dense: np.ndarray
     first_entry: np.ndarray
     block: np.ndarray
     highest: np.ndarray
     first_posting: np.ndarray
     places: np.ndarray
     weights: np.ndarray
+    #: Words of every example, and how many examples of a label have a word.
+    words: list[np.ndarray]
+    having: np.ndarray
+    having_any: np.ndarray
 
     @classmethod
-    def build(cls, ids, y, seen, idf: np.ndarray) -> Index:
-        rows = [(np.asarray(t, np.int64), unit(weigh(t, c, idf))) for t, c in seen]
-        # Examples with the same label and heaviest term lie together, which keeps bounds tight.
-        heaviest = [t[w.argmax()] if len(t) else -1 for t, w in rows]
-        order = np.lexsort((np.array(heaviest, np.int64), np.asarray(y)))
-        sizes = np.array([len(rows[at][0]) for at in order], np.int64)
-        places = np.repeat(np.arange(len(order)), sizes)
-        terms = np.concatenate([np.empty(0, np.int64), *[rows[at][0] for at in order]])
-        weights = np.concatenate([np.empty(0), *[rows[at][1] for at in order]])
-        by_term = np.argsort(terms, kind="stable")
-        terms, places, weights = terms[by_term], places[by_term], weights[by_term]
+    def build(cls, texts: list[bytes | None], y: np.ndarray, dense: int = DENSE) -> Index:
+        seen = [Counter(alnum_words(t)) for t in texts]
+        df = Counter(w for words in seen for w in words)
+        numbers = {w: i for i, (w, _) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0])))}
+        counts = np.array([df[w] for w in numbers], float)
+        idf = np.log((len(texts) + 1) / (counts + 1))
+        rows = []
+        for words in seen:
+            terms = np.array([numbers[w] for w in words], np.int64)
+            weights = (1 + np.log(np.array(list(words.values()), float))) * idf[terms]
+            rows.append((terms, weights / (np.linalg.norm(weights) or 1.0)))
+
+        # Examples of a label with the same heaviest word lie together, which keeps bounds tight.
+        heaviest = np.array([t[w.argmax()] if len(t) else -1 for t, w in rows], np.int64)
+        example, parts = np.empty(0, np.int64), []
+        for label in (0, 1):
+            own = np.flatnonzero(y == label)
+            own = own[np.argsort(heaviest[own], kind="stable")]
+            parts.append((len(example), len(example) + len(own)))
+            filled = np.full(-(-len(own) // _BLOCK) * _BLOCK, -1)
+            filled[: len(own)] = own
+            example = np.concatenate([example, filled])
+        place = np.full(len(texts), -1)
+        place[example[example >= 0]] = np.flatnonzero(example >= 0)
+
+        table = np.zeros((min(dense, len(numbers)), len(example)))
+        sizes = np.array([len(t) for t, _ in rows], np.int64)
+        places = np.repeat(place, sizes)
+        terms = np.concatenate([np.empty(0, np.int64), *[t for t, _ in rows]])
+        weights = np.concatenate([np.empty(0), *[w for _, w in rows]])
+        frequent = terms < len(table)
+        table[terms[frequent], places[frequent]] = weights[frequent]
+        terms, places, weights = terms[~frequent], places[~frequent], weights[~frequent]
+        order = np.lexsort((places, terms))
+        terms, places, weights = terms[order], places[order], weights[order]
         blocks = places // _BLOCK
         new = np.ones(len(terms), bool)
         new[1:] = (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])
         starts = np.flatnonzero(new)
         return cls(
-            np.asarray(ids, object), np.asarray(y), idf, order,
+            y, numbers, idf, float(np.log(len(texts) + 1)), example, place, parts, table,
             np.searchsorted(terms[starts], np.arange(len(idf) + 1)),
             blocks[starts],
             np.maximum.reduceat(weights, starts) if len(starts) else np.empty(0),
             np.append(starts, len(terms)),
             places, weights,
+            [t for t, _ in rows],
+            np.array([
+                np.bincount(np.concatenate([np.empty(0, np.int64), *[t for (t, _), of in zip(rows, y) if of == label]]), minlength=len(idf))
+                for label in (0, 1)
+            ]),
+            np.array([(y == label).sum() for label in (0, 1)]),
         )
 
-    def nearest(self, terms, counts, k: int, without=None, length=None) -> list[tuple[float, int]]:
-        """(similarity, example) of the k nearest with a similarity above 0, nearest first.
-
-        ``length`` is that of the text's vector, its terms alone if not given.
-        """
-        if not len(terms) or not len(self.ids):
-            return []
-        terms = np.asarray(terms)
-        weights = weigh(terms, counts, self.idf)
-        weights = weights / (np.linalg.norm(weights) if length is None else length)
+    def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The bank's words in a text, and their weights in its vector of length 1."""
+        words = Counter(alnum_words(text))
+        known = [(self.numbers[w], n) for w, n in words.items() if w in self.numbers]
+        outside = np.array([n for w, n in words.items() if w not in self.numbers], float)
+        terms = np.array([t for t, _ in known], np.int64)
+        weights = (1 + np.log(np.array([n for _, n in known], float))) * self.idf[terms]
+        # In the order of the words' numbers, so that equal texts and sums agree in every bit.
+        order = np.argsort(terms)
+        terms, weights = terms[order], weights[order]
+        square = np.square(weights).sum() + np.square(np.sort((1 + np.log(outside)) * self.unknown)).sum()
+        return terms, weights / (np.sqrt(square) or 1.0)
+
+    def nearest(self, texts: list[bytes | None], k: int, without: list[int] | None = None) -> list[tuple[Near, list]]:
+        """Per text, for each label, (similarity, example) of its k nearest with a similarity above 0,
+        nearest first, and what the words shared with them tell (``_telling``); ``without``
+        names an example per text that is passed over."""
+        vectors = [self.vector(t) for t in texts]
+        queries = np.zeros((len(texts), len(self.dense)))
+        for query, (terms, weights) in zip(queries, vectors):
+            frequent = terms < len(self.dense)
+            query[terms[frequent]] = weights[frequent]
+        sums = queries @ self.dense
+        found = []
+        for i, (terms, weights) in enumerate(vectors):
+            own = None if without is None else without[i]
+            gone = -1 if own is None else self.place[own]
+            near = self._completed(sums[i], terms, weights, k, gone)
+            found.append((near, [self._telling(terms, side, own) for side in near]))
+        return found
+
+    def _telling(self, terms: np.ndarray, near: Near, own: int | None) -> np.ndarray:
+        """How strongly the words that a text shares with its neighbours tell the labels apart, in
+        standard deviations of their log odds in the bank, the strongest for label 1 first."""
+        theirs = np.zeros(len(self.idf), bool)
+        for _, at in near:
+            theirs[self.words[at]] = True
+        shared = terms[theirs[terms]]
+        having, total = self.having[:, shared], self.having_any
+        if own is not None:  # its own words would tell its label
+            having, total = having.copy(), total.copy()
+            having[int(self.y[own])] -= 1
+            total[int(self.y[own])] -= 1
+        return np.sort(_deviations(having, total))[::-1]
+
+    def _completed(self, sims: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, gone: int) -> tuple[Near, Near]:
+        if not len(terms):
+            return [], []
+        rare = terms >= len(self.dense)
+        terms, weights = terms[rare], weights[rare]
         sizes = self.first_entry[terms + 1] - self.first_entry[terms]
         entries, weights = _ranges(self.first_entry[terms], sizes), np.repeat(weights, sizes)
         blocks = self.block[entries]
-        bounds = np.bincount(blocks, weights * self.highest[entries], -(-len(self.ids) // _BLOCK))
-        walk = np.argsort(-bounds, kind="stable")
-        walk = walk[bounds[walk] > 0]
-        best_sim, best_at = np.empty(0), np.empty(0, np.int64)
-        for part in (walk[:_FIRST], walk[_FIRST:]):
-            if len(best_sim) == k:
-                part = part[bounds[part] * _SLACK >= best_sim[-1]]
-            wanted = np.zeros(len(bounds), bool)
-            wanted[part] = True
-            wanted = wanted[blocks]
-            own = entries[wanted]
-            n = self.first_posting[own + 1] - self.first_posting[own]
-            postings = _ranges(self.first_posting[own], n)
-            sims = self.weights[postings] * np.repeat(weights[wanted], n)
-            sims = np.bincount(self.places[postings], sims, len(self.ids))
-            found = np.flatnonzero(sims > 0)
-            sim, at = sims[found], self.order[found]
-            if without is not None:
-                other = self.ids[at] != without
-                sim, at = sim[other], at[other]
-            sim, at = np.concatenate([best_sim, sim]), np.concatenate([best_at, at])
-            if len(sim) > k:
-                likely = sim >= np.partition(sim, len(sim) - k)[len(sim) - k]
-                sim, at = sim[likely], at[likely]
-            first = np.lexsort((at, -sim))[:k]
-            best_sim, best_at = sim[first], at[first]
-        return list(zip(best_sim.tolist(), best_at.tolist()))
-
-
-def weigh(terms, counts, idf: np.ndarray) -> np.ndarray:
-    """(1 + log count) * idf of each term."""
-    return (1 + np.log(np.asarray(counts, float))) * idf[np.asarray(terms, np.int64)]
-
-
-def unit(weights: np.ndarray) -> np.ndarray:
-    norm = np.linalg.norm(weights)
-    return weights / norm if norm else weights
-
-
-def votes(near: list[tuple[float, int]], y: np.ndarray) -> list[float]:
-    """Distance-weighted share of label 1, the highest similarity, and how many neighbours."""
-    weight = [1 / (1.0001 - min(sim, 1.0)) for sim, _ in near]
-    share = sum(w * y[at] for w, (_, at) in zip(weight, near)) / sum(weight) if near else -1.0
-    return [share, near[0][0] if near else 0.0, float(len(near))]
-
-
-def vocabulary(examples: DataFrame) -> dict[bytes, int]:
-    """All words of the examples, which bound their number."""
-
-    def words(batches):
-        for batch in batches:
-            found = {w for text in utf8(batch.column("_text")) for w in alnum_words(text)}
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["word"])
-
-    found = examples.select("_text").mapInArrow(words, "word binary").distinct().toArrow()
-    return {w: i for i, w in enumerate(sorted(found.column("word").to_pylist()))}
+        to_come = np.bincount(blocks, weights * self.highest[entries], len(sims) // _BLOCK)
+        bounds = sims.reshape(-1, _BLOCK).max(1) + to_come
+        # What the k-th of a label has at least, its own place left out.
+        wanted = to_come > 0
+        for start, stop in self.parts:
+            if stop - start > k + 1:
+                least = np.partition(sims[start:stop], stop - start - k - 1)[stop - start - k - 1]
+                part = slice(start // _BLOCK, -(-stop // _BLOCK))
+                wanted[part] &= bounds[part] * _SLACK >= least
+        own = wanted[blocks]
+        first, n = self.first_posting[entries[own]], self.first_posting[entries[own] + 1] - self.first_posting[entries[own]]
+        postings = _ranges(first, n)
+        sims = sims + np.bincount(self.places[postings], self.weights[postings] * np.repeat(weights[own], n), len(sims))
+        if gone >= 0:
+            sims[gone] = 0
+        near = []
+        for start, stop in self.parts:
+            part = np.round(sims[start:stop], _DIGITS)
+            at = np.flatnonzero(part > 0)
+            if len(at) > k:
+                at = at[part[at] >= np.partition(part[at], len(at) - k)[len(at) - k]]
+            examples = self.example[start + at]
+            order = np.lexsort((examples, -part[at]))[:k]
+            near.append(list(zip(part[at][order].tolist(), examples[order].tolist())))
+        return near[0], near[1]
+
+
+def features(near: tuple[Near, Near], telling: list[np.ndarray], k: int) -> list[float]:
+    """What the calibration sees: the distance-weighted share of label 1 among the k nearest and how
+    many there are; the highest similarity per label, the mean of the first ones, and margins; and
+    what the words shared with the neighbours of each label tell."""
+    both = sorted([(sim, y) for y, side in enumerate(near) for sim, _ in side], reverse=True)[:k]
+    weight = [1 / (1.0001 - min(sim, 1.0)) for sim, _ in both]
+    share = sum(w * y for w, (_, y) in zip(weight, both)) / sum(weight) if both else -1.0
+    top = [side[0][0] if side else 0.0 for side in near]
+    mean = [sum(sim for sim, _ in side[:_NEAREST]) / _NEAREST for side in near]
+    clean, toxic = telling
+    said = [float(toxic[0]) if len(toxic) else 0.0, float(toxic[:3].sum()), float(clean[-3:].sum())]
+    return [share, float(len(both)), *top, top[1] - top[0], *mean, mean[1] - mean[0], *said]
+
+
+_FEATURES = 11
 
 
 def score(
@@ -170,71 +252,41 @@ def score(
 
     ``evidence`` lists the nearest examples as (example, similarity, label). Examples are
     taken from ids whose CRC-32 modulo ``modulus`` is not ``remainder``, at most ``bank``
-    per label; a document is never its own neighbour. Similarities are cosines of whole
-    texts: every word has a weight, by its document frequency in all documents. Words that
-    no example has are told apart by 64-bit hashes. A text without any word of an example,
-    such as a null or empty one, gets the score of the examples without neighbours. Without
-    labels every score is 0.5.
+    per label; of ids with several texts or labels each pair is an example, up to twice
+    the bank in all, by hash. Similarities are cosines of whole texts under weights fitted on the bank. The score follows from
+    the text alone: equal texts score equally under any id, and an example is its own
+    neighbour; the calibration leaves every example out of its own neighbours. A text without
+    any word of an example, such as a null or empty one, gets the score of texts without
+    neighbours. Without labels every score is 0.5. Repeated rows stay; other columns are left
+    out.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     usable = [
         labelled(labels.where(F.col(label) == y), label, id_col, modulus, remainder, bank) for y in (1, 0)
     ]
     # At most twice the bank's rows of two numbers: a bounded broadcast.
     chosen = keep(usable[0].unionByName(usable[1]))
-    examples = keep(rows.join(F.broadcast(chosen), "_id").limit(4 * bank))
-    numbers = vocabulary(examples)
-    known = rows.sparkSession.sparkContext.broadcast(numbers)
-
-    @F.arrow_udf(_SEEN)
-    def look(texts: pa.Array) -> pa.Array:
-        numbers, found = known.value, ([], [], [], [])
-        for text in utf8(texts):
-            words = Counter(alnum_words(text))
-            inside = [(numbers[w], n) for w, n in words.items() if w in numbers]
-            rare = [(xxhash.xxh3_64_intdigest(w), n) for w, n in words.items() if w not in numbers]
-            for lists, pairs, at in zip(found, (inside, inside, rare, rare), (0, 1, 0, 1)):
-                lists.append(np.array([pair[at] for pair in pairs], np.uint64))
-        return pa.StructArray.from_arrays(
-            [long_lists(lists) for lists in found], names=["terms", "counts", "rare", "rare_counts"]
-        )
-
-    # The number of a kept row stays what it is and tells repeated rows apart.
-    looked = rows.select("_id", F.monotonically_increasing_id().alias("_m"), look("_text").alias("_seen"))
-    seen = keep(looked.select("_id", "_m", "_seen.*"))
-    idf, total = np.zeros(len(numbers)), seen.count()
-    df = _document_counts(seen, len(numbers))
-    at, n = (df.column(c).to_numpy() for c in ("term", "n"))
-    idf[at] = np.log((total + 1) / (n + 1)) + 1
-    held = examples.select("_id", "_y", look("_text").alias("_seen")).select("_id", "_y", "_seen.*").toArrow()
-    y, held_ids = held.column("_y").to_numpy().astype(float), held.column("_id").to_pylist()
-    held_seen = list(zip(_lists(held.column("terms")), _lists(held.column("counts"))))
-    index = Index.build(held_ids, y, held_seen, idf)
-    left_out = [votes(index.nearest(t, c, neighbours, without=i), y) for i, (t, c) in zip(held_ids, held_seen)]
-    calibration = fit_additive(np.array(left_out).reshape(len(y), 3), y, bins=16, rounds=60, pairs=0)
+    named = rows.join(F.broadcast(chosen), "_id").withColumn("_hash", F.xxhash64("_id", "_text", "_y"))
+    examples = lowest(named.select("_hash", "_id", "_text", "_y"), "_hash", 2 * bank).collect()
+    y = np.array([e["_y"] for e in examples], float)
+    texts = [None if e["_text"] is None else e["_text"].encode("utf-8", "replace") for e in examples]
+    index = spark.sparkContext.broadcast(Index.build(texts, y))
+
+    @F.arrow_udf("array<double>")
+    def left_out(places: pa.Array, own: pa.Array) -> pa.Array:
+        near = _in_batches(index.value, list(utf8(own)), neighbours, places.to_pylist())
+        return pa.array([features(*n, neighbours) for n in near], pa.list_(pa.float64()))
+
+    held = [(i, e["_text"]) for i, e in enumerate(examples)]
+    bank_rows = spark.createDataFrame(held, "place long, text string").repartition(8)
+    found = bank_rows.select("place", left_out("place", "text").alias("x")).collect()
+    x = np.array([r["x"] for r in sorted(found, key=lambda r: r["place"])]).reshape(len(y), _FEATURES)
+    calibration = fit_additive(x, y, bins=32, rounds=80, pairs=0)
     shift = _prior(labels, label, id_col, modulus, remainder) - _log_odds(y.sum(), len(y))
-    shared = rows.sparkSession.sparkContext.broadcast((index, calibration))
-
-    @F.arrow_udf("square double, products array<double>, examples array<long>")
-    def near(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> pa.Array:
-        index, squares, found = shared.value[0], [], []
-        for i, t, c in zip(ids.to_pylist(), _lists(terms), _lists(counts)):
-            squares.append(np.square(weigh(t, c, index.idf)).sum())
-            found.append(index.nearest(t, c, neighbours, without=i, length=1.0))
-        columns = [
-            pa.array(squares, pa.float64()),
-            pa.array([[product for product, _ in n] for n in found], pa.list_(pa.float64())),
-            pa.array([[at for _, at in n] for n in found], pa.list_(pa.int64())),
-        ]
-        return pa.StructArray.from_arrays(columns, names=["square", "products", "examples"])
-
-    # Only the few nearest of a text meet its share of words that no example has.
-    compared = keep(seen.select("_id", "_m", near("_id", "terms", "counts").alias("_near")).select("_id", "_m", "_near.*"))
-    whole = compared.join(_rare_squares(seen, total), "_m", "left").withColumn(
-        "_length", F.sqrt(F.col("square") + F.coalesce("rare_square", F.lit(0.0)))
-    )
-    scored = _scorer(shared, shift)
-    return whole.select("_id", scored("products", "examples", "_length").alias("_s")).select(
+    ids = [str(e["_id"]) for e in examples]
+    scored = _scorer(index, spark.sparkContext.broadcast((calibration, ids)), shift, neighbours)
+    return rows.select("_id", scored("_text").alias("_s")).select(
         F.col("_id").alias(id_col),
         held_out("_id", modulus, remainder).alias("held_out"),
         F.col("_s.score").alias("score"),
@@ -243,34 +295,39 @@ def score(
     )
 
 
-def _lists(lists) -> list[np.ndarray]:
-    """Each list of a column as numbers."""
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
+def _in_batches(index: Index, texts: list[bytes | None], k: int, without: list[int] | None = None):
+    for at in range(0, len(texts), _TOGETHER):
+        own = None if without is None else without[at : at + _TOGETHER]
+        yield from index.nearest(texts[at : at + _TOGETHER], k, own)
 
-def _document_counts(seen: DataFrame, size: int) -> pa.Table:
-    """Documents per term, at most one row per term; each task adds its own up first."""
 
-    def add_up(batches):
-        sums = np.zeros(size, np.int64)
-        for batch in batches:
-            sums += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
-        terms = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(sums[terms])], names=["term", "n"])
+def _scorer(index, fitted, shift: float, k: int):
+    @F.arrow_udf("score double, evidence array<struct<example:string,similarity:double,label:int>>")
+    def scored(texts: pa.Array) -> pa.Array:
+        calibration, ids = fitted.value
+        x, evidence, held = [], [], []
 
-    counts = seen.select("terms").mapInArrow(add_up, "term long, n long")
-    return counts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        def add() -> None:
+            for near, telling in index.value.nearest(held, k):
+                x.append(features(near, telling, k))
+                both = sorted(((-sim, at, y) for y, side in enumerate(near) for sim, at in side))[:_NEAREST]
+                evidence.append([{"example": ids[at], "similarity": -sim, "label": y} for sim, at, y in both])
+            held.clear()
 
+        for text in utf8(texts):
+            held.append(text)
+            if len(held) == _TOGETHER:
+                add()
+        if held:
+            add()
+        raw = np.clip(calibration.score(np.array(x).reshape(len(x), _FEATURES)), 1e-9, 1 - 1e-9)
+        scores = sigmoid(np.log(raw / (1 - raw)) + shift)
+        said = pa.struct([("example", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())])
+        columns = [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(said))]
+        return pa.StructArray.from_arrays(columns, names=["score", "evidence"])
 
-def _rare_squares(seen: DataFrame, total: int) -> DataFrame:
-    """Per row ``_m``, the sum of squared weights of the words that no example has."""
-    words = seen.select("_m", F.explode(F.arrays_zip("rare", "rare_counts")).alias("w")).select("_m", "w.*")
-    documents = words.groupBy("rare").agg(F.count("*").alias("n"))
-    idf = F.log(F.lit(total + 1) / (F.col("n") + 1)) + 1
-    weight = (1 + F.log("rare_counts")) * idf
-    return words.join(documents, "rare").groupBy("_m").agg(F.sum(weight * weight).alias("rare_square"))
+    # Neither repeated nor moved by the optimizer.
+    return scored.asNondeterministic()
 
 
 def _log_odds(ones: float, n: float) -> float:
@@ -282,28 +339,3 @@ def _prior(labels: DataFrame, label: str, id_col: str, modulus: int, remainder:
     usable = labels.where(F.col(label).isin(0, 1) & ~held_out(id_col, modulus, remainder))
     ones, n = usable.agg(F.sum(label), F.count("*")).first()
     return _log_odds(ones or 0, n)
-
-
-def _scorer(shared, shift: float):
-    @F.arrow_udf("score double, evidence array<struct<example:string,similarity:double,label:int>>")
-    def scored(products: pa.Array, examples: pa.Array, lengths: pa.Array) -> pa.Array:
-        index, calibration = shared.value
-        near = [
-            [(product / length, at) for product, at in zip(p, e)]
-            for p, e, length in zip(products.to_pylist(), examples.to_pylist(), lengths.to_pylist())
-        ]
-        x = np.array([votes(n, index.y) for n in near]).reshape(len(near), 3)
-        raw = np.clip(calibration.score(x), 1e-9, 1 - 1e-9)
-        evidence = [
-            [
-                {"example": str(index.ids[at]), "similarity": sim, "label": int(index.y[at])}
-                for sim, at in n[:5]
-            ]
-            for n in near
-        ]
-        scores = sigmoid(np.log(raw / (1 - raw)) + shift)
-        said = pa.struct([("example", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())])
-        columns = [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(said))]
-        return pa.StructArray.from_arrays(columns, names=["score", "evidence"])
-
-    return scored

@@ -117,17 +117,17 @@ def jaccard(texts, width=4, percent=85):
 
 
 def neighbours(texts, examples):
-    """Per text: (cosine, example) above 0 by TF-IDF over all words, nearest first, itself left out."""
+    """Per text: (cosine, example) above 0 by TF-IDF over all words, fitted on the examples, nearest first."""
     seen = [Counter(lowered(t, ALNUM)) for t in texts]
-    df = Counter(w for words in seen for w in words)
+    df = Counter(w for e in examples for w in seen[e])
     rows = []
     for words in seen:
-        row = {w: (1 + math.log(n)) * (math.log((len(texts) + 1) / (df[w] + 1)) + 1) for w, n in words.items()}
-        length = math.sqrt(sum(x * x for x in row.values()))
+        row = {w: (1 + math.log(n)) * math.log((len(examples) + 1) / (df[w] + 1)) for w, n in words.items()}
+        length = math.sqrt(sum(x * x for x in row.values())) or 1
         rows.append({w: x / length for w, x in row.items()})
     out = []
-    for i, row in enumerate(rows):
-        sims = [(sum(x * rows[e].get(w, 0) for w, x in row.items()), e) for e in examples if e != i]
+    for row in rows:
+        sims = [(sum(x * rows[e].get(w, 0) for w, x in row.items()), e) for e in examples]
         out.append(sorted((s for s in sims if s[0] > 0), key=lambda s: (-s[0], s[1])))
     return out
 

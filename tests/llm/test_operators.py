@@ -260,11 +260,14 @@ def test_held_out_accuracy(spark, name, label, modulus, remainder):
         assert r.held_out == (zlib.crc32(str(i).encode()) % modulus == remainder)
     truth = duckdb.sql(f"SELECT doc_id, {label} FROM '{sf}/labels.parquet'").fetchall()
     held = [(y, found[i].predicted) for i, y in truth if found[i].held_out]
-    assert len(held) > 50 and sum(y == p for y, p in held) / len(held) > 0.9
+    # Toxic texts are few: what is caught of them is counted apart, on more rows, below.
+    least = 0.9 if label == "quality" else 0.85
+    assert len(held) > 50 and sum(y == p for y, p in held) / len(held) > least
 
 
-def test_toxicity_neighbours_are_those_of_whole_texts(spark):
-    """Brute-force cosines over all words, also those that only one example or none has."""
+def test_toxicity_neighbours_are_those_of_whole_texts(spark, monkeypatch):
+    """Brute-force cosines over all words, also those that only one example or none has; with
+    few dense rows, so that blocks are passed over."""
     words = [[f"w{(i * k) % 37}" for k in range(1, 9)] + [f"own{i}x{k}" for k in range(i % 4)] for i in range(90)]
     words += [[*words[i][:5], f"only{i}", "outside"] for i in range(0, 90, 9)] + [["own3x1"], ["only0", "unseen"], []]
     texts = [" ".join(w) for w in words]
@@ -281,6 +284,49 @@ def test_toxicity_neighbours_are_those_of_whole_texts(spark):
     assert found[100].evidence[0].example == "3" and not found[102].evidence
 
 
+@pytest.mark.parametrize("dense", [0, 3, 256])
+def test_nearest_per_label_beside_brute_force(dense):
+    """Many blocks, skewed words: whichever blocks are passed over, the nearest are exact."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(dense)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(rng.randrange(0, 40))) for _ in range(700)]
+    y = np.array([float(rng.random() < 0.3) for _ in texts[:600]])
+    index = toxicity.Index.build([t.encode() for t in texts[:600]], y, dense)
+    expected = brute.neighbours(texts, list(range(600)))
+    for k in (1, 15):
+        for i, (sides, _) in enumerate(index.nearest([t.encode() for t in texts], k)):
+            for label, near in enumerate(sides):
+                own = [s for s in expected[i] if y[s[1]] == label][:k]
+                assert [sim for sim, _ in near] == pytest.approx([sim for sim, _ in own], abs=1e-9)
+    for i, (sides, _) in enumerate(index.nearest([t.encode() for t in texts[:50]], 15, list(range(50)))):
+        own = [s for s in expected[i] if s[1] != i and y[s[1]] == 1][:15]
+        assert [sim for sim, _ in sides[1]] == pytest.approx([sim for sim, _ in own], abs=1e-9)
+
+
+@needs_data
+def test_toxicity_of_equal_texts(spark):
+    """The same text under an id of its own, without a label, scores the same."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000))
+    found = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(twice, labels).collect()}
+    assert all(found[i] == found[i + 1_000_000] for i in found if i < 1_000_000)
+
+
+@needs_data
+def test_toxic_texts_are_caught_and_clean_ones_left(spark):
+    """Held-out labels of the largest tables, both sides by themselves."""
+    sf = SF.replace("0.001", "0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = ([r.predicted for r in rows if r.toxic == which] for which in (1, 0))
+    assert len(toxic) > 100 and sum(toxic) / len(toxic) >= 0.8 and sum(clean) / len(clean) <= 0.02
+
+
 # Near duplicates.
 
 
