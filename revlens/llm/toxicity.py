@@ -15,6 +15,7 @@ themselves are the evidence.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ from revlens.sources.tables import keep
 #: Labelled examples per label in the bank at most, taken in the order of a hash.
 BANK = 3_000
 #: Words whose lists are held as dense rows, the most frequent ones.
-DENSE = 256
+DENSE = 512
 _BLOCK = 64
 #: Texts that are multiplied with the dense rows at once.
 _TOGETHER = 64
@@ -83,17 +84,22 @@ class Index:
     words: list[np.ndarray]
     having: np.ndarray
     having_any: np.ndarray
+    marks: np.ndarray
+    mark: int = 0
 
     @classmethod
-    def build(cls, texts: list[bytes | None], y: np.ndarray, dense: int = DENSE) -> Index:
-        seen = [Counter(alnum_words(t)) for t in texts]
-        df = Counter(w for words in seen for w in words)
+    def build(cls, texts: Sequence[bytes | None], y: np.ndarray, dense: int = DENSE) -> Index:
+        # Texts are cut into words twice, as all their counts at once would be far larger than they.
+        df = Counter()
+        for text in texts:
+            df.update(set(alnum_words(text)))
         numbers = {w: i for i, (w, _) in enumerate(sorted(df.items(), key=lambda x: (-x[1], x[0])))}
         counts = np.array([df[w] for w in numbers], float)
         idf = np.log((len(texts) + 1) / (counts + 1))
         rows = []
-        for words in seen:
-            terms = np.array([numbers[w] for w in words], np.int64)
+        for text in texts:
+            words = Counter(alnum_words(text))
+            terms = np.array([numbers[w] for w in words], np.int32)
             weights = (1 + np.log(np.array(list(words.values()), float))) * idf[terms]
             rows.append((terms, weights / (np.linalg.norm(weights) or 1.0)))
 
@@ -113,7 +119,7 @@ class Index:
         table = np.zeros((min(dense, len(numbers)), len(example)))
         sizes = np.array([len(t) for t, _ in rows], np.int64)
         places = np.repeat(place, sizes)
-        terms = np.concatenate([np.empty(0, np.int64), *[t for t, _ in rows]])
+        terms = np.concatenate([np.empty(0, np.int32), *[t for t, _ in rows]])
         weights = np.concatenate([np.empty(0), *[w for _, w in rows]])
         frequent = terms < len(table)
         table[terms[frequent], places[frequent]] = weights[frequent]
@@ -133,23 +139,25 @@ class Index:
             places, weights,
             [t for t, _ in rows],
             np.array([
-                np.bincount(np.concatenate([np.empty(0, np.int64), *[t for (t, _), of in zip(rows, y) if of == label]]), minlength=len(idf))
+                np.bincount(np.concatenate([np.empty(0, np.int32), *[t for (t, _), of in zip(rows, y) if of == label]]), minlength=len(idf))
                 for label in (0, 1)
             ]),
             np.array([(y == label).sum() for label in (0, 1)]),
+            np.zeros(len(idf), np.int64),
         )
 
     def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """The bank's words in a text, and their weights in its vector of length 1."""
-        words = Counter(alnum_words(text))
-        known = [(self.numbers[w], n) for w, n in words.items() if w in self.numbers]
-        outside = np.array([n for w, n in words.items() if w not in self.numbers], float)
-        terms = np.array([t for t, _ in known], np.int64)
-        weights = (1 + np.log(np.array([n for _, n in known], float))) * self.idf[terms]
+        words, get = Counter(alnum_words(text)), self.numbers.get
+        terms = np.array([get(w, -1) for w in words], np.int64)
+        weights = 1 + np.log(np.fromiter(words.values(), float, len(words)))
+        known = terms >= 0
+        outside = weights[~known] * self.unknown
+        terms, weights = terms[known], weights[known] * self.idf[terms[known]]
         # In the order of the words' numbers, so that equal texts and sums agree in every bit.
         order = np.argsort(terms)
         terms, weights = terms[order], weights[order]
-        square = np.square(weights).sum() + np.square(np.sort((1 + np.log(outside)) * self.unknown)).sum()
+        square = np.square(weights).sum() + np.square(np.sort(outside)).sum()
         return terms, weights / (np.sqrt(square) or 1.0)
 
     def nearest(self, texts: list[bytes | None], k: int, without: list[int] | None = None) -> list[tuple[Near, list]]:
@@ -173,10 +181,11 @@ class Index:
     def _telling(self, terms: np.ndarray, near: Near, own: int | None) -> np.ndarray:
         """How strongly the words that a text shares with its neighbours tell the labels apart, in
         standard deviations of their log odds in the bank, the strongest for label 1 first."""
-        theirs = np.zeros(len(self.idf), bool)
+        # Marks of earlier texts differ, so the words are marked without clearing them.
+        self.mark += 1
         for _, at in near:
-            theirs[self.words[at]] = True
-        shared = terms[theirs[terms]]
+            self.marks[self.words[at]] = self.mark
+        shared = terms[self.marks[terms] == self.mark]
         having, total = self.having[:, shared], self.having_any
         if own is not None:  # its own words would tell its label
             having, total = having.copy(), total.copy()
@@ -268,23 +277,24 @@ def score(
     # At most twice the bank's rows of two numbers: a bounded broadcast.
     chosen = keep(usable[0].unionByName(usable[1]))
     named = rows.join(F.broadcast(chosen), "_id").withColumn("_hash", F.xxhash64("_id", "_text", "_y"))
-    examples = lowest(named.select("_hash", "_id", "_text", "_y"), "_hash", 2 * bank).collect()
-    y = np.array([e["_y"] for e in examples], float)
-    texts = [None if e["_text"] is None else e["_text"].encode("utf-8", "replace") for e in examples]
-    index = spark.sparkContext.broadcast(Index.build(texts, y))
+    examples = keep(lowest(named.select("_hash", "_id", "_text", "_y"), "_hash", 2 * bank))
+    held = examples.orderBy("_hash").toArrow()
+    y, hashes = held["_y"].to_numpy(), held["_hash"].to_numpy()
+    ids = [str(i) for i in held["_id"].to_pylist()]
+    index = spark.sparkContext.broadcast(Index.build(_Texts(held["_text"]), y))
+    del held
 
     @F.arrow_udf("array<double>")
-    def left_out(places: pa.Array, own: pa.Array) -> pa.Array:
-        near = _in_batches(index.value, list(utf8(own)), neighbours, places.to_pylist())
+    def left_out(own: pa.Array, texts: pa.Array) -> pa.Array:
+        places = np.searchsorted(hashes, own.to_numpy()).tolist()
+        near = _in_batches(index.value, list(utf8(texts)), neighbours, places)
         return pa.array([features(*n, neighbours) for n in near], pa.list_(pa.float64()))
 
-    held = [(i, e["_text"]) for i, e in enumerate(examples)]
-    bank_rows = spark.createDataFrame(held, "place long, text string").repartition(8)
-    found = bank_rows.select("place", left_out("place", "text").alias("x")).collect()
-    x = np.array([r["x"] for r in sorted(found, key=lambda r: r["place"])]).reshape(len(y), _FEATURES)
+    found = examples.repartition(8).select("_hash", left_out("_hash", "_text").alias("x")).toArrow()
+    found = found.sort_by("_hash")["x"].to_pylist()
+    x = np.array(found, float).reshape(len(y), _FEATURES)
     calibration = fit_additive(x, y, bins=32, rounds=80, pairs=0)
     shift = _prior(labels, label, id_col, modulus, remainder) - _log_odds(y.sum(), len(y))
-    ids = [str(e["_id"]) for e in examples]
     scored = _scorer(index, spark.sparkContext.broadcast((calibration, ids)), shift, neighbours)
     return rows.select("_id", scored("_text").alias("_s")).select(
         F.col("_id").alias(id_col),
@@ -295,6 +305,23 @@ def score(
     )
 
 
+class _Texts(Sequence):
+    """A column of texts as UTF-8, one Python object at a time."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        self._column = column
+
+    def __len__(self) -> int:
+        return len(self._column)
+
+    def __getitem__(self, at: int) -> bytes | None:
+        return self._column[at].as_buffer().to_pybytes() if self._column[at].is_valid else None
+
+    def __iter__(self):
+        for chunk in self._column.chunks:
+            yield from utf8(chunk)
+
+
 def _in_batches(index: Index, texts: list[bytes | None], k: int, without: list[int] | None = None):
     for at in range(0, len(texts), _TOGETHER):
         own = None if without is None else without[at : at + _TOGETHER]
