@@ -19,7 +19,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.llm.bitmaps import bitmap, passes
 from revlens.llm.components import connected
@@ -237,9 +237,9 @@ def _entries(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFra
     rows = members.select("class", "_m", "n", "prefix").join(heads, ["class", "_m"])
     rows = rows.select("c", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "t"))
     groups = rows.groupBy("t").agg(F.count("*").alias("size")).where("size > 1").select("t")
-    found = keep(rows.join(groups, "t"))
-    met = keep(found.groupBy("c").agg(F.count("*").alias("met")))
-    entries = found.join(met, "c")
+    # A class has as many entries as its prefix has tokens, so no window is large.
+    met = F.count("*").over(Window.partitionBy("c"))
+    entries = keep(rows.join(groups, "t").withColumn("met", met))
     alone = (F.col("p") - F.col("met")).alias("alone")
     hub = F.min(F.struct(alone, "c", "n", "pos", "met")).alias("hub")
     return entries.drop("p"), keep(entries.groupBy("t").agg(hub))
