@@ -16,8 +16,8 @@ SQL: dict[str, str] = {
           (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1, 6),
           (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
           (2, 'hex', '[0-9a-f]+', 0, 24),
-          (3, 'private_key', '-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----', 0, 1),
-          (4, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0, 1),
+          (3, 'private_key', '-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----', 0, 1),
+          (4, 'jwt', '(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})', 1, 1),
           (5, 'prefixed', '(?:gh[pousr]_|github_pat_|xox[abprs]-|sk_live_|glpat-)[A-Za-z0-9_-]{16,}', 0, 1),
           (6, 'url_login', '[a-z][a-z0-9+.-]{1,9}://[^\x00-\x20/:@]{1,64}:[^\x00-\x20/:@]{6,256}@', 0, 1)),
         found AS (
@@ -29,9 +29,10 @@ SQL: dict[str, str] = {
           SELECT *, list_transform(b, lambda x: length(x)) AS bl, list_transform(m, lambda x: length(x)) AS ml,
             unnest(range(1, len(m) + 1)) AS k FROM found),
         spans AS (
-          SELECT doc_id, o, kind, (list_sum(bl[1:k]) + coalesce(list_sum(ml[1:k - 1]), 0))::BIGINT AS s, ml[k] AS size
+          SELECT doc_id, o, kind, (list_sum(bl[1:k]) + coalesce(list_sum(ml[1:k - 1]), 0))::BIGINT AS p, ml[k] AS size,
+            CASE kind WHEN 'jwt' THEN ml[k] - length(v[k]) ELSE 0 END AS skipped
           FROM numbered WHERE length(v[k]) >= least),
-        said AS (SELECT *, concat(kind, ':', s, ':', s + size) AS span FROM spans)
+        said AS (SELECT *, p + skipped AS s, concat(kind, ':', p + skipped, ':', p + size) AS span FROM spans)
         SELECT d.doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access,
           count(*) FILTER (o = 2) AS n_hex,
           sha256(coalesce(string_agg(span, ',' ORDER BY s, o) FILTER (o < 3), '')) AS base_sha256,

@@ -10,12 +10,13 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.llm.text import text_of
 from revlens.sources.tables import keep
 
 SPAN = "array<struct<kind:string,start:long,end:long>>"
+_MATCHES = "array<struct<before:long,size:long,value:long>>"
 LEDGER = f"blob string, rule string, findings {SPAN}"
 
 
@@ -61,40 +62,39 @@ def blob_id(text_col: str) -> Column:
     return F.sha2(text_of(text_col).cast("binary"), 256)
 
 
-def _spans(rule: Rule, text: Column) -> Column:
-    """A rule's findings in a text, in order; offsets count code points.
+def _matches(rule: Rule, text: Column) -> Column:
+    """A rule's matches in a text, in order: characters since the one before, own, of the value.
 
     Spark gives matches without offsets. The pieces between them, from splitting at the
     same expression, give the lengths that add up to each offset.
     """
-    pattern = F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    value = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
+    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     between = F.split(text, rule.pattern, -1)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def add(state: Column, x: Column) -> Column:
-        first = state["at"] + x["before"]
-        last = first + x["size"]
-        here = F.struct(F.lit(rule.kind).alias("kind"), first.alias("start"), last.alias("end"))
-        grown = F.concat(state["out"], F.array(here))
-        return F.struct(
-            last.alias("at"), F.when(x["value"] >= rule.least, grown).otherwise(state["out"]).alias("out")
-        )
 
     def length(x: Column) -> Column:
         return F.length(x).cast("long")
 
+    # Each list is made once a text; the pieces are one more than the matches.
+    zipped = F.filter(F.arrays_zip(found, value, between), lambda x: x["0"].isNotNull())
     matches = F.transform(
-        found,
-        lambda m, i: F.struct(
-            length(m).alias("size"),
-            length(F.get(value, i)).alias("value"),
-            length(F.get(between, i)).alias("before"),
-        ),
+        zipped,
+        lambda x: F.struct(length(x["2"]).alias("before"), length(x["0"]).alias("size"), length(x["1"]).alias("value")),
     )
-    spans = F.aggregate(matches, start, add, lambda state: state["out"])
-    return F.when(text.rlike(rule.pattern), spans).otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(rule.pattern), matches).otherwise(F.array().cast(_MATCHES))
+
+
+def _findings(matches: DataFrame) -> DataFrame:
+    """(blob, rule, ``findings``) from a row per match; offsets count code points.
+
+    The rows of a blob lie in one partition already, so the running sum of lengths only
+    sorts them, and its time is linear in the matches.
+    """
+    so_far = Window.partitionBy("blob", "rule").orderBy("at")
+    last = F.sum(F.col("m.before") + F.col("m.size")).over(so_far)
+    placed = matches.withColumn("end", last).withColumn("start", F.col("end") - F.col("m.size"))
+    here = F.when(F.col("m.value") >= F.col("least"), F.struct("kind", "start", "end"))
+    return placed.groupBy("blob", "rule").agg(F.sort_array(F.collect_list(here)).cast(SPAN).alias("findings"))
 
 
 def scan(
@@ -133,19 +133,20 @@ def scan(
                 *[
                     F.struct(
                         F.lit(r.version).alias("rule"),
-                        F.when(F.array_contains("_todo", r.version), _spans(r, F.col("_text"))).alias(
-                            "findings"
-                        ),
+                        F.lit(r.kind).alias("kind"),
+                        F.lit(r.least).alias("least"),
+                        F.when(F.array_contains("_todo", r.version), _matches(r, F.col("_text"))).alias("found"),
                     )
                     for r in rules
                 ]
             )
         ).alias("_r"),
     )
-    new = keep(
-        scanned.select("blob", F.col("_r.rule").alias("rule"), F.col("_r.findings").alias("findings"))
-        .where(F.col("findings").isNotNull())
+    # A pair without a match keeps one row, as the ledger has to name it.
+    matches = scanned.where(F.col("_r.found").isNotNull()).select(
+        "blob", "_r.rule", "_r.kind", "_r.least", F.posexplode_outer("_r.found").alias("at", "m")
     )
+    new = keep(_findings(matches))
     known = new if ledger is None else new.unionByName(ledger.select("blob", "rule", "findings"))
     order = F.map_from_arrays(
         F.array(*[F.lit(r.kind) for r in rules]), F.array(*[F.lit(i) for i in range(len(rules))])

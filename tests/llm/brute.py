@@ -172,3 +172,46 @@ def targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
         if not over:
             return out
         full |= over
+
+
+def quality_features(text):
+    data = (text or "").encode()
+    words, lines = SPACED.findall(data), [x for x in data.split(b"\n") if SPACED.search(x)]
+    n, size = max(1, len(words)), max(1, len(data))
+    runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    def share(wanted):
+        return sum(chr(b) in wanted for b in data) / size
+
+    return [
+        math.log(1 + len(words)),
+        sum(len(w) for w in words) / n,
+        share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        share("0123456789"),
+        share(".,;:?"),
+        share("#*$%&|<>=_~^@{}[]\\"),
+        share("!"),
+        share("|"),
+        1 - sum(b < 128 for b in data) / size,
+        len(set(words)) / n,
+        max([words.count(w) for w in set(words)], default=0) / n,
+        1 - len(set(runs)) / len(runs) if runs else 0,
+        1 - len(set(lines)) / len(lines) if lines else 0,
+        n / max(1, len(lines)),
+        math.log(1 + max([len(w) for w in words], default=0)),
+        sum(len(w) == 1 for w in words) / n,
+    ]
+
+
+def additive(model, row):
+    """One score, entry by entry."""
+
+    def place(cuts, value):
+        return sum(c <= value for c in cuts)
+
+    total = model.base
+    for value, cuts, table in zip(row, model.cuts, model.tables):
+        total += table[place(cuts, value)]
+    for (a, b), table in zip(model.pairs, model.pair_tables):
+        total += table[place(model.pair_cuts[a], row[a])][place(model.pair_cuts[b], row[b])]
+    return 1 / (1 + math.exp(-total))

@@ -113,6 +113,11 @@ def test_only_unseen_pairs_are_scanned(odd, spark):
 
 
 def test_long_runs_of_secrets(spark):
+    many = "secret=short api_key: 'abcdef0123456789abcdef01' \U0001f600 " * 50_000
+    found, _ = secrets.scan(spark.createDataFrame([(1, many)], "doc_id long, text string"))
+    spans = found.first().findings
+    assert len(spans) == 100_000 and spans[-1].end == 49_999 * 51 + 47
+    assert [(s.kind, s.start) for s in spans[:2]] == [("assign", 13), ("hex", 23)]
     header, token = "-----BEGIN ", "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
     texts = [header + "AB " * 100_000, "eyJ" * 100_000, f"x={token} {header}EC PRIVATE KEY-----", "-" * 300_000]
     found, _ = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
@@ -120,6 +125,42 @@ def test_long_runs_of_secrets(spark):
     assert kinds == {0: [], 1: [], 2: ["jwt", "private_key"], 3: []}
 
 
+def test_operator_and_sql_have_the_same_rules(spark):
+    """Texts that tell close variants of the added rules apart, and many findings in one text."""
+    token = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
+    texts = [
+        f"jwt_{token}", f"{token} {token}", f"x={token},{token}", f"é {token}{token}", token, f"-{token}",
+        "-----BEGIN A B C D PRIVATE KEY-----", "-----BEGIN A B C D E PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----",
+        f"-----BEGIN {'A' * 21} PRIVATE KEY-----", "ftp://user:password1@host token=abcdef", "ghp_" + "a1" * 12, None, "",
+        "secret=short api_key: 'abcdef0123456789abcdef01' \U0001f600 " * 300,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, _ = secrets.scan(docs)
+    rows = [(r.doc_id, ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.findings)) for r in found.collect()]
+    db = duckdb.connect()
+    frame = docs.toPandas()
+    db.register("documents", frame)
+    from revlens.llm import oracle
+
+    same(rows, db.sql(f"SELECT doc_id, spans FROM ({oracle.SQL['op2_secret_ledger']})").fetchall())
+    assert dict(rows)[0] == "" and dict(rows)[1].count("jwt") == 2 and dict(rows)[6] and not dict(rows)[7]
+
+
+@needs_data
+def test_the_second_step_of_the_query_scans_new_rules_only(spark, monkeypatch):
+    scanned = []
+    scan = secrets.scan
+
+    def watched(*args, **kwargs):
+        result = scan(*args, **kwargs)
+        scanned.append({r.rule.split(":")[0] for r in result[1].select("rule").distinct().collect()})
+        return result
+
+    monkeypatch.setattr(secrets, "scan", watched)
+    queries.REGISTERED["op2_secret_ledger"](spark, SF)
+    assert scanned == [{r.kind for r in secrets.BASE}, {r.kind for r in secrets.ADDED}]
+
+
 # Personal data.
 
 
@@ -247,6 +288,40 @@ def test_classifiers_odd(odd, none, labels, score):
     assert {r.score for r in score(odd, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_features_beside_plain_counts(odd_texts):
+    for text in [*odd_texts, "A b. A b.\nA b. A b.\n\nx é! 1|2", "One one a a a a a a"]:
+        assert quality.features(text) == pytest.approx(brute.quality_features(text))
+
+
+def test_additive_scores_beside_plain_sums():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(6)
+    x = np.array([[rng.random(), rng.choice([0, 1, 2]), rng.gauss(0, 1)] for _ in range(400)])
+    y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0)).astype(float)
+    model = quality.fit_additive(x, y)
+    scores = model.score(x)
+    assert scores == pytest.approx([brute.additive(model, row) for row in x.tolist()])
+    assert model.pairs and ((scores > 0.5) == y).mean() > 0.85
+
+
+def test_quality_takes_the_same_examples_in_any_order(spark):
+    """One id with very many rows and labels doesn't push others out, nor does the order of rows."""
+    rows = [(i, ("fine words stand here " if i % 2 else "# | ! ") * (i % 7 + 1)) for i in range(200)]
+    rows += [(3, f"copy {i}") for i in range(300)] + [(3, "copy 0")] * 300
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    found = [
+        sorted(map(tuple, quality.score(docs, labels, sample=150).select("doc_id", "score").collect()))
+        for docs in (
+            spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+            spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(7),
+        )
+    ]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 @needs_data
 @pytest.mark.parametrize(
     "name, label, modulus, remainder", [("op6_quality_additive", "quality", 5, 0), ("op8_toxicity_neighbours", "toxic", 4, 2)]
