@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from revlens.llm.boosting import Additive, fit_additive
 from revlens.llm.text import SPACED_BYTES, held_out, lowest
 
-#: Labelled rows that the model is fitted on at most, taken in the order of a hash.
+#: Labelled ids, and examples, that the model is fitted on at most, taken in the order of a hash.
 SAMPLE = 20_000
 
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -90,10 +90,11 @@ def score(
     """One row per input row: the id, ``held_out``, ``score``, ``predicted``, ``carried`` columns.
 
     The model learns from ids whose CRC-32 modulo ``modulus`` is not ``remainder``, from
-    at most ``sample`` labelled rows; nothing but the text enters a score. Null texts
-    score as empty ones. Labels of other values and of unknown ids are passed over; an
-    id with several labels or several texts gives an example for each, a repeated label row none. Without labels
-    the score is 0.5; with one label only, it is that label's share.
+    at most ``sample`` labelled ids and from at most ``sample`` examples of them, both in
+    the order of a hash, so that reruns agree; nothing but the text enters a score. Null
+    texts score as empty ones. Labels of other values and of unknown ids are passed over;
+    an id with several labels or several texts gives an example for each, repeated rows
+    give one. Without labels the score is 0.5; with one label only, it is that label's share.
     """
     rows = docs.select(
         F.col(id_col).alias("_id"),
@@ -102,7 +103,9 @@ def score(
     )
     # A bounded broadcast; the other texts are looked at once, when they are scored.
     chosen = F.broadcast(labelled(labels, label, id_col, modulus, remainder, sample))
-    seen = rows.join(chosen, "_id").select("_y", _features("_text").alias("x")).limit(2 * sample).toPandas()
+    hashed = F.xxhash64("_id", "_text").alias("_hash")
+    examples = rows.join(chosen, "_id").select(hashed, "_y", _features("_text").alias("x"))
+    seen = lowest(examples, "_hash", sample).toPandas()
     x = np.array(seen["x"].tolist(), float).reshape(len(seen), len(FEATURES))
     scores = _scorer(fit_additive(x, seen["_y"].to_numpy(float)))
     return rows.withColumn("score", scores("_text")).select(
