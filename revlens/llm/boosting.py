@@ -21,6 +21,12 @@ def edges(values: np.ndarray, bins: int) -> np.ndarray:
     return np.unique(np.quantile(values, np.arange(1, bins) / bins))
 
 
+def borders(values: np.ndarray, bins: int) -> np.ndarray:
+    """``edges``, but between all values where they are few, so that rare ones stand apart."""
+    distinct = np.unique(values)
+    return distinct[1:] if len(distinct) <= bins else edges(values, bins)
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -155,7 +161,7 @@ def fit_trees(
     model = Trees(start(y), depth, rate)
     if not len(y) or y.min() == y.max():
         return model
-    cuts = [edges(x[:, j], bins) for j in range(x.shape[1])]
+    cuts = [borders(x[:, j], bins) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], side="right") for j, c in enumerate(cuts)], 1)
     score = np.full(len(y), model.base)
     inner = 2**depth - 1
