@@ -24,18 +24,40 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-# Notices as their licenses word them, with markup for what may vary.
+# Notices and references as their licenses word them, without punctuation, with
+# markup for titles, copyright lines, holders, list bullets and what else may vary.
+_BSD_START = (
+    "redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met [[{{1..1}}]] redistributions of source code must "
+    "retain the above copyright notice this list of conditions and the following disclaimer "
+    "[[{{1..1}}]] redistributions in binary form must reproduce the above copyright notice this list "
+    "of conditions and the following disclaimer in the documentation and or other materials provided "
+    "with the distribution"
+)
+_GNU_START = (
+    "free software [[{{1..1}}]] you can redistribute it and or modify it under the terms of the gnu"
+)
 TEMPLATES = (
+    ("mit", "spdx license identifier mit"),
     ("mit", "[[this {{1..4}} is]] released under the [[terms of the]] mit license"),
     ("mit", "licensed under the [[terms of the]] mit license"),
     (
         "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this "
-        "{{1..8}} to deal in the {{1..4}} without restriction including without limitation the "
-        "rights to use copy modify merge publish distribute sublicense and or sell copies of the "
-        "{{1..4}} and to permit persons to whom the {{1..4}} is furnished to do so subject to the "
-        "following conditions",
+        "[[mit license]] [[copyright {{1..12}}]] permission is hereby granted free of charge to any "
+        "person obtaining a copy of this {{1..8}} to deal in the {{1..4}} without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute "
+        "sublicense and or sell copies of the {{1..4}} and to permit persons to whom the {{1..4}} is "
+        "furnished to do so subject to the following conditions",
     ),
+    (
+        "mit",
+        "provided as is without warranty of any kind express or implied including but not limited to "
+        "the warranties of merchantability fitness for a particular purpose and noninfringement in no "
+        "event shall the {{1..8}} or copyright holders be liable for any claim damages or other "
+        "liability whether in an action of contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software",
+    ),
+    ("apache-2", "spdx license identifier apache 2 0"),
     ("apache-2", "[[this {{1..4}} is]] licensed under the apache license version 2 [[0]]"),
     (
         "apache-2",
@@ -43,35 +65,118 @@ TEMPLATES = (
         "of the license at {{1..12}}]]",
     ),
     (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are "
-        "permitted provided that the following conditions are met",
+        "apache-2",
+        "unless required by applicable law or agreed to in writing software distributed under the "
+        "license is distributed on an as is basis without warranties or conditions of any kind either "
+        "express or implied [[see the license for the specific language governing permissions and "
+        "limitations under the license]]",
     ),
+    ("bsd", "[[bsd {{1..1}} clause license]] [[copyright {{1..12}}]] redistribution and use in source and "
+            "binary forms with or without modification are permitted provided that the following "
+            "conditions are met"),
+    ("bsd-2-clause", "spdx license identifier bsd 2 clause"),
+    ("bsd-2-clause", _BSD_START + " this software is provided by {{1..12}} as is and any express or implied "
+                     "warranties"),
+    ("bsd-3-clause", "spdx license identifier bsd 3 clause"),
+    ("bsd-3-clause", _BSD_START + " [[{{1..1}}]] neither the name of {{1..12}} nor the names of [[its]] "
+                     "[[the]] contributors may be used to endorse or promote products derived from this "
+                     "software without specific prior written permission"),
+    ("isc", "spdx license identifier isc"),
     (
         "isc",
-        "permission to use copy modify and or distribute this software for any purpose with or "
-        "without fee is hereby granted",
+        "[[isc license]] [[copyright {{1..12}}]] permission to use copy modify and [[or]] distribute this "
+        "software for any purpose with or without fee is hereby granted [[provided that the above "
+        "copyright notice and this permission notice appear in all copies]]",
     ),
+    ("gpl", "spdx license identifier gpl {{2..4}}"),
     (
         "gpl",
         "[[this {{1..4}} is]] licensed under the gnu general public license [[as published by "
         "the free software foundation]] [[version {{1..2}}]]",
     ),
+    ("gpl", "under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", _GNU_START + " general public license as published by the free software foundation"),
+    ("gpl", "gnu general public license version {{1..2}} {{2..3}}"),
+    ("lgpl", "spdx license identifier lgpl {{2..4}}"),
+    ("lgpl", "gnu lesser general public license version {{1..2}} {{2..3}}"),
+    ("lgpl", "licensed under the gnu lesser general public license [[version {{1..2}}]]"),
+    ("lgpl", "licensed under the gnu library general public license [[version {{1..2}}]]"),
     (
-        "gpl",
-        "under the terms of the gnu [[affero]] [[lesser]] general public license as published by "
-        "the free software foundation",
+        "lgpl",
+        "under the terms of the gnu lesser general public license as published by the free software "
+        "foundation",
     ),
+    ("agpl", "spdx license identifier agpl {{2..4}}"),
+    ("agpl", "licensed under the gnu affero general public license [[version {{1..2}}]]"),
+    (
+        "agpl",
+        "under the terms of the gnu affero general public license as published by the free software "
+        "foundation",
+    ),
+    ("agpl", "gnu affero general public license version {{1..2}} {{2..3}}"),
+    ("mpl-2", "spdx license identifier mpl 2 0"),
     (
         "mpl-2",
-        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 [[if a copy "
+        "of the mpl was not distributed with this file you can obtain one at {{1..8}}]]",
+    ),
+    ("epl-2", "spdx license identifier epl 2 0"),
+    (
+        "epl-2",
+        "accompanying materials are made available under the terms of the eclipse public license [[v]] "
+        "[[version]] 2 0",
+    ),
+    ("boost", "spdx license identifier bsl 1 0"),
+    ("boost", "distributed under the boost software license version 1 0 [[see {{1..12}}]]"),
+    (
+        "boost",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of "
+        "the software and accompanying documentation covered by this license",
+    ),
+    ("unlicense", "spdx license identifier unlicense"),
+    (
+        "unlicense",
+        "free and unencumbered software released into the public domain anyone is free to copy modify "
+        "publish use compile sell or distribute this software either in source code form or as a "
+        "compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+    ("zlib", "spdx license identifier zlib"),
+    (
+        "zlib",
+        "[[zlib license]] [[copyright {{1..12}}]] provided as is without any express or implied warranty in "
+        "no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following restrictions",
     ),
+    ("wtfpl", "spdx license identifier wtfpl"),
+    ("wtfpl", "do what the fuck you want to public license"),
+    ("cc0", "spdx license identifier cc0 1 0"),
+    ("cc0", "waived all copyright and related or neighboring rights to {{1..8}}"),
     ("cc-by-nc", "[[this {{1..4}} is]] licensed under [[a]] cc by nc [[sa]] [[nd]] [[{{1..2}}]]"),
     (
-        "cc-by",
-        "licensed under [[a]] creative commons attribution [[share alike]] [[{{1..2}}]] "
+        "cc-by-nc",
+        "licensed under [[a]] [[the]] creative commons attribution non commercial [[share alike]] "
+        "[[no derivatives]] [[{{1..2}}]] [[international]] license",
+    ),
+    (
+        "cc-by-nc",
+        "licensed under [[a]] [[the]] creative commons attribution noncommercial [[sharealike]] "
+        "[[noderivatives]] [[{{1..2}}]] [[international]] license",
+    ),
+    (
+        "cc-by-sa",
+        "licensed under [[a]] [[the]] creative commons attribution share alike [[{{1..2}}]] "
+        "[[international]] license",
+    ),
+    (
+        "cc-by-sa",
+        "licensed under [[a]] [[the]] creative commons attribution sharealike [[{{1..2}}]] "
         "[[international]] license",
     ),
+    (
+        "cc-by",
+        "licensed under [[a]] [[the]] creative commons attribution [[{{1..2}}]] [[international]] license",
+    ),
 )
 
 

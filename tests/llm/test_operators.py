@@ -303,6 +303,63 @@ def test_templates():
     assert scanner("under the mit license under the mit license")[1:5] == (2, 0, 4, ["mit"])
 
 
+def expansions(markup, rng, several=6):
+    """Texts of a template: with all, none and random ones of its optional regions, free
+    regions at least, most and random length. Yields (words, places of mandatory words)."""
+    import re
+
+    parts = re.findall(r"\[\[|\]\]|\{\{\d+\.\.\d+\}\}|[^\s\[\]{}]+", markup)
+    for way in range(several):
+        words, mandatory, inside = [], [], []
+        for part in parts:
+            if part == "[[":
+                inside.append(way == 0 or way > 1 and rng.random() < 0.5)
+            elif part == "]]":
+                inside.pop()
+            elif all(inside):
+                if part.startswith("{{"):
+                    least, most = map(int, part[2:-2].split(".."))
+                    words += ["zz"] * (most if way == 0 else least if way == 1 else rng.randint(least, most))
+                else:
+                    mandatory += [len(words)] * (not inside)
+                    words.append(part)
+        yield words, mandatory
+
+
+@pytest.mark.parametrize("at", range(len(licenses.TEMPLATES)))
+def test_every_expansion_of_a_template_counts(at):
+    """By brute force; one changed mandatory word, and the template no longer matches."""
+    import random
+
+    rng = random.Random(at)
+    label, markup = licenses.TEMPLATES[at]
+    alone, together = licenses.Scanner([licenses.TEMPLATES[at]], {}), licenses.Scanner(licenses.TEMPLATES, licenses.BASE)
+    for words, mandatory in expansions(markup, rng):
+        said = " ".join(["before", *words, "after"])
+        assert alone(said)[5] == [label] and alone(said)[6] == 1
+        assert label in together(said.title())[5]
+        for i in {mandatory[0], mandatory[-1], rng.choice(mandatory)}:
+            changed = " ".join([*words[:i], "zz0", *words[i + 1 :], "after"])
+            assert alone(changed)[5] == [] and alone(changed)[6] < 1
+
+
+@pytest.mark.parametrize(
+    "said, labels",
+    [
+        ("SPDX-License-Identifier: GPL-2.0-or-later", ["gpl"]), ("// SPDX-License-Identifier: BSD-3-Clause", ["bsd-3-clause"]),
+        ("Licensed under the GNU Affero General Public License v3", ["agpl"]),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", ["lgpl"]),
+        ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ["gpl"]),
+        ("This is free and unencumbered software released into the public domain.", []),
+        ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", ["cc-by-nc"]),
+        ("licensed under a Creative Commons Attribution 4.0 International License", ["cc-by"]),
+        ("we met the following conditions and a license to use software", []), ("", []), (None, []),
+    ],
+)
+def test_notices(said, labels):
+    assert licenses.Scanner(licenses.TEMPLATES, licenses.BASE)(said)[5] == labels
+
+
 # Decontamination.
 
 
