@@ -24,7 +24,12 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality classifier predicts to be bad."""
+    """Drops what the quality classifier predicts to be bad.
+
+    A null text is judged as an empty one, and equal texts alike, so repeated rows stay or
+    go together; null ids stay like others. Without usable labels nothing goes. An empty
+    table stays empty; other columns than those of documents are left out.
+    """
     scored = quality.score(docs, table(spark, sf_dir, "labels"), carried=_CARRIED)
     return scored.where("predicted = 1").select(*COLUMNS)
 
@@ -32,26 +37,41 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document of each component of near duplicates, that with the smallest id.
 
-    Near duplicates share at least 80 % of their 5-word shingles.
+    Near duplicates share at least 80 % of their 5-word shingles. Null texts and texts
+    without words have none and all stay. Of repeated rows one stays; null ids come after
+    all others. An empty table stays empty; other columns are left out.
     """
     joined = jaccard.join(docs, width=NEAR_WORDS, percent=NEAR_PERCENT, carried=_CARRIED)
     return joined.where("keeper").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
+    """Drops documents that hold a benchmark passage.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together. Null or
+    wordless items hit nothing. An empty table stays empty; other columns are left out.
+    """
     found = contamination.scan(docs, table(spark, sf_dir, "benchmark"), carried=_CARRIED)
     return found.where("n_hit = 0").select(*COLUMNS)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in the texts; ``n_chars`` follows."""
+    """Replaces personal data in the texts; ``n_chars`` follows.
+
+    Every row stays, repeated ones too, and is treated by its text alone. Null texts stay
+    null with the ``n_chars`` they came with. Other columns are left out.
+    """
     clean = pii.redact(docs.select(*COLUMNS), pii.fit(docs))
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the mix of its source wants it."""
+    """Takes each document as often as the mix of its source wants it.
+
+    Texts without words, null ones too, add nothing to a source and are not taken. A null
+    source is a source of its own, last in order. Repeated rows are documents of their own,
+    each taken at most twice. An empty table stays empty; other columns are left out.
+    """
     mixed = mixing.mix(docs, extra=("text", "lang", "source", "n_chars")).where("copies > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return mixed.select(*COLUMNS, copies.alias("copy"))
