@@ -21,7 +21,7 @@ def test_stages(spark):
 
     single = {r.doc_id for r in stages["near_duplicates"](spark, docs, SF).collect()}
     ids = sorted(rows)
-    components = brute.jaccard([rows[i].text for i in ids])
+    components = brute.jaccard([rows[i].text for i in ids], width=5, percent=80)
     assert single == {ids[top] for _, top in components}
 
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
