@@ -8,8 +8,10 @@ dense table and multiplied for many texts at once; all others have postings in b
 examples with their largest weight per block. What a block can still reach is its best
 sum so far and the maxima of the postings to come; only blocks that can reach the k-th
 neighbour of their label are completed, so the neighbours are exact. Their similarities,
-by label and as distance-weighted votes, are calibrated to a score, and the neighbours
-themselves are the evidence.
+by label and as distance-weighted votes, and what the words and word beginnings shared with
+them tell of the label, are calibrated to a score, and the neighbours themselves are the
+evidence. The calibration is cross-fitted: it sees every example as a text whose whole fold,
+neighbours and counts alike, is missing, so no label is part of what it is learned from.
 """
 
 from __future__ import annotations
@@ -39,6 +41,12 @@ _SLACK = 1 + 1e-9
 #: Digits of a similarity, so that the order of a sum never shows.
 _DIGITS = 12
 _NEAREST = 5
+#: Parts of the bank for the calibration; an example belongs to one, whatever its label.
+FOLDS = 10
+#: Bytes of the beginnings of words that tell as words do.
+_BEGINNINGS = (3, 4, 5, 6, 7)
+#: How many examples must have a word or beginning, and the deviation that it must have.
+_LEAST, _TELLS = 5, 0.06
 
 Near = list[tuple[float, int]]
 
@@ -50,9 +58,17 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _deviations(having: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """The difference of a word's log odds in both labels, in its standard deviations."""
-    odds = np.log((having + 0.5) / (total[:, None] - having + 0.5))
-    return (odds[1] - odds[0]) / np.sqrt((1 / (having + 0.5)).sum(0))
+    """How far the shares of both labels that have a word differ from equal ones: the signed root
+    of the mean likelihood ratio, above 0 where label 1 has it more often."""
+    if not total.all():
+        return np.zeros(having.shape[1])
+
+    def entropy(p):
+        return -sum(x * np.log(np.where(x > 0, x, 1)) for x in (p, 1 - p))
+
+    share, weight = having / total[:, None], total / total.sum()
+    gain = entropy(weight @ share) - weight @ entropy(share)
+    return np.sign(share[1] - share[0]) * np.sqrt(np.maximum(gain, 0))
 
 
 @dataclass
@@ -80,10 +96,12 @@ class Index:
     first_posting: np.ndarray
     places: np.ndarray
     weights: np.ndarray
-    #: Words of every example, and how many examples of a label have a word.
-    words: list[np.ndarray]
-    having: np.ndarray
-    having_any: np.ndarray
+    #: By their first bytes and their length, 0 for whole words, the words and beginnings that tell.
+    #: Then those of every example, and by fold, the last for none, what they tell if the fold
+    #: is missing.
+    tellers: dict[bytes, dict[int, dict[bytes, int]]]
+    own: list[np.ndarray]
+    deviations: np.ndarray
     marks: np.ndarray
     mark: int = 0
 
@@ -103,15 +121,17 @@ class Index:
             weights = (1 + np.log(np.array(list(words.values()), float))) * idf[terms]
             rows.append((terms, weights / (np.linalg.norm(weights) or 1.0)))
 
+        tellers, own, deviations = _tellers(numbers, [t for t, _ in rows], y)
+
         # Examples of a label with the same heaviest word lie together, which keeps bounds tight.
         heaviest = np.array([t[w.argmax()] if len(t) else -1 for t, w in rows], np.int64)
         example, parts = np.empty(0, np.int64), []
         for label in (0, 1):
-            own = np.flatnonzero(y == label)
-            own = own[np.argsort(heaviest[own], kind="stable")]
-            parts.append((len(example), len(example) + len(own)))
-            filled = np.full(-(-len(own) // _BLOCK) * _BLOCK, -1)
-            filled[: len(own)] = own
+            of = np.flatnonzero(y == label)
+            of = of[np.argsort(heaviest[of], kind="stable")]
+            parts.append((len(example), len(example) + len(of)))
+            filled = np.full(-(-len(of) // _BLOCK) * _BLOCK, -1)
+            filled[: len(of)] = of
             example = np.concatenate([example, filled])
         place = np.full(len(texts), -1)
         place[example[example >= 0]] = np.flatnonzero(example >= 0)
@@ -136,19 +156,16 @@ class Index:
             blocks[starts],
             np.maximum.reduceat(weights, starts) if len(starts) else np.empty(0),
             np.append(starts, len(terms)),
-            places, weights,
-            [t for t, _ in rows],
-            np.array([
-                np.bincount(np.concatenate([np.empty(0, np.int32), *[t for (t, _), of in zip(rows, y) if of == label]]), minlength=len(idf))
-                for label in (0, 1)
-            ]),
-            np.array([(y == label).sum() for label in (0, 1)]),
-            np.zeros(len(idf), np.int64),
+            places, weights, tellers, own, deviations,
+            np.zeros(deviations.shape[1], np.int64),
         )
 
     def vector(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """The bank's words in a text, and their weights in its vector of length 1."""
-        words, get = Counter(alnum_words(text)), self.numbers.get
+        return self._vector(Counter(alnum_words(text)))
+
+    def _vector(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
+        get = self.numbers.get
         terms = np.array([get(w, -1) for w in words], np.int64)
         weights = 1 + np.log(np.fromiter(words.values(), float, len(words)))
         known = terms >= 0
@@ -160,11 +177,14 @@ class Index:
         square = np.square(weights).sum() + np.square(np.sort(outside)).sum()
         return terms, weights / (np.sqrt(square) or 1.0)
 
-    def nearest(self, texts: list[bytes | None], k: int, without: list[int] | None = None) -> list[tuple[Near, list]]:
+    def nearest(
+        self, texts: list[bytes | None], k: int, without: list[int] | None = None, folds: list[int] | None = None
+    ) -> list[tuple[Near, list]]:
         """Per text, for each label, (similarity, example) of its k nearest with a similarity above 0,
         nearest first, and what the words shared with them tell (``_telling``); ``without``
-        names an example per text that is passed over."""
-        vectors = [self.vector(t) for t in texts]
+        names an example per text that is passed over, ``folds`` a fold."""
+        words = [Counter(alnum_words(t)) for t in texts]
+        vectors = [self._vector(w) for w in words]
         queries = np.zeros((len(texts), len(self.dense)))
         for query, (terms, weights) in zip(queries, vectors):
             frequent = terms < len(self.dense)
@@ -172,30 +192,38 @@ class Index:
         sums = queries @ self.dense
         found = []
         for i, (terms, weights) in enumerate(vectors):
-            own = None if without is None else without[i]
-            gone = -1 if own is None else self.place[own]
+            fold = -1 if folds is None else folds[i]
+            gone = self.place[fold::FOLDS] if fold >= 0 else self.place[[] if without is None else [without[i]]]
             near = self._completed(sums[i], terms, weights, k, gone)
-            found.append((near, [self._telling(terms, side, own) for side in near]))
+            told = self._told(words[i])
+            found.append((near, [self._telling(told, side, fold) for side in near]))
         return found
 
-    def _telling(self, terms: np.ndarray, near: Near, own: int | None) -> np.ndarray:
-        """How strongly the words that a text shares with its neighbours tell the labels apart, in
-        standard deviations of their log odds in the bank, the strongest for label 1 first."""
+    def _telling(self, told: np.ndarray, near: Near, fold: int) -> np.ndarray:
+        """How strongly the words and beginnings that a text shares with its neighbours tell the
+        labels apart in the bank without the fold, the strongest for label 1 first."""
         # Marks of earlier texts differ, so the words are marked without clearing them.
         self.mark += 1
         for _, at in near:
-            self.marks[self.words[at]] = self.mark
-        shared = terms[self.marks[terms] == self.mark]
-        having, total = self.having[:, shared], self.having_any
-        if own is not None:  # its own words would tell its label
-            having, total = having.copy(), total.copy()
-            having[int(self.y[own])] -= 1
-            total[int(self.y[own])] -= 1
-        return np.sort(_deviations(having, total))[::-1]
-
-    def _completed(self, sims: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, gone: int) -> tuple[Near, Near]:
+            self.marks[self.own[at]] = self.mark
+        return np.sort(self.deviations[fold][told[self.marks[told] == self.mark]])[::-1]
+
+    def _told(self, words: Counter) -> np.ndarray:
+        """The words and beginnings of a text that tell."""
+        found, get = set(), self.tellers.get
+        for word in words:
+            for length, listed in get(word[: _BEGINNINGS[0]], _NONE).items():
+                at = listed.get(word[:length] if length else word)
+                if at is not None and length < len(word):
+                    found.add(at)
+        return np.array(sorted(found), np.int64)
+
+    def _completed(self, sims: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, gone: np.ndarray) -> tuple[Near, Near]:
         if not len(terms):
             return [], []
+        if len(gone):
+            sims = sims.copy()
+            sims[gone] = 0
         rare = terms >= len(self.dense)
         terms, weights = terms[rare], weights[rare]
         sizes = self.first_entry[terms + 1] - self.first_entry[terms]
@@ -203,19 +231,18 @@ class Index:
         blocks = self.block[entries]
         to_come = np.bincount(blocks, weights * self.highest[entries], len(sims) // _BLOCK)
         bounds = sims.reshape(-1, _BLOCK).max(1) + to_come
-        # What the k-th of a label has at least, its own place left out.
+        # What the k-th of a label has at least; places that are passed over count as 0.
         wanted = to_come > 0
         for start, stop in self.parts:
-            if stop - start > k + 1:
-                least = np.partition(sims[start:stop], stop - start - k - 1)[stop - start - k - 1]
+            if stop - start > k:
+                least = np.partition(sims[start:stop], stop - start - k)[stop - start - k]
                 part = slice(start // _BLOCK, -(-stop // _BLOCK))
                 wanted[part] &= bounds[part] * _SLACK >= least
         own = wanted[blocks]
         first, n = self.first_posting[entries[own]], self.first_posting[entries[own] + 1] - self.first_posting[entries[own]]
         postings = _ranges(first, n)
         sims = sims + np.bincount(self.places[postings], self.weights[postings] * np.repeat(weights[own], n), len(sims))
-        if gone >= 0:
-            sims[gone] = 0
+        sims[gone] = 0
         near = []
         for start, stop in self.parts:
             part = np.round(sims[start:stop], _DIGITS)
@@ -228,10 +255,48 @@ class Index:
         return near[0], near[1]
 
 
+_NONE: dict[int, dict[bytes, int]] = {}
+
+
+def _tellers(numbers: dict[bytes, int], rows: list[np.ndarray], y: np.ndarray) -> tuple[dict, list, np.ndarray]:
+    """``tellers``, ``own`` and ``deviations`` of the index from the words of every example."""
+    df = np.bincount(np.concatenate([np.empty(0, np.int64), *rows]), minlength=len(numbers))
+    named: list[tuple[bytes, int]] = []
+    columns = []
+    for n in (0, *_BEGINNINGS):
+        heads: dict[bytes, int] = {}
+        ids = [heads.setdefault(w[:n] if n else w, len(heads)) if n < len(w) else -1 for w in numbers]
+        ids = np.array(ids, np.int64)
+        # The examples that have one are at most as many as have its words.
+        enough = np.bincount(ids[ids >= 0], df[ids >= 0], len(heads)) >= _LEAST
+        column = np.append(np.where(enough, len(named) + np.cumsum(enough) - 1, -1), -1)
+        columns.append(column[ids].astype(np.int32))
+        named += [(text, n) for text, i in heads.items() if enough[i]]
+    of_word = np.stack(columns, 1)
+    held = [np.unique(of_word[terms]) for terms in rows]
+    held = [terms[terms >= 0] for terms in held]
+    having, total = np.zeros((FOLDS, 2, len(named))), np.zeros((FOLDS, 2))
+    for i, (terms, label) in enumerate(zip(held, y)):
+        having[i % FOLDS, int(label), terms] += 1
+        total[i % FOLDS, int(label)] += 1
+    whole, n = having.sum(0), total.sum(0)
+    parts = [(whole - h, n - t) for h, t in zip(having, total)] + [(whole, n)]
+    deviations = np.array([np.where(h.sum(0) >= _LEAST, _deviations(h, t), 0) for h, t in parts])
+    deviations[np.abs(deviations) < _TELLS] = 0
+    kept = np.flatnonzero(deviations.any(0))
+    number = np.full(len(named), -1)
+    number[kept] = np.arange(len(kept))
+    tellers: dict[bytes, dict[int, dict[bytes, int]]] = {}
+    for at, (text, length) in enumerate(named):
+        if number[at] >= 0:
+            tellers.setdefault(text[: _BEGINNINGS[0]], {}).setdefault(length, {})[text] = int(number[at])
+    return tellers, [number[terms][number[terms] >= 0] for terms in held], deviations[:, kept]
+
+
 def features(near: tuple[Near, Near], telling: list[np.ndarray], k: int) -> list[float]:
     """What the calibration sees: the distance-weighted share of label 1 among the k nearest and how
     many there are; the highest similarity per label, the mean of the first ones, and margins; and
-    what the words shared with the neighbours of each label tell."""
+    what the words and beginnings shared with the neighbours of each label tell."""
     both = sorted([(sim, y) for y, side in enumerate(near) for sim, _ in side], reverse=True)[:k]
     weight = [1 / (1.0001 - min(sim, 1.0)) for sim, _ in both]
     share = sum(w * y for w, (_, y) in zip(weight, both)) / sum(weight) if both else -1.0
@@ -264,7 +329,7 @@ def score(
     per label; of ids with several texts or labels each pair is an example, up to twice
     the bank in all, by hash. Similarities are cosines of whole texts under weights fitted on the bank. The score follows from
     the text alone: equal texts score equally under any id, and an example is its own
-    neighbour; the calibration leaves every example out of its own neighbours. A text without
+    neighbour; the calibration sees no example of its own fold. A text without
     any word of an example, such as a null or empty one, gets the score of texts without
     neighbours. Without labels every score is 0.5. Repeated rows stay; other columns are left
     out.
@@ -287,7 +352,7 @@ def score(
     @F.arrow_udf("array<double>")
     def left_out(own: pa.Array, texts: pa.Array) -> pa.Array:
         places = np.searchsorted(hashes, own.to_numpy()).tolist()
-        near = _in_batches(index.value, list(utf8(texts)), neighbours, places)
+        near = _in_batches(index.value, list(utf8(texts)), neighbours, [at % FOLDS for at in places])
         return pa.array([features(*n, neighbours) for n in near], pa.list_(pa.float64()))
 
     found = examples.repartition(8).select("_hash", left_out("_hash", "_text").alias("x")).toArrow()
@@ -322,10 +387,10 @@ class _Texts(Sequence):
             yield from utf8(chunk)
 
 
-def _in_batches(index: Index, texts: list[bytes | None], k: int, without: list[int] | None = None):
+def _in_batches(index: Index, texts: list[bytes | None], k: int, folds: list[int] | None = None):
     for at in range(0, len(texts), _TOGETHER):
-        own = None if without is None else without[at : at + _TOGETHER]
-        yield from index.nearest(texts[at : at + _TOGETHER], k, own)
+        own = None if folds is None else folds[at : at + _TOGETHER]
+        yield from index.nearest(texts[at : at + _TOGETHER], k, folds=own)
 
 
 def _scorer(index, fitted, shift: float, k: int):

@@ -502,6 +502,36 @@ def test_nearest_per_label_beside_brute_force(dense):
         assert [sim for sim, _ in sides[1]] == pytest.approx([sim for sim, _ in own], abs=1e-9)
 
 
+def test_toxic_beginnings_of_words_never_seen(spark):
+    """What tells is the beginning of a word, each of them another one; all else is the same in both."""
+    import random
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(20, 60))) for _ in range(900)]
+    toxic = [rng.random() < 0.3 for _ in texts]
+    texts = [f"{t} lowei{i}x end" if bad else f"{t} plain{i}x end" for i, (t, bad) in enumerate(zip(texts, toxic))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(bad)) for i, bad in enumerate(toxic)], "doc_id long, toxic int")
+    rows = toxicity.score(docs, labels).where("held_out").collect()
+    caught, wrong = ([r.predicted for r in rows if toxic[r.doc_id] == which] for which in (True, False))
+    assert len(caught) > 40 and sum(caught) / len(caught) >= 0.9 and sum(wrong) / len(wrong) <= 0.05
+
+
+def test_toxicity_calibration_sees_no_label_of_its_own():
+    """Labels without any relation to the texts: neither label's examples look like the other's."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(200)}" for _ in range(30)).encode() for _ in range(600)]
+    y = np.array([i % 2 for i in rng.sample(range(600), 600)])
+    index = toxicity.Index.build(texts, y)
+    near = index.nearest(texts, 15, folds=[i % toxicity.FOLDS for i in range(600)])
+    x = np.array([toxicity.features(*n, 15) for n in near])
+    assert all(abs(x[y == 1, j].mean() - x[y == 0, j].mean()) < 0.35 * (x[:, j].std() or 1) for j in range(x.shape[1]))
+
+
 @needs_data
 def test_toxicity_of_equal_texts(spark):
     """The same text under an id of its own, without a label, scores the same."""
