@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 _ARROW = {"string": pa.string(), "double": pa.float64()}
+#: Rows of an Arrow batch whose calls and answers are Python objects at the same time.
+_SLICE = 64
 
 #: Value, name of the error.
 Result = tuple[Any, str | None]
@@ -168,20 +170,22 @@ def call_each(
 
     def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with _Workers(make, policy.in_flight) as workers:
-            for lists in batches:
-                sizes = pc.fill_null(pc.list_value_length(lists).cast(pa.int32()), 0)
-                ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], sizes.type), sizes]))
-                results = [
-                    r for group in workers.map(answers, groups(lists, ends.to_pylist())) for r in group
-                ]
-                found = pa.StructArray.from_arrays(
-                    [
-                        pa.array([value for value, _ in results], value_type),
-                        pa.array([error for _, error in results], pa.string()),
-                    ],
-                    names=["value", "error"],
-                )
-                yield pa.ListArray.from_arrays(ends, found)
+            for batch in batches:
+                for at in range(0, len(batch), _SLICE):
+                    lists = batch.slice(at, _SLICE)
+                    sizes = pc.fill_null(pc.list_value_length(lists).cast(pa.int32()), 0)
+                    ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], sizes.type), sizes]))
+                    results = [
+                        r for group in workers.map(answers, groups(lists, ends.to_pylist())) for r in group
+                    ]
+                    found = pa.StructArray.from_arrays(
+                        [
+                            pa.array([value for value, _ in results], value_type),
+                            pa.array([error for _, error in results], pa.string()),
+                        ],
+                        names=["value", "error"],
+                    )
+                    yield pa.ListArray.from_arrays(ends, found)
 
     # The hints are set here, as the module's own are text.
     ask.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}

@@ -127,3 +127,21 @@ def test_a_client_that_can_not_be_made_fails_the_job(spark):
 def test_unusable_settings(wrong):
     with pytest.raises(ValueError):
         Calls(**wrong)
+
+
+def test_a_batch_of_long_answers_is_not_held_at_once(spark):
+    """2,000 answers of 20 KB in one batch; what Python holds of them stays far below 40 MB."""
+
+    def make():
+        import tracemalloc
+
+        tracemalloc.start()
+        return lambda text: f"{tracemalloc.get_traced_memory()[0]:012d}".ljust(20_000, ".")
+
+    calls = F.array(F.struct(F.col("id").cast("string").alias("text")))
+    df = spark.range(0, 2_000, 1, 1)
+    held = call_each(df, Provider.batch(make), calls, ["text"], "_r", "string").select(
+        F.max(F.get("_r", F.lit(0))["value"].substr(1, 12).cast("long")), F.count("*")
+    )
+    most, rows = held.first()
+    assert rows == 2_000 and most < 10_000_000
