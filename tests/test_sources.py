@@ -211,6 +211,30 @@ def test_generated_reviews(load, spark):
     assert synth.generate(products, phrases, 137, 8).orderBy("seq").collect() != rows
 
 
+def test_reviews_made_range_by_range(load, spark):
+    """The same reviews, and no shuffle of an earlier range is left when the next one is made."""
+    products, phrases = load(content())
+    left = []
+
+    def shuffles():
+        folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(f.getName().startswith("shuffle_") for f in _listed(folder.getAllFiles()))
+
+    def finish(made):
+        left.append(shuffles())
+        return made
+
+    whole = synth.generate(products, phrases, 137, 7).orderBy("seq").collect()
+    table = synth.generate_table(products, phrases, 137, 7, finish, part_rows=20)
+    assert table.orderBy("seq").collect() == whole
+    assert len(left) == 7 and left[-1] <= left[1]
+    assert synth.generate_table(products, phrases, 0, 7, lambda made: made).count() == 0
+
+
+def _listed(files):
+    return [files.apply(i) for i in range(files.length())]
+
+
 @pytest.mark.parametrize("total", [1, 50, 97, 100, 123, 250])
 def test_quotas(spark, total):
     rows = synth.quotas(spark.createDataFrame([(0, total)], "plan int, total long")).orderBy("ord").collect()
