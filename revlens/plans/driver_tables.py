@@ -20,6 +20,8 @@ PARAMS = Params(target_languages=("fr", "de"), rules=RULES, engine="echo")
 HOT_PART = 101
 ENVELOPE_DOCS = 16
 LIBRARY_DOCS = 144
+#: Reviews of a large dataset file, what one task writes.
+FILE_RECORDS = 1 << 15
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,8 +223,8 @@ def envelopes(df: DataFrame, bare: bool) -> DataFrame:
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
-    """All reviews in one dataset file: a line per record, which the one task that writes
-    it holds one at a time."""
+    """All reviews in dataset files of ``FILE_RECORDS`` each, in order: a line per record, which the
+    one task that writes a file holds one at a time."""
     record = F.to_json(
         F.struct(
             "review_id", "product_id", "product_name", "source_language", "rating", "title", "body"
@@ -230,15 +232,25 @@ def write_dataset(df: DataFrame, path: str) -> None:
     )
     opening = f'{{"schema_version":"{fixed.SCHEMA_VERSION}","generated_at":"2026-01-01T00:00:00Z","reviews":['
     count = df.count()
+    place = F.col("position") - 1
+    last = (F.col("position") % FILE_RECORDS == 0) | (F.col("position") == count)
     lines = with_position(df.withColumn("_all", F.lit(0)), "_all", ["seq"]).select(
+        F.format_string("%012d", F.floor(place / FILE_RECORDS)).alias("file_no"),
         "position",
         F.concat(
-            F.when(F.col("position") == 1, opening).otherwise(""),
+            F.when(place % FILE_RECORDS == 0, opening).otherwise(""),
             record,
-            F.when(F.col("position") == count, "]}").otherwise(","),
+            F.when(last, "]}").otherwise(","),
         ).alias("value"),
     )
-    lines.repartition(1).sortWithinPartitions("position").select("value").write.text(path)
+    # More partitions than files, so that hardly a task gets several.
+    (
+        lines.repartition(4 * (1 + count // FILE_RECORDS), "file_no")
+        .sortWithinPartitions("file_no", "position")
+        .select("file_no", "value")
+        .write.partitionBy("file_no")
+        .text(path)
+    )
 
 
 def odd_records(df: DataFrame) -> DataFrame:

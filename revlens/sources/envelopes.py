@@ -81,6 +81,15 @@ def read_envelopes(
     return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
+def file_number(seq: str) -> Column:
+    """Which file a record is of, from 0 by name."""
+    return F.shiftright(seq, _FILE_SHIFT)
+
+
+def place_in_file(seq: str) -> Column:
+    return F.col(seq).bitwiseAND(F.lit((1 << _FILE_SHIFT) - 1))
+
+
 def _raise_for(problems: DataFrame) -> None:
     shown = problems.orderBy("file").limit(_SHOWN).collect()
     if shown:

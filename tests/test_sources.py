@@ -235,6 +235,21 @@ def _listed(files):
     return [files.apply(i) for i in range(files.length())]
 
 
+def test_large_dataset_is_several_files_in_order(spark, make_reviews, tmp_path, monkeypatch):
+    """No task writes or reads all records; ``seq`` goes on from file to file."""
+    from revlens.plans import driver_tables as driver, queries
+
+    monkeypatch.setattr(driver, "FILE_RECORDS", 4)
+    reviews = make_reviews(*[{"seq": 3 * i, "body": f"text {i} }} {{"} for i in range(11)]).repartition(3)
+    driver.write_dataset(reviews, str(tmp_path / "files"))
+    assert len(list((tmp_path / "files").glob("file_no=*/*.txt"))) == 3
+    monkeypatch.setattr(driver, "reviews", lambda *_: reviews)
+    rows = queries.read_envelope(spark, "unused").orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(11))
+    expected = [r[0] for r in reviews.orderBy("seq").selectExpr("md5(body)").collect()]
+    assert [r["body_md5"] for r in rows] == expected
+
+
 @pytest.mark.parametrize("total", [1, 50, 97, 100, 123, 250])
 def test_quotas(spark, total):
     rows = synth.quotas(spark.createDataFrame([(0, total)], "plan int, total long")).orderBy("ord").collect()
