@@ -27,6 +27,16 @@ def borders(values: np.ndarray, bins: int) -> np.ndarray:
     return distinct[1:] if len(distinct) <= bins else edges(values, bins)
 
 
+def borders_of_counts(values: np.ndarray, counts: np.ndarray, bins: int) -> np.ndarray:
+    """``borders`` of values that occur so often each; quantiles are values that occur."""
+    order = np.argsort(values)
+    values, reached = values[order], np.cumsum(counts[order])
+    if len(values) <= bins:
+        return values[1:]
+    at = np.searchsorted(reached, reached[-1] * np.arange(1, bins) / bins)
+    return np.unique(values[at])
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -154,20 +164,28 @@ class Trees:
         return sigmoid(total)
 
 
+#: Bins of a feature.
+BINS = 32
+
+
 def fit_trees(
-    x: np.ndarray, y: np.ndarray, depth: int = 3, rounds: int = 60, rate: float = 0.2, bins: int = 32
+    x: np.ndarray, y: np.ndarray, depth: int = 3, rounds: int = 60, rate: float = 0.2, bins: int = BINS,
+    weight: np.ndarray | None = None, cuts: list[np.ndarray] | None = None,
 ) -> Trees:
-    """Gradient boosting with second-order leaf values."""
-    model = Trees(start(y), depth, rate)
+    """Gradient boosting with second-order leaf values. A row counts ``weight`` times; ``cuts`` are
+    the borders of the bins, of the rows' own values by default."""
+    weight = np.ones(len(y)) if weight is None else weight
+    p = (weight @ y + 1) / (weight.sum() + 2)
+    model = Trees(float(np.log(p / (1 - p))), depth, rate)
     if not len(y) or y.min() == y.max():
         return model
-    cuts = [borders(x[:, j], bins) for j in range(x.shape[1])]
+    cuts = [borders(x[:, j], bins) for j in range(x.shape[1])] if cuts is None else cuts
     binned = np.stack([np.searchsorted(c, x[:, j], side="right") for j, c in enumerate(cuts)], 1)
     score = np.full(len(y), model.base)
     inner = 2**depth - 1
     for _ in range(rounds):
         p = sigmoid(score)
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
         node = np.zeros(len(y), np.int64)
         for level in range(depth):

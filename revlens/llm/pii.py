@@ -21,15 +21,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from revlens.llm.boosting import Trees, fit_trees
-from revlens.llm.text import held_out, lowest
+from revlens.llm.boosting import BINS, Trees, borders_of_counts, fit_trees
+from revlens.llm.text import held_out
+from revlens.sources.tables import keep
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("email_spelled", "ip6", "card_like", "phone_local", "ssn", "iban")
 KINDS = BASE_KINDS + ADDED_KINDS
 
-#: Candidates that the trees are fitted on at most, taken in the order of a hash.
-SAMPLE = 20_000
 _PRECISION = 0.95
 #: With fewer candidates of a kind to calibrate on, its check alone decides.
 _LEAST = 20
@@ -180,12 +179,13 @@ class Model:
         ]
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Model:
-    """Trees and thresholds from the candidates of all kinds in all texts.
+def fit(docs: DataFrame, text_col: str = "text") -> Model:
+    """Trees and thresholds from all different candidates of all kinds in all texts.
 
-    Of all different candidates at most ``sample`` are used, in the order of a hash; one
-    that occurs again with the same format and context counts once. Four fifths of them are
-    for the trees. The others set the threshold of each added kind: the lowest score from
+    One that occurs again with the same format and context counts once. The trees see a
+    feature by its bins alone, so candidates in the same bins are one row with their
+    number: the driver gets the values of each feature and the rows of bins with their
+    counts, never the candidates. Four fifths of them are for the trees. The others set the threshold of each added kind: the lowest score from
     which on no more than 5 % of what passes does so by chance (``CHANCE``). A kind with
     fewer than 20 of them is decided by its check alone, all kinds if there are no
     candidates; one that never gets below 5 % is not selected. ``phone_local`` is checked
@@ -208,21 +208,41 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Model:
     found = rows.mapInPandas(examples, "said string, kind string, passes boolean, x array<double>").select(
         F.xxhash64("said", "x").alias("hash"), "kind", "passes", "x", held_out("said", 5, 0).alias("calibrates")
     )
-    drawn = lowest(found, "hash", sample).toPandas()
+    # Written, as it is read for the borders of the bins and for the counts.
+    different = keep(found.distinct())
+    values = different.select(F.posexplode("x").alias("feature", "value")).groupBy("feature", "value").count().toPandas()
+    cuts = []
+    for j in range(len(FEATURES)):
+        own = values[values["feature"] == j]
+        cuts.append(borders_of_counts(own["value"].to_numpy(float), own["count"].to_numpy(float), BINS))
+
+    @F.pandas_udf("array<double>")
+    def binned(rows: pd.Series) -> pd.Series:
+        x = np.array(rows.tolist(), float).reshape(len(rows), len(FEATURES))
+        # A bin stands as its lower border.
+        x = [np.append(-1.0, c)[np.searchsorted(c, x[:, j], side="right")] for j, c in enumerate(cuts)]
+        return pd.Series(list(np.stack(x, 1)))
+
+    counted = different.select("kind", "passes", "calibrates", binned("x").alias("x"))
+    drawn = counted.groupBy("kind", "passes", "calibrates", "x").count().toPandas()
+    drawn = drawn.assign(_x=drawn["x"].map(tuple)).sort_values(["kind", "passes", "calibrates", "_x"])
     x = np.array(drawn["x"].tolist(), dtype=float).reshape(len(drawn), len(FEATURES))
     y, calibrates = drawn["passes"].to_numpy(float), drawn["calibrates"].to_numpy(bool)
-    trees = fit_trees(x[~calibrates], y[~calibrates])
+    n = drawn["count"].to_numpy(float)
+    trees = fit_trees(x[~calibrates], y[~calibrates], weight=n[~calibrates], cuts=cuts)
     scores = trees.score(x)
     own = {k: calibrates & (drawn["kind"] == k).to_numpy(bool) for k in ADDED_KINDS}
-    return Model(trees, {k: _threshold(scores[at], y[at], CHANCE[k]) for k, at in own.items()})
+    return Model(trees, {k: _threshold(scores[at], y[at], CHANCE[k], n[at]) for k, at in own.items()})
 
 
-def _threshold(scores: np.ndarray, y: np.ndarray, chance: float) -> float:
-    if len(y) < _LEAST:
+def _threshold(scores: np.ndarray, y: np.ndarray, chance: float, n: np.ndarray | None = None) -> float:
+    """From rows that stand for ``n`` candidates each, one by default."""
+    n = np.ones(len(y)) if n is None else n
+    if n.sum() < _LEAST:
         return 0.0
     order = np.argsort(-scores, kind="stable")
-    scores, passed = scores[order], np.cumsum(y[order])
-    by_chance = (np.arange(1, len(y) + 1) - passed) * chance / (1 - chance)
+    scores, passed, reached = scores[order], np.cumsum((n * y)[order]), np.cumsum(n[order])
+    by_chance = (reached - passed) * chance / (1 - chance)
     last_of_equals = np.append(scores[1:] != scores[:-1], True)
     good = np.flatnonzero(last_of_equals & (passed > 0) & (by_chance <= (1 - _PRECISION) * passed))
     return float(scores[good[-1]]) if len(good) else 2.0

@@ -399,6 +399,36 @@ def test_lowest_hashes(spark, most):
     assert lowest(df.limit(0), "h", most).count() == 0
 
 
+def test_personal_data_is_learned_from_all_candidates(spark):
+    """30,000 different candidates, more than a sample held; the model knows how many fail."""
+    import numpy as np
+
+    rows = [(i, f"card {4000000000000 + 7 * i} end") for i in range(30_000)]
+    found = [c for _, t in rows for c in pii.candidates(t) if c[0] != "phone_local"]
+    passes = {pii.digits_of(t[a:b]): ok for _, t in rows for kind, a, b, ok in pii.candidates(t) if kind != "phone_local"}
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    trained = [ok for said, ok in passes.items() if __import__("zlib").crc32(said.encode()) % 5]
+    p = (sum(trained) + 1) / (len(trained) + 2)
+    assert len(found) == 30_000 and model.trees.base == pytest.approx(np.log(p / (1 - p)), abs=1e-12)
+
+
+def test_counted_rows_fit_as_repeated_ones():
+    import numpy as np
+
+    from revlens.llm.boosting import borders, borders_of_counts, fit_trees
+
+    rng = np.random.default_rng(3)
+    x, n = rng.integers(0, 9, (60, 3)).astype(float), rng.integers(1, 6, 60)
+    y = ((x[:, 0] > 4) ^ (rng.random(60) < 0.1)).astype(float)
+    whole = fit_trees(np.repeat(x, n, 0), np.repeat(y, n))
+    cuts = [borders(x[:, j], 32) for j in range(3)]
+    counted = fit_trees(x, y, weight=n.astype(float), cuts=cuts)
+    assert counted.score(x) == pytest.approx(whole.score(x))
+    values, counts = np.unique(np.repeat(x[:, 0], n), return_counts=True)
+    assert list(borders_of_counts(values, counts, 32)) == list(cuts[0])
+    assert len(borders_of_counts(np.arange(500.0), np.ones(500), 32)) == 31
+
+
 @pytest.mark.parametrize("score", [quality.score, toxicity.score])
 def test_classifiers_odd(odd, none, labels, score):
     rows = score(odd, labels).collect()
