@@ -41,8 +41,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     without words have none and all stay. Of repeated rows one stays; null ids come after
     all others. An empty table stays empty; other columns are left out.
     """
-    joined = jaccard.join(docs, width=NEAR_WORDS, percent=NEAR_PERCENT, carried=_CARRIED)
-    return joined.where("keeper").select(*COLUMNS)
+    kept = jaccard.keepers(docs, width=NEAR_WORDS, percent=NEAR_PERCENT, carried=_CARRIED)
+    return kept.select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ the joins that follow are exact. Its size does not grow beyond ``MOST_BITS``.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 MOST_BITS = 1 << 26
@@ -35,3 +36,17 @@ def passes(words: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of the values (as unsigned 64-bit) may be in the set."""
     slot = values & np.uint64(len(words) * 64 - 1)
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
+def without(rows: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """Rows with none of the values of ``values`` in a long column, which is never null; only
+    rows that the bitmap lets pass are shuffled."""
+    words = rows.sparkSession.sparkContext.broadcast(bitmap(values, column))
+
+    @F.arrow_udf("boolean")
+    def may(numbers: pa.Array) -> pa.Array:
+        return pa.array(passes(words.value, numbers.to_numpy().view(np.uint64)))
+
+    marked = rows.withColumn("_may", may(column))
+    some = marked.where("_may").join(values.select(column), column, "left_anti")
+    return marked.where("not _may").unionByName(some).drop("_may")

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from revlens.llm.bitmaps import bitmap, passes
+from revlens.llm.bitmaps import bitmap, passes, without
 from revlens.llm.components import connected
 from revlens.llm.text import long_lists, slices, spaced_words, utf8
 from revlens.sources.tables import keep
@@ -96,6 +96,10 @@ def orders(rows: DataFrame, width: int) -> Orders:
     return Orders(found["t"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy(np.int64))
 
 
+def _prefix_length(n: Column, percent: int) -> Column:
+    return n - F.ceil(percent * n / 100) + 1
+
+
 def _needed(n: Column, m: Column, percent: int) -> Column:
     """The overlap that a link needs: the smallest whole number that reaches the share."""
     return F.floor((percent * (n + m) + (99 + percent)) / (100 + percent)).cast("long")
@@ -104,11 +108,8 @@ def _needed(n: Column, m: Column, percent: int) -> Column:
 def _shared_needed(n: Column, m: Column, percent: int) -> Column:
     """How many tokens the two prefixes of a linked pair share at least."""
 
-    def spare(k: Column) -> Column:
-        return -F.ceil(percent * k / 100) + 1
-
-    need = _needed(n, m, percent)
-    return F.least(spare(n) + need, spare(m) + need).cast("long")
+    spare = F.least(_prefix_length(n, percent) - n, _prefix_length(m, percent) - m)
+    return (spare + _needed(n, m, percent)).cast("long")
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
@@ -155,6 +156,52 @@ def join(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         *[F.col(c).alias(n) for c, n in zip(carried, names)],
     ).withColumn("_row", F.xxhash64(F.col("_id"), F.xxhash64("_text")))
+    members, labels = _labelled(rows, names, width, percent)
+    return members.join(labels, "class", "left").select(
+        F.col("_id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component")).alias("component_id"),
+        _keeper().alias("keeper"),
+        *[F.col(n).alias(c) for c, n in zip(carried, names)],
+    )
+
+
+def keepers(
+    docs: DataFrame, width: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
+    """The rows that ``join`` marks as keepers, as the id, the text and the ``carried`` columns.
+
+    No text is written; the texts are read again and joined with what goes. Rows are told apart by
+    64-bit hashes of these columns; of rows equal in all of them that have words, one stays at most.
+    """
+    given = [id_col, text_col, *(c for c in carried if c not in (id_col, text_col))]
+    rows = docs.select(
+        F.xxhash64(*[F.xxhash64(c) for c in given]).alias("_row"),
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
+        *[F.col(c).alias(f"_carried_{c}") for c in given[2:]],
+    )
+    members, labels = _labelled(rows, [], width, percent)
+    marked = members.select("_row", "_m", "class").join(labels, "class", "left")
+    counts = marked.groupBy("_row").agg(F.count_if(_keeper()).alias("stay"), F.count("*").alias("rows"))
+    going = keep(counts.where("stay < rows").select("_row", "stay"))
+    # Of a keeper that is repeated only one row stays; Spark shuffles the rows once for both joins.
+    one = rows.join(going.where("stay > 0"), "_row", "left_semi").dropDuplicates(["_row"])
+    return rows.join(going, "_row", "left_anti").unionByName(one).select(
+        F.col("_id").alias(id_col), F.col("_text").alias(text_col),
+        *[F.col(f"_carried_{c}").alias(c) for c in given[2:]],
+    )
+
+
+def _keeper() -> Column:
+    return F.col("class").isNull() | (F.col("_m") == F.col("_first"))
+
+
+def _labelled(
+    rows: DataFrame, names: list[str], width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Every row, without its text but with the columns ``names``, its number ``_m`` and its
+    class; and per class its component's id and the number of the row to keep."""
     known = rows.sparkSession.sparkContext.broadcast(orders(rows, width))
 
     @F.arrow_udf("n long, class binary, prefix array<long>")
@@ -180,9 +227,9 @@ def join(
             F.min("_row").alias("row"),
             F.first("n").alias("n"),
         )
-        .withColumn("c", F.monotonically_increasing_id())
+        .withColumn("c", F.col("head._m"))
     )
-    entries, hubs = _entries(members, classes)
+    entries, hubs = _entries(members, classes, percent)
     # Every class against the hub of its group.
     stars = entries.join(hubs, "t").select(F.struct("c", "n", "pos", "met").alias("x"), F.col("hub").alias("y"))
     stars = stars.where((F.col("x.c") != F.col("y.c")) & _possible("x", "y", percent))
@@ -216,33 +263,27 @@ def join(
     named = named.withColumn("root", F.coalesce("root", "part"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component"), F.min("head").alias("first"))
     labels = keep(named.drop("head").join(least, "root").select("class", "component", "first._m"))
-    labels = labels.withColumnRenamed("_m", "_first")
-    return members.join(labels, "class", "left").select(
-        F.col("_id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("_id")).otherwise(F.col("component")).alias("component_id"),
-        (F.col("class").isNull() | (F.col("_m") == F.col("_first"))).alias("keeper"),
-        *[F.col(n).alias(c) for c, n in zip(carried, names)],
-    )
+    return members, labels.withColumnRenamed("_m", "_first")
 
 
-def _entries(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _entries(members: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Prefix tokens that two classes or more have: token, class, size, place and ``met``, how many
     such tokens the class has; and per token the hub of its group.
 
     The hub is the class with the fewest prefix tokens of its own: what the others are
     copies of, if anything is. Only what is read again is written, and each of it once.
+    A class goes by the number of its head, so no prefix is shuffled but those of copies.
     """
-    heads = classes.select("class", "c", F.col("head._m").alias("_m"))
-    rows = members.select("class", "_m", "n", "prefix").join(heads, ["class", "_m"])
-    rows = rows.select("c", "n", F.size("prefix").alias("p"), F.posexplode("prefix").alias("pos", "t"))
+    others = members.select("class", "_m").join(classes.select("class", "c"), "class").where("_m != c")
+    heads = without(members.select("_m", "n", "prefix"), "_m", keep(others.select("_m")))
+    rows = heads.select(F.col("_m").alias("c"), "n", F.posexplode("prefix").alias("pos", "t"))
     groups = rows.groupBy("t").agg(F.count("*").alias("size")).where("size > 1").select("t")
     # A class has as many entries as its prefix has tokens, so no window is large.
     met = F.count("*").over(Window.partitionBy("c"))
     entries = keep(rows.join(groups, "t").withColumn("met", met))
-    alone = (F.col("p") - F.col("met")).alias("alone")
+    alone = (_prefix_length(F.col("n"), percent) - F.col("met")).alias("alone")
     hub = F.min(F.struct(alone, "c", "n", "pos", "met")).alias("hub")
-    return entries.drop("p"), keep(entries.groupBy("t").agg(hub))
+    return entries, keep(entries.groupBy("t").agg(hub))
 
 
 def _rooted(entries: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -286,8 +327,9 @@ def _verified(
     # A repeated row makes its set repeatedly; one is enough.
     made = keep(
         made.join(wanted, "row")
-        .groupBy("c")
+        .groupBy("row", "c")
         .agg(F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"))
+        .drop("row")
     )
     candidates = (
         pairs.join(made.select("c", F.col("prefix").alias("p")), "c")

@@ -80,3 +80,40 @@ def test_odd_rows(spark, name):
     assert set(corpus_pipeline.COLUMNS) <= set(stage(spark, odd, SF).columns)
     assert stage(spark, odd, SF).count() > 0
     assert stage(spark, odd.limit(0), SF).count() == 0
+
+
+def test_near_duplicates_leaves_one_of_repeated_rows(spark):
+    """Rows equal in all, in id and text or in text alone, null ids, wordless texts, other texts."""
+    text = " ".join(f"w{i}" for i in range(40))
+    near, other = f"{text} more", " ".join(f"v{i}" for i in range(40))
+    rows = [
+        *[(5, text, "en", "a", 1)] * 3, (5, text, "de", "a", 1), (5, text, None, "de", 1), (5, near, "en", "a", 1),
+        (6, text, "en", "a", 1), (None, near, "en", "a", 1), *[(7, other, "en", None, 2)] * 40,
+        *[(None, "one two", None, None, None)] * 2, *[(8, " ", "en", "a", 3)] * 2, *[(None, None, "en", "a", 4)] * 2,
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs.repartition(5), SF).collect()
+    linked = [tuple(r) for r in found if r.doc_id == 5]
+    assert len(linked) == 1 and linked[0] in rows
+    rest = sorted(map(repr, (tuple(r) for r in found if r.doc_id != 5)))
+    assert rest == sorted(map(repr, [rows[8], rows[48], *rows[50:]]))
+
+
+def test_near_duplicates_writes_no_texts(spark):
+    """What the stage keeps is smaller than the texts, which are neither kept nor sorted."""
+    word = spark.range(400).selectExpr("id AS doc_id", "id % 7 AS k").selectExpr(
+        "doc_id", "concat_ws(' ', transform(sequence(1, 20), i -> repeat(sha2(concat(doc_id, '-', i), 512), 9))) AS text",
+        "'en' AS lang", "'a' AS source", "1L AS n_chars",
+    )
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    docs = spark.read.schema(word.schema).parquet(written(word, folder / "texts_near"))
+    before = set(folder.glob("revlens-*"))
+    assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SF).count() == 400
+    kept = [f for d in set(folder.glob("revlens-*")) - before for f in d.glob("*.parquet")]
+    texts = [f for f in (folder / "texts_near").glob("*.parquet")]
+    assert 4 * sum(f.stat().st_size for f in kept) < sum(f.stat().st_size for f in texts)
+
+
+def written(df, path):
+    df.write.mode("overwrite").parquet(str(path))
+    return str(path)
