@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.llm.bitmaps import bitmap, passes, without
 from revlens.llm.components import connected
-from revlens.llm.text import long_lists, slices, spaced_words, utf8
+from revlens.llm.text import long_lists, piecewise, slices, small_batches, spaced_words, utf8
 from revlens.sources.tables import keep
 
 #: Frequent tokens that the orders know; they come from one text in ``_SAMPLED``. Both
@@ -156,7 +156,8 @@ def join(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         *[F.col(c).alias(n) for c, n in zip(carried, names)],
     ).withColumn("_row", F.xxhash64(F.col("_id"), F.xxhash64("_text")))
-    members, labels = _labelled(rows, names, width, percent)
+    with small_batches(docs.sparkSession):
+        members, labels = _labelled(rows, names, width, percent)
     return members.join(labels, "class", "left").select(
         F.col("_id").alias(id_col),
         F.col("n").alias("n_shingles"),
@@ -181,7 +182,8 @@ def keepers(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         *[F.col(c).alias(f"_carried_{c}") for c in given[2:]],
     )
-    members, labels = _labelled(rows, [], width, percent)
+    with small_batches(docs.sparkSession):
+        members, labels = _labelled(rows, [], width, percent)
     marked = members.select("_row", "_m", "class").join(labels, "class", "left")
     counts = marked.groupBy("_row").agg(F.count_if(_keeper()).alias("stay"), F.count("*").alias("rows"))
     going = keep(counts.where("stay < rows").select("_row", "stay"))
@@ -197,6 +199,18 @@ def _keeper() -> Column:
     return F.col("class").isNull() | (F.col("_m") == F.col("_first"))
 
 
+def _looked(texts: pa.Array, known: Orders, width: int, percent: int) -> pa.Array:
+    """Per text the size of its set, a digest of it and its prefix."""
+    sizes, same, prefixes = [], [], []
+    for text in utf8(texts):
+        tokens = shingles(text, width)
+        sizes.append(len(tokens))
+        same.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
+        prefixes.append(known.prefix(tokens, percent) if len(tokens) else tokens)
+    columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), long_lists(prefixes)]
+    return pa.StructArray.from_arrays(columns, names=["n", "class", "prefix"])
+
+
 def _labelled(
     rows: DataFrame, names: list[str], width: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -204,17 +218,10 @@ def _labelled(
     class; and per class its component's id and the number of the row to keep."""
     known = rows.sparkSession.sparkContext.broadcast(orders(rows, width))
 
-    @F.arrow_udf("n long, class binary, prefix array<long>")
     def look(texts: pa.Array) -> pa.Array:
-        sizes, same, prefixes = [], [], []
-        for text in utf8(texts):
-            tokens = shingles(text, width)
-            sizes.append(len(tokens))
-            same.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
-            prefixes.append(known.value.prefix(tokens, percent) if len(tokens) else tokens)
-        columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), long_lists(prefixes)]
-        return pa.StructArray.from_arrays(columns, names=["n", "class", "prefix"])
+        return _looked(texts, known.value, width, percent)
 
+    look = F.arrow_udf(piecewise(look), "n long, class binary, prefix array<long>")
     looked = rows.select("_id", "_row", *names, look("_text").alias("_l"))
     # The number of a kept row stays what it is and tells repeated rows apart.
     members = keep(looked.select("_id", "_row", *names, F.monotonically_increasing_id().alias("_m"), "_l.*"))
@@ -311,9 +318,11 @@ def _verified(
 
     def sets(batches):
         for batch in batches:
-            hashes = batch.column("_row").to_numpy().view(np.uint64)
-            batch = batch.filter(pa.array(passes(words.value, hashes)))
             for part in slices(batch):
+                hashes = part.column("_row").to_numpy().view(np.uint64)
+                part = part.filter(pa.array(passes(words.value, hashes)))
+                if not len(part):
+                    continue
                 found = [shingles(t, width) for t in utf8(part.column("_text"))]
                 prefixes = [known.value.prefix(s, percent, second=True) for s in found]
                 yield pa.RecordBatch.from_arrays(

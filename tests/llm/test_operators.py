@@ -622,6 +622,50 @@ def test_chains_and_stars(spark):
     assert found == dict(enumerate(brute.jaccard(texts)))
 
 
+def test_prefixes_leave_a_batch_piece_by_piece(spark):
+    """A worker holds the results of a few hundred texts, not those of a batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    from revlens.llm.text import piecewise
+
+    known = jaccard.Orders(np.empty(0, np.uint64), np.empty(0, np.int64))
+    texts = pa.array([None if k % 9 == 0 else f"a b c d e{k} f" for k in range(1000)], pa.string())
+    whole = jaccard._looked(texts, known, 4, 85).to_pylist()
+    pieces = list(piecewise(lambda t: jaccard._looked(t, known, 4, 85))(iter([texts, texts[:0], texts[:3]])))
+    assert max(map(len, pieces)) <= 256
+    assert [r for p in pieces for r in p.to_pylist()] == whole + whole[:3]
+
+
+def test_small_batches_restore_the_session(spark):
+    from pyspark.sql import functions as F
+
+    from revlens.llm.text import small_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("x"), 3000).alias("t"))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    def most():
+        return max(r.bytes for r in rows.mapInArrow(sizes, "bytes long").collect())
+
+    with small_batches(spark):
+        assert most() <= 5 << 20
+    assert name not in spark.conf.getAll and most() > 20 << 20
+    spark.conf.set(name, "32m")  # what a session says of itself stays
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(name) == "32m"
+        assert spark.conf.get(name) == "32m"
+    finally:
+        spark.conf.unset(name)
+
+
 # Decision lists.
 
 
