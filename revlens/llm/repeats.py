@@ -6,8 +6,9 @@ passages keep equal suffixes. Sorted by content, equal passages are neighbours;
 suffix is compared with its neighbours and the match extended to both sides.
 
 The sort is a range partitioning, with ties dealt out over as many tasks as needed.
-Suffixes that begin alike are resolved inside their partition; groups at its edges
-are finished by window hashes across partitions.
+Suffixes that begin alike are resolved inside their partition, a large group of them
+piece by piece; groups at the edges of partitions and pieces are finished by window
+hashes across all of them.
 """
 
 from __future__ import annotations
@@ -16,20 +17,23 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from revlens.llm.bitmaps import bitmap, passes
-from revlens.llm.text import alnum_words
+from revlens.llm.text import alnum_words, long_lists, piecewise, slices, small_batches, utf8
 from revlens.sources.tables import keep
 
 #: Words that a minimiser hashes, and that the suffixes of one group have in common.
 GRAM = 8
+#: Suffixes of one group that a task compares at once, with at most as many more.
+_PIECE = 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | bytes | None) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) for w in alnum_words(text)], np.uint64)
 
 
@@ -76,16 +80,38 @@ def find(
         "_row", F.xxhash64(F.col("_id"), F.xxhash64("_text"))
     )
 
-    @F.pandas_udf("n long, class binary, keys array<long>")
-    def look(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts:
-            words = word_hashes(text)
-            keys = grams(words)
-            same = hashlib.blake2b(words.tobytes(), digest_size=16).digest() if len(words) else None
-            out.append((len(words), same, keys[anchors(keys, least)].view(np.int64)))
-        return pd.DataFrame(out, columns=["n", "class", "keys"])
+    with small_batches(docs.sparkSession):
+        members, marked = _searched(rows, least)
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return (
+        members.join(marked, "class", "left")
+        .withColumn("spans", F.coalesce("spans", none))
+        .select(F.col("_id").alias(id_col), F.col("n").alias("n_words"), total.alias("n_repeated"), "spans")
+    )
+
+
+def _looked(texts: pa.Array, least: int) -> pa.Array:
+    """Per text how many words it has, a digest of them and its keys."""
+    sizes, same, found = [], [], []
+    for text in utf8(texts):
+        words = word_hashes(text)
+        keys = grams(words)
+        sizes.append(len(words))
+        same.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest() if len(words) else None)
+        found.append(keys[anchors(keys, least)])
+    columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), long_lists(found)]
+    return pa.StructArray.from_arrays(columns, names=["n", "class", "keys"])
+
+
+def _searched(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Every row with its number of words and its class, and the classes with repeated words
+    with their spans."""
 
+    def look(texts: pa.Array) -> pa.Array:
+        return _looked(texts, least)
+
+    look = F.arrow_udf(piecewise(look), "n long, class binary, keys array<long>")
     members = keep(rows.select("_id", "_row", look("_text").alias("_l")).select("_id", "_row", "_l.*"))
     classes = keep(
         members.where(F.col("n") >= least)
@@ -123,35 +149,39 @@ def find(
     # At most one entry per anchor and side, so bounded by the length of one text.
     merged = stretches.groupBy("row").agg(F.collect_set(F.struct("start", "stop")).alias("all"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("stop")))
-    union = F.pandas_udf(_unions, "array<struct<start:int,stop:int>>")
     searched = classes.select("class", "row", "copies", F.col("n").alias("size")).join(merged, "row", "left")
     marked = (
         searched.withColumn("n", F.col("size"))
         .withColumn("all", F.when(F.col("copies") > 1, whole).otherwise(F.col("all")))
         .where("all is not null")
-        .select("class", union(F.array_sort("all")).alias("spans"))
+        .select("class", _unions("all").alias("spans"))
     )
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-    total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
-    return (
-        members.join(keep(marked), "class", "left")
-        .withColumn("spans", F.coalesce("spans", none))
-        .select(F.col("_id").alias(id_col), F.col("n").alias("n_words"), total.alias("n_repeated"), "spans")
+    return members, keep(marked)
+
+
+def _unions(stretches: str) -> Column:
+    """Stretches with those that touch or overlap made one, in order."""
+    union = F.arrow_udf(piecewise(_merged), "array<struct<start:int,stop:int>>")
+    return union(F.array_sort(stretches))
+
+
+def _merged(rows: pa.Array) -> pa.Array:
+    """The same for rows of sorted stretches."""
+    ends = np.cumsum([0, *rows.value_lengths().to_pylist()])
+    all_ = rows.flatten()
+    start, stop = (all_.field(name).to_numpy().astype(np.int64) for name in ("start", "stop"))
+    # Each row has numbers of its own, so its first stretch begins beyond all before it.
+    row = np.repeat(np.arange(len(rows), dtype=np.int64) << 32, np.diff(ends))
+    reach = np.maximum.accumulate(row + stop)
+    new = np.concatenate(([True], (row + start)[1:] > reach[:-1])) if len(row) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1 if len(first) else first
+    stop = (reach - row)[last].astype(np.int32)
+    spans = pa.StructArray.from_arrays(
+        [pa.array(start[first].astype(np.int32)), pa.array(stop)], names=["start", "stop"]
     )
-
-
-def _unions(rows: pd.Series) -> pd.Series:
-    """Sorted stretches, with those that touch or overlap made one."""
-    out = []
-    for row in rows:
-        merged: list[list[int]] = []
-        for s in row:
-            if merged and s["start"] <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], s["stop"])
-            else:
-                merged.append([s["start"], s["stop"]])
-        out.append([{"start": a, "stop": b} for a, b in merged])
-    return pd.Series(out)
+    counts = np.concatenate(([0], np.cumsum(new)))[ends].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(counts), spans)
 
 
 def _suffixes(rows: DataFrame, searched: DataFrame, twice: DataFrame, least: int) -> DataFrame:
@@ -163,31 +193,34 @@ def _suffixes(rows: DataFrame, searched: DataFrame, twice: DataFrame, least: int
     wanted = context.broadcast((bitmap(keep(searched), "row"), bitmap(twice, "key")))
     side = least - GRAM
 
-    def cut(frames):
+    def cut(batches):
         in_rows, in_keys = wanted.value
-        for frame in frames:
-            frame = frame[passes(in_rows, frame["_row"].to_numpy(np.int64).view(np.uint64))]
-            parts = []
-            for row, text in zip(frame["_row"], frame["_text"]):
-                words = word_hashes(text)
-                keys = grams(words)
-                at = anchors(keys, least)
-                at = at[passes(in_keys, keys[at])]
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "row": row,
-                            "pos": at.astype(np.int32),
-                            "key": keys[at].view(np.int64),
-                            "right": _bytes([words[p + GRAM : p + least] for p in at]),
-                            "left": _bytes([words[max(0, p - side) : p][::-1] for p in at]),
-                        }
-                    )
-                )
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    return rows.select("_row", "_text").mapInPandas(
+        for batch in batches:
+            for part in slices(batch):
+                numbers = part.column("_row").to_numpy()
+                part = part.filter(pa.array(passes(in_rows, numbers.view(np.uint64))))
+                rows, places, found, right, left = [], [], [], [], []
+                for row, text in zip(part.column("_row").to_pylist(), utf8(part.column("_text"))):
+                    words = word_hashes(text)
+                    keys = grams(words)
+                    at = anchors(keys, least)
+                    at = at[passes(in_keys, keys[at])]
+                    rows.append(np.full(len(at), row, np.int64))
+                    places.append(at)
+                    found.append(keys[at])
+                    right += _bytes([words[p + GRAM : p + least] for p in at])
+                    left += _bytes([words[max(0, p - side) : p][::-1] for p in at])
+                if right:
+                    columns = [
+                        pa.array(np.concatenate(rows)),
+                        pa.array(np.concatenate(places).astype(np.int32)),
+                        pa.array(np.concatenate(found).view(np.int64)),
+                        pa.array(right, pa.binary()),
+                        pa.array(left, pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["row", "pos", "key", "right", "left"])
+
+    return rows.select("_row", "_text").mapInArrow(
         cut, "row long, pos int, key long, right binary, left binary"
     )
 
@@ -255,42 +288,45 @@ class _Group:
         return total
 
 
-def _matcher(least: int):
+def _matcher(least: int, piece: int = _PIECE):
     """For one sorted partition: repeated stretches, and at its edges hashes to be counted.
 
-    A group is held whole within its partition only, so at most a partition's rows.
+    A group of more than ``piece`` rows is cut; a cut is an edge like those of the partition.
     """
 
     def match(frames):
-        held, first = [], True
-        for frame in frames:
-            if not len(frame):
-                continue
-            held.append(frame)
-            last_key = frame["key"].iloc[-1]
-            if held[0]["key"].iloc[0] == last_key:
-                continue
-            whole = pd.concat(held, ignore_index=True)
-            ends = np.searchsorted(whole["key"].to_numpy(), last_key)
-            yield _matched(whole.iloc[:ends], least, first, False)
-            held, first = [whole.iloc[ends:]], False
-        if held:
-            yield _matched(pd.concat(held, ignore_index=True), least, first, True)
+        held, first = None, True
+        for frame in (f.iloc[at : at + piece] for f in frames for at in range(0, len(f), piece)):
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            keys = held["key"].to_numpy()
+            if keys[0] != keys[-1]:
+                begins = np.flatnonzero(keys[1:] != keys[:-1])[-1] + 1
+                yield _matched(held.iloc[:begins], least, first, False)
+                held, first = held.iloc[begins:], False
+            if len(held) >= piece:
+                yield _matched(held, least, first, True)
+                held, first = None, True
+        if held is not None:
+            yield _matched(held, least, first, True)
 
     return match
 
 
-def _stretches(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"row": row, "start": start, "stop": stop, "hash": None})
-
-
 def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.DataFrame:
+    """Stretches, then window hashes, of sorted suffixes; ``first`` and ``last`` tell whether
+    the first and last group may go on beyond them."""
     group = _Group(frame, least)
     keys = frame["key"].to_numpy(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     stops = np.append(starts[1:], len(keys))
     row, start, stop, longest, reach = group.matches(keys[1:] == keys[:-1])
-    parts = [_stretches(row, start, stop)]
+    stretches, singles, known = [(row, start, stop)], [], []
+    # Nothing is known of the neighbours that the outermost suffixes have elsewhere; all others have
+    # theirs here, and nobody shares more to the right with them.
+    if first:
+        longest[0] = least
+    if last:
+        longest[-1] = least
     # Fully confirmed: one neighbour has as much to the left as a window takes, and nobody more to
     # the right.
     side = least - GRAM
@@ -300,8 +336,7 @@ def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.Dat
         if not edge and (b - a < 3 or not open_.any()):
             continue
         at = np.arange(a, b)
-        far = np.full(b - a, least) if edge else longest[a:b]
-        which, reached, hashes = group.windows(at, far, int(keys[a]))
+        which, reached, hashes = group.windows(at, longest[a:b], int(keys[a]))
         _, back, times = np.unique(hashes, return_inverse=True, return_counts=True)
         again = times[back] > 1
         # All windows hold the first words, so those met again are one stretch per suffix.
@@ -310,13 +345,28 @@ def _matched(frame: pd.DataFrame, least: int, first: bool, last: bool) -> pd.Dat
         np.minimum.at(nearest, inverse, reached[again])
         np.maximum.at(farthest, inverse, reached[again])
         place = group.pos[met]
-        parts.append(_stretches(group.row[met], place - farthest, place - nearest + least))
+        stretches.append((group.row[met], place - farthest, place - nearest + least))
         if edge:
             # Others may hold what is met once here; what is met twice stands for itself.
             begin = (group.pos[which] - reached)[~again]
-            single = _stretches(group.row[which[~again]], begin, begin + least)
-            parts.append(single.assign(hash=hashes[~again].view(np.int64)))
-            known = np.unique(hashes[again]).view(np.int64)
-            parts.append(pd.DataFrame({"row": None, "start": None, "stop": None, "hash": known}))
-    out = pd.concat([p.astype("Int64") for p in parts], ignore_index=True)
-    return out.astype({"start": "Int32", "stop": "Int32"})
+            singles.append((group.row[which[~again]], begin, begin + least, hashes[~again].view(np.int64)))
+            known.append(np.unique(hashes[again]).view(np.int64))
+    return _found(stretches, singles, known)
+
+
+def _found(stretches: list[tuple], singles: list[tuple], known: list[np.ndarray]) -> pd.DataFrame:
+    """One frame: stretches, which have no hash, windows met once, and hashes of others alone."""
+    counts = [sum(len(x[0]) for x in part) for part in (stretches, singles)]
+    counts.append(sum(map(len, known)))
+    kind = np.repeat([0, 1, 2], counts)
+
+    def column(at: int, dtype: type) -> pd.arrays.IntegerArray:
+        parts = [np.zeros(counts[0], dtype)] if at == 3 else [x[at] for x in stretches]
+        parts += [x[at] for x in singles]
+        parts += known if at == 3 else [np.zeros(counts[2], dtype)]
+        return pd.arrays.IntegerArray(np.concatenate(parts).astype(dtype), kind == (0 if at == 3 else 2))
+
+    return pd.DataFrame(
+        {"row": column(0, np.int64), "start": column(1, np.int32), "stop": column(2, np.int32),
+         "hash": column(3, np.int64)}
+    )

@@ -808,3 +808,64 @@ def test_random_contexts_of_one_key(seed):
             pairs.append((left, right))
         texts = _contexts(pairs)
         assert _marked(texts) == [len(inside) for _, inside in brute.repeats(texts)], (seed, trial)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 5, 4096])
+def test_large_groups_are_matched_piece_by_piece(piece, monkeypatch):
+    """Two partitions of one key's suffixes: no more than two pieces at once, the same words as whole."""
+    import collections
+    import random
+
+    rng, held, matched = random.Random(piece), [], repeats._matched
+    monkeypatch.setattr(repeats, "_matched", lambda f, *a: held.append(len(f)) or matched(f, *a))
+    for trial in range(8):
+        pairs = []
+        for n in range(40):
+            left, right = ([f"{s}{trial}x{n}x{i}" for i in range(60)] for s in "lr")
+            if pairs and rng.random() < 0.8:
+                left = [*left[:20], *rng.choice(pairs)[0][20:]]
+                cut = rng.choice([0, 5, 30, 42])
+                right = [*rng.choice(pairs)[1][:cut], *right[cut:]]
+            pairs.append((left, right))
+        texts = _contexts(pairs)
+        frame = _suffixes(texts).sort_values(["key", "right", "left"], ignore_index=True)
+        at = rng.randrange(1, 40)
+        # Frames of Spark's need not end where partitions do.
+        parts = [[frame.iloc[:at]], [frame.iloc[at : at + 3], frame.iloc[at + 3 :]]]
+        found = [r for p in parts for f in repeats._matcher(50, piece)(iter(p)) for r in f.itertuples()]
+        times = collections.Counter()
+        missing = repeats.pd.isna
+        for r in found:
+            if not missing(r.hash):
+                times[r.hash] += 2 if missing(r.row) else 1
+        marks = [set() for _ in texts]
+        for r in found:
+            if not missing(r.row) and (missing(r.hash) or times[r.hash] > 1):
+                marks[r.row] |= set(range(r.start, r.stop))
+        assert [len(m) for m in marks] == [len(inside) for _, inside in brute.repeats(texts)], trial
+    assert max(held) <= 2 * piece
+
+
+def test_stretches_that_touch_are_merged():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    rows, expected = [], []
+    for _ in range(200):
+        row = sorted((a, a + rng.randrange(1, 9)) for a in (rng.randrange(60) for _ in range(rng.randrange(7))))
+        rows.append([{"start": a, "stop": b} for a, b in row])
+        marked = {i for a, b in row for i in range(a, b)}
+        spans = []
+        for i in sorted(marked):
+            if spans and spans[-1]["stop"] == i:
+                spans[-1]["stop"] = i + 1
+            else:
+                spans.append({"start": i, "stop": i + 1})
+        expected.append(spans)
+    whole = pa.array(rows, kind)
+    assert repeats._merged(whole).to_pylist() == expected
+    assert repeats._merged(whole[50:90]).to_pylist() == expected[50:90]
+    assert repeats._merged(whole[:0]).to_pylist() == []
