@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ from revlens.llm.text import utf8
 
 #: Largest vocabulary file that is broadcast.
 MOST_BYTES = 64 << 20
-#: Pre-tokens whose ids a worker remembers, and the longest of them; the memory is emptied when full.
+#: Pre-tokens in a generation of what a worker remembers, and the longest of them. A full generation
+#: becomes the older of two, and what is asked for again moves into the new one.
 _REMEMBERED, _REMEMBERED_LENGTH = 1 << 19, 32
 _WORD_BITS = 8
 _WORD = 1 << _WORD_BITS
@@ -57,7 +59,9 @@ class Vocabulary:
         self._buckets: list[list[int] | None] = [None] * size
         self._words = [0] * ((size >> _WORD_BITS) + 1)
         self._bit = [1 << i for i in range(max(_WORD, len(self._words)))]
-        self._known = _Known(self)
+        # Plain dictionaries of strings and bytes, which Python's garbage collector does not walk.
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def merge(self, said: bytes) -> list[int]:
         """Ids of one pre-token: lowest rank first, the leftmost of equal ranks.
@@ -138,7 +142,22 @@ class Vocabulary:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
-        return np.frombuffer(b"".join(map(self._known.__getitem__, self.cut(text))), np.int32)
+        cut = self.cut(text)
+        found = list(map(self._known.get, cut))
+        if None in found:
+            found = [self._remembered(said) if ids is None else ids for said, ids in zip(cut, found)]
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def _remembered(self, said: str) -> bytes:
+        """Ids of a pre-token, as bytes; those of short ones are remembered for two generations."""
+        ids = self._known.get(said) or self._older.get(said)
+        if ids is None:
+            ids = array("i", self.merge(said.encode("utf-8", "replace"))).tobytes()
+        if len(said) <= _REMEMBERED_LENGTH:
+            if len(self._known) >= _REMEMBERED:
+                self._older, self._known = self._known, {}
+            self._known[said] = ids
+        return ids
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the pieces, one after the other."""
@@ -148,22 +167,6 @@ class Vocabulary:
         return self._bytes[places + np.repeat(self._starts[ids] - (ends - sizes), sizes)].tobytes()
 
 
-class _Known(dict):
-    """Ids of pre-tokens, as bytes; those of short ones are remembered."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self._merge = vocabulary.merge
-
-    def __missing__(self, said: str) -> bytes:
-        ids = np.array(self._merge(said.encode("utf-8", "replace")), np.int32).tobytes()
-        if len(said) <= _REMEMBERED_LENGTH:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[said] = ids
-        return ids
-
-
 class Codec:
     """Encoding and decoding of columns with one vocabulary.
 

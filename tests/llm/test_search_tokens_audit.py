@@ -243,6 +243,20 @@ def plain_merge(said, ranks):
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
+def test_pre_tokens_in_use_are_not_merged_again(rank_file, library, monkeypatch):
+    """A full memory keeps what is asked for again; long pre-tokens are not remembered."""
+    monkeypatch.setattr(byte_pairs, "_REMEMBERED", 8)
+    merged, merge = [], byte_pairs.Vocabulary.merge
+    monkeypatch.setattr(byte_pairs.Vocabulary, "merge", lambda v, said: merged.append(said) or merge(v, said))
+    own = byte_pairs.Vocabulary(rank_file, public_tokenizers.PATTERN)
+    for i in range(40):
+        text = f" oftenagain {'y' * 40}{chr(0x4E00 + i)} {'b' * (i % 20)}z oftenagain"
+        assert own.encode(text).tolist() == library.encode_ordinary(text)
+    assert merged.count(b" oftenagain") == 1
+    assert len(own._known) <= 8 and len(own._older) <= 8
+    assert own.encode("").tolist() == []
+
+
 def test_a_vocabulary_without_all_bytes_is_refused():
     with pytest.raises(ValueError, match="255 of the 256"):
         byte_pairs.Vocabulary(base64.b64encode(b"a") + b" 0", ".")
