@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from revlens.llm.bitmaps import bitmap, passes, without
 from revlens.llm.components import connected
-from revlens.llm.text import long_lists, piecewise, slices, small_batches, spaced_words, utf8
+from revlens.llm.text import (
+    long_lists, piecewise, separate_operators, slices, small_batches, spaced_words, utf8,
+)
 from revlens.sources.tables import keep
 
 #: Frequent tokens that the orders know; they come from one text in ``_SAMPLED``. Both
@@ -156,7 +158,7 @@ def join(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         *[F.col(c).alias(n) for c, n in zip(carried, names)],
     ).withColumn("_row", F.xxhash64(F.col("_id"), F.xxhash64("_text")))
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), separate_operators(docs.sparkSession):
         members, labels = _labelled(rows, names, width, percent)
     return members.join(labels, "class", "left").select(
         F.col("_id").alias(id_col),
@@ -182,7 +184,7 @@ def keepers(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         *[F.col(c).alias(f"_carried_{c}") for c in given[2:]],
     )
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), separate_operators(docs.sparkSession):
         members, labels = _labelled(rows, [], width, percent)
     marked = members.select("_row", "_m", "class").join(labels, "class", "left")
     counts = marked.groupBy("_row").agg(F.count_if(_keeper()).alias("stay"), F.count("*").alias("rows"))

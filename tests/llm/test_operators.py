@@ -666,6 +666,16 @@ def test_small_batches_restore_the_session(spark):
         spark.conf.unset(name)
 
 
+def test_near_duplicates_keep_operators_apart(spark, monkeypatch):
+    """What is written on the way is compiled operator by operator; the session stays as it was."""
+    name, found, keep = "spark.sql.codegen.wholeStage", [], jaccard.keep
+    monkeypatch.setattr(jaccard, "keep", lambda df: found.append(spark.conf.get(name)) or keep(df))
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i j {'k' * (i % 2)}") for i in range(4)], "doc_id long, text string")
+    rows = {r.doc_id: r.component_id for r in jaccard.join(docs).collect()}
+    assert rows == {0: 0, 1: 0, 2: 0, 3: 0} and set(found) == {"false"}
+    assert name not in spark.conf.getAll
+
+
 # Decision lists.
 
 
